@@ -318,7 +318,7 @@ def one_star_styles(feedback: DataFrame, inventory: DataFrame, k: int = 1) -> Da
 def tag_by_source(feedback: DataFrame, tags: DataFrame, sources: Sequence[str]) -> DataFrame:
     """Tag counts side by side for the given sources."""
     rows = tags.select("feedback_id", "tag_name").join(feedback.select("feedback_id", "feedback_source"), "feedback_id")
-    wide = rows.groupBy("tag_name").pivot("feedback_source", list(sources)).agg(F.count("*"))
+    wide = rows.groupBy("tag_name").pivot("feedback_source", list(sources)).agg(F.count("feedback_id"))
     return wide.fillna(0, list(sources))
 
 
