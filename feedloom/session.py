@@ -14,7 +14,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # packed vector blocks are wide rows: keep the batches sent to Python small
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
@@ -50,3 +50,9 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Packed blocks are wide rows, so batches sent to Python are limited by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch",
+                   RUNTIME_SETTINGS["spark.sql.execution.arrow.maxBytesPerBatch"])
