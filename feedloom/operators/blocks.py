@@ -83,20 +83,21 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None) -> DataFrame:
     sizes = cut(sizes)
     gathered = distinct.join(sizes.filter(F.col("n") <= limit).select("grp"), "grp", "left_semi").groupBy("grp").agg(
         F.sort_array(F.collect_list(F.struct("rid", "weight", "xs"))).alias("p")
-    )
-    xs = F.col("p")["xs"]
-
-    def along(i: int) -> Column:
-        return F.transform(xs, lambda x: x[i])
+    ).select("grp", F.col("p")["rid"].alias("ids"), F.col("p")["weight"].alias("weights"), F.flatten(F.col("p")["xs"]).alias("xs"))
 
-    def corner(pick) -> Column:
-        return F.array(*[pick(along(i)) for i in range(dim)])
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = batch.num_rows
+            x = [coords(batch, i, "xs", dim) for i in range(m)]
+            doubles = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("grp"), pa.array([0] * m, pa.int64()), pa.array([len(p) for p in x], pa.int32()), pa.array([dim] * m, pa.int32()),
+                 batch.column("ids"), batch.column("weights"), batch.column("xs"), pa.array([p.min(axis=0) for p in x], doubles),
+                 pa.array([p.max(axis=0) for p in x], doubles), pa.array([True] * m)],
+                ["grp", "block", "n", "dim", "ids", "weights", "xs", "lo", "hi", "whole"],
+            )
 
-    small = gathered.select(
-        "grp", F.lit(0).cast("bigint").alias("block"), F.size("p").alias("n"), F.lit(dim).alias("dim"),
-        F.col("p")["rid"].alias("ids"), F.col("p")["weight"].alias("weights"), F.flatten(xs).alias("xs"),
-        corner(F.array_min).alias("lo"), corner(F.array_max).alias("hi"), F.lit(True).alias("whole"),
-    )
+    small = gathered.mapInArrow(whole, PACKED)
     if not sizes.filter(F.col("n") > limit).head(1):
         return cut(small)
     keyed = (

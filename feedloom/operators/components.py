@@ -59,8 +59,9 @@ def _stars(edges: DataFrame) -> DataFrame:
         if now == mark:
             break
         mark = now
-    roots = state.select("grp", F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
-    return state.select("grp", F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots)
+    hung = state.select("grp", F.col("u").alias("node"), F.col("v").alias("comp"))
+    nodes = edges.select("grp", F.explode(F.array("u", "v")).alias("node")).distinct()
+    return nodes.join(hung, ["grp", "node"], "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:

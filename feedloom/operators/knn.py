@@ -310,4 +310,4 @@ def estimate_eps(points: DataFrame, k: int = 4, percentile: float = 95.0) -> Dat
     """
     kth = knn_graph(points, k).groupBy("grp", "pid").agg(F.max("dist").alias("dist"))
     counted = kth.groupBy("grp", "dist").agg(F.count("*").alias("c"))
-    return counted.groupBy("grp").agg(F.percentile("dist", percentile / 100.0, "c").alias("eps"))
+    return counted.groupBy("grp").agg(F.percentile("dist", percentile / 100.0, F.col("c")).alias("eps"))
