@@ -169,46 +169,44 @@ def box_span(a: str, b: str) -> Column:
     return _sides(a, b, lambda z: F.greatest(z["s"] - z["p"], z["q"] - z["r"]))
 
 
-def tree_levels(leaves: DataFrame, dim: int, extra: dict[str, tuple[Callable, str]]) -> list[DataFrame]:
+def tree_levels(leaves: DataFrame, dim: int, extra: dict[str, Callable] | None = None) -> list[DataFrame]:
     """Node tables from the blocks (level 0) up to one node per group.
 
-    `extra` names further node columns as (aggregate, column); `n` is always summed.
+    A node holds the count and bounding box of the blocks below it, plus the `extra`
+    columns with their aggregates.  Only these narrow columns of the blocks are read.
     """
-    columns = ["grp", "node", "n", "lo", "hi", *extra]
-    level = leaves.withColumnRenamed("block", "node").select(*columns)
-    levels = [level]
-    while level.groupBy("grp").agg(F.count("*").alias("c")).filter("c > 1").head(1):
-        level = cut(
-            level.groupBy("grp", F.shiftright("node", FANOUT_BITS).alias("node")).agg(
-                F.sum("n").alias("n"),
-                F.array(*[F.min(F.col("lo")[i]) for i in range(dim)]).alias("lo"),
-                F.array(*[F.max(F.col("hi")[i]) for i in range(dim)]).alias("hi"),
-                *[combine(name).alias(name) for name, (combine, _) in extra.items()],
-            ).select(*columns)
-        )
-        levels.append(level)
+    extra = extra or {}
+    last = leaves.agg(F.max("block")).head()[0] or 0
+    top = -(-int(last).bit_length() // FANOUT_BITS)
+    levels = [leaves.select("grp", F.col("block").alias("node"), "n", "lo", "hi", *extra)]
+    for level in range(1, top + 1):
+        levels.append(leaves.groupBy("grp", F.shiftright("block", FANOUT_BITS * level).alias("node")).agg(
+            F.sum("n").alias("n"),
+            F.array(*[F.min(F.col("lo")[i]) for i in range(dim)]).alias("lo"),
+            F.array(*[F.max(F.col("hi")[i]) for i in range(dim)]).alias("hi"),
+            *[combine(name).alias(name) for name, combine in extra.items()],
+        ))
     return levels
 
 
 def descend(seekers: DataFrame, levels: list[DataFrame], low: Column, keep: Column, bound_key: str | None = None,
             high: Column | None = None, usable: Column | None = None) -> DataFrame:
-    """Pairs (grp, block, node) of blocks that lie within the bound of each seeking block.
+    """Pairs (grp, block, other) of blocks that lie within the bound of each seeking block.
 
     `seekers` has grp, block, lo, hi, bound and what `low` / `keep` read (seeker columns are
     prefixed `a_`, node columns `b_`).  On each level a pair stays when `low` <= bound.
     With `high` given, each usable node proves an upper bound, so the bound shrinks on the
     way down: per seeking block, or per `bound_key` when several blocks share one bound.
     """
-    own = [c for c in seekers.columns if c != "grp"]
-    pairs = seekers.select("grp", *[F.col(c).alias(f"a_{c}") for c in own])
-    nodes = [lv.select("grp", *[F.col(c).alias(f"b_{c}") for c in lv.columns if c != "grp"]) for lv in levels]
+    pairs = seekers.select("grp", *[F.col(c).alias(f"a_{c}") for c in seekers.columns if c != "grp"])
     kept = pairs.columns
     for depth in range(len(levels) - 1, -1, -1):
+        nodes = levels[depth].select("grp", *[F.col(c).alias(f"b_{c}") for c in levels[depth].columns if c != "grp"])
         if depth == len(levels) - 1:
-            joined = pairs.join(nodes[depth], "grp")
+            joined = pairs.join(nodes, "grp")
         else:
-            child = nodes[depth].withColumn("parent", F.shiftright("b_node", FANOUT_BITS))
-            joined = pairs.join(child, ["grp", "parent"]).drop("parent")
+            nodes = nodes.withColumn("parent", F.shiftright("b_node", FANOUT_BITS))
+            joined = pairs.join(nodes, ["grp", "parent"]).drop("parent")
         joined = joined.withColumn("low", low).filter(keep & (F.col("low") <= F.col("a_bound") * SLACK))
         if high is not None:
             joined = cut(joined)
@@ -219,7 +217,6 @@ def descend(seekers: DataFrame, levels: list[DataFrame], low: Column, keep: Colu
                 "a_bound", F.least("a_bound", F.coalesce("proved", "a_bound"))
             ).drop("proved").filter(F.col("low") <= F.col("a_bound") * SLACK)
         pairs = joined.select(*kept, F.col("b_node").alias("parent"))
-        pairs = cut(pairs)
     return pairs.select("grp", F.col("a_block").alias("block"), F.col("parent").alias("other"))
 
 

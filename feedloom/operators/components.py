@@ -64,12 +64,14 @@ def _stars(edges: DataFrame) -> DataFrame:
     return nodes.join(hung, ["grp", "node"], "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+def components(edges: DataFrame, local_edges: int = LOCAL_EDGES, stored: bool = False) -> DataFrame:
     """(grp, node, comp) for every node that has an edge (grp, u, v); `comp` is the least node.
 
     Groups with few edges are solved one per task; the others take the distributed steps.
+    `stored` says that `edges` reads a stored table, so that it need not be written first.
     """
-    edges = cut(edges.select("grp", "u", "v"))
+    edges = edges.select("grp", "u", "v")
+    edges = edges if stored else cut(edges)
     sizes = edges.groupBy("grp").agg(F.count("*").alias("edges"))
     few = edges.join(sizes.filter(F.col("edges") <= local_edges), "grp", "left_semi")
     found = few.groupBy("grp").applyInPandas(_local, "grp string, node string, comp string")

@@ -241,7 +241,7 @@ def _contract(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]
             F.min(F.struct("key", "other")).alias("e")).select("grp", "c", "e.key", "e.other"))
         if not least.head(1):
             break
-        trees = components(least.select("grp", F.col("c").alias("u"), F.col("other").alias("v")))
+        trees = components(least.select("grp", F.col("c").alias("u"), F.col("other").alias("v")), stored=True)
         trees = cut(trees.select("grp", F.col("node").alias("c"), F.col("comp").alias("tree")))
         marked = comps.join(trees, ["grp", "c"], "left").join(least.select("grp", "c", "key"), ["grp", "c"], "left")
         heads = marked.filter("leaf").filter(F.col("tree").isNotNull()).select("grp", "tree", F.col("c").alias("head"))

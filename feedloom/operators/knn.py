@@ -120,7 +120,7 @@ def block_neighbours(blocks: DataFrame, k: int, dim: int) -> DataFrame:
         capped = cut(parts.join(caps, ["grp", "block"]))
         seekers = capped.select("grp", "block", "lo", "hi", F.array_max("caps").alias("bound"))
         pairs = descend(
-            seekers, tree_levels(capped, dim, {}), low=box_gap("a_", "b_"), keep=F.lit(True),
+            seekers, tree_levels(capped, dim), low=box_gap("a_", "b_"), keep=F.lit(True),
             high=box_span("a_", "b_"), usable=F.col("b_n") > k,
         ).filter(F.col("block") != F.col("other"))
         rows = pair_rows(pairs, capped, capped, ["dim", "ids", "xs", "caps"], ["ids", "weights", "xs"])
@@ -244,7 +244,7 @@ def part_cores(parts: DataFrame, dim: int) -> DataFrame:
     capped = cut(parts.join(caps, ["grp", "block"]))
     seekers = capped.select("grp", "block", "lo", "hi", "k", F.array_max("caps").alias("bound"))
     pairs = descend(
-        seekers, tree_levels(capped, dim, {}), low=box_gap("a_", "b_"), keep=F.lit(True),
+        seekers, tree_levels(capped, dim), low=box_gap("a_", "b_"), keep=F.lit(True),
         high=box_span("a_", "b_"), usable=F.col("b_n") > F.col("a_k"),
     ).filter(F.col("block") != F.col("other"))
     rows = pair_rows(pairs, capped, capped, ["dim", "k", "xs", "caps"], ["xs", "weights"])

@@ -117,7 +117,8 @@ def dbscan(points: DataFrame, eps: float, min_samples: int = 5, rows: int | None
     parts = blocks.filter("NOT whole")
     if parts.head(1):
         seekers = parts.select("grp", "block", "lo", "hi", F.lit(float(eps)).alias("bound"))
-        pairs = pairs.unionByName(descend(seekers, tree_levels(parts, dim, {}), low=box_gap("a_", "b_"), keep=F.lit(True)))
+        pairs = pairs.unionByName(descend(seekers, tree_levels(parts, dim), low=box_gap("a_", "b_"), keep=F.lit(True)))
+    pairs = cut(pairs)
     counted = pair_rows(pairs, blocks, blocks, ["dim", "xs"], ["xs", "weights"]).mapInArrow(
         _counts(eps), "grp string, block long, pos int, n long")
     flags = counted.groupBy("grp", "block", "pos").agg((F.sum("n") >= min_samples).alias("core")).groupBy("grp", "block").agg(
@@ -125,7 +126,7 @@ def dbscan(points: DataFrame, eps: float, min_samples: int = 5, rows: int | None
     flagged = cut(blocks.join(flags, ["grp", "block"]))
     links = cut(pair_rows(pairs, flagged, flagged, ["dim", "ids", "xs", "core"], ["ids", "xs", "core"]).mapInArrow(
         _links(eps), "grp string, u string, v string, w double, core boolean"))
-    clusters = components(links.filter("core"))
+    clusters = components(links.filter("core"), stored=True)
     cores = clusters.select("grp", F.col("node").alias("rid"), "comp", F.lit(True).alias("core"))
     border = links.filter("NOT core").groupBy("grp", "u").agg(F.min(F.struct("w", "v"))["v"].alias("v"))
     border = border.join(cores.select("grp", F.col("rid").alias("v"), "comp"), ["grp", "v"]).select(

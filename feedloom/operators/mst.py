@@ -99,7 +99,7 @@ def _part_trees(parts: DataFrame, dim: int) -> DataFrame:
     packed = cut(parts.select("grp", "block", "n", "dim", "ids", "xs", "cores", "lo", "hi",
                               F.array_min("cores").alias("core_lo"), F.array_max("cores").alias("core_hi")))
     comps = packed.select("grp", "block", F.col("ids").alias("comps"))
-    extra = {"core_lo": (F.min, "core_lo"), "core_hi": (F.max, "core_hi"), "c_lo": (F.min, "c_lo"), "c_hi": (F.max, "c_hi")}
+    extra = {"core_lo": F.min, "core_hi": F.max, "c_lo": F.min, "c_hi": F.max}
     tree = None
     while True:
         now = cut(packed.join(comps, ["grp", "block"]).withColumn("c_lo", F.array_min("comps")).withColumn("c_hi", F.array_max("comps")))
@@ -124,7 +124,7 @@ def _part_trees(parts: DataFrame, dim: int) -> DataFrame:
             break
         added = chosen.select("grp", F.col("lo").alias("u"), F.col("hi").alias("v"), "w").distinct()
         tree = added if tree is None else tree.unionByName(added)
-        merged = components(chosen.select("grp", F.col("comp").alias("u"), F.col("other").alias("v")))
+        merged = components(chosen.select("grp", F.col("comp").alias("u"), F.col("other").alias("v")), stored=True)
         merged = merged.select("grp", F.col("node").alias("comp"), F.col("comp").alias("root"))
         comps = now.select("grp", "block", F.posexplode("comps").alias("pos", "comp")).join(merged, ["grp", "comp"], "left").groupBy(
             "grp", "block"

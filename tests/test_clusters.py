@@ -101,7 +101,7 @@ def near(groups):
     return out
 
 
-@pytest.mark.parametrize("rows", [None, 16])
+@pytest.mark.parametrize("rows", [None, 20])
 def test_neighbours_and_cores(points, near, rows):
     got = {}
     for r in knn.knn_graph(points, K, rows=rows).collect():
@@ -116,7 +116,7 @@ def test_neighbours_and_cores(points, near, rows):
     assert all(abs(cores[p] - near[p][min(K, len(near[p])) - 1][0]) < 1e-9 for p in near)
 
 
-@pytest.mark.parametrize("rows", [None, 16])
+@pytest.mark.parametrize("rows", [None, 48])
 def test_spanning_trees(points, groups, near, rows):
     edges = mst.minimum_spanning_tree(points, K, rows=rows).collect()
     for g, x in groups.items():
@@ -152,7 +152,7 @@ def test_density_clusters_by_definition(points, groups, near, local):
 
 
 def test_both_condensing_paths_agree(points):
-    one, other = labelled(points, 8, 10**6), labelled(points, 8, 0, rows=16)
+    one, other = labelled(points, 8, 10**6), labelled(points, 8, 0, rows=48)
     assert set(one) == set(other)
     for pid, r in one.items():
         s = other[pid]
@@ -183,7 +183,7 @@ def test_components_of_a_long_chain_a_hub_and_a_loop(spark, local):
     assert got["h", "n050"] == "n000" and got["h", "z"] == "z" and len(got) == 61 + 80 + 3
 
 
-@pytest.mark.parametrize("rows", [None, 16])
+@pytest.mark.parametrize("rows", [None, 48])
 def test_dbscan(points, groups, near, rows):
     eps, least = 0.6, 5
     got = {r.pid: r for r in linkage.dbscan(points, eps, least, rows=rows).collect()}
@@ -195,12 +195,15 @@ def test_dbscan(points, groups, near, rows):
         assert (got[pid].comp, got[pid].core) == (want, pid in core)
 
 
-@pytest.mark.parametrize("rows", [None, 16])
+@pytest.mark.parametrize("rows", [None, 48])
 def test_single_linkage(points, near, rows):
     cut_at = {r.pid: r.comp for r in linkage.agglomerative(points, distance_threshold=0.9, rows=rows).collect()}
     roots = components.find_roots(*map(list, zip(*[(p, q) for p in near for d, q in [(0, p), *near[p]] if d <= 0.9])))
     assert cut_at == roots
-    parts = linkage.numbered(linkage.agglomerative(points, n_clusters=3, rows=rows)).collect()
+
+
+def test_single_linkage_into_parts(points):
+    parts = linkage.numbered(cut(linkage.agglomerative(points, n_clusters=3))).collect()
     for g in "abc":
         assert {r.cluster for r in parts if r.grp == g} == {0, 1, 2}
     with pytest.raises(ValueError):
