@@ -15,6 +15,16 @@ TAXONOMY = ["Waterproof Leak", "Sizes not standard", "Too Heavy", "Stains"]
 TAG_STEPS = [("Waterproof Leak", 4), ("Sizes not standard", 6), ("Too Heavy", 5), ("Stains", 9)]
 
 
+# Declared, so that reading a table needs no pass over its footers.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "benchmark": "item_id bigint, text string",
+}
+
+
 def _source(key: str):
     k = F.col(key) % 3
     return F.when(k == 0, "review").when(k == 1, "return").otherwise("chat")
@@ -25,7 +35,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

@@ -28,9 +28,13 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """The vector scaled to length one; null for a zero vector."""
-    length = norm(a)
-    return F.when(length > 0, F.transform(doubles(a), lambda x: x / length))
+    """The vector scaled to length one; null for a zero vector.
+
+    The length is bound once as a one-element array: named inside the inner lambda it would
+    be computed again for every element.
+    """
+    lengths = F.filter(F.array(norm(a)), lambda n: n > 0)
+    return F.get(F.transform(lengths, lambda n: F.transform(doubles(a), lambda x: x / n)), F.lit(0))
 
 
 def cosine_distance(a: Column, b: Column) -> Column:

@@ -10,7 +10,7 @@ from feedloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[4]", **{
+    session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
