@@ -11,7 +11,7 @@ def ts(name: str, alias: str | None = None) -> Column:
 
 
 def r6(name: str, alias: str | None = None) -> Column:
-    return F.round(F.col(name), 6).alias(alias or name)
+    return (F.round(F.col(name), 6) + 0.0).alias(alias or name)
 
 
 def joined(name: str, alias: str | None = None, sep: str = "|") -> Column:

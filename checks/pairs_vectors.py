@@ -14,7 +14,7 @@ HITS_SQL = """d AS (SELECT q.feedback_id AS query_id, e.feedback_id,
     list_cosine_distance(CAST(e.vector AS DOUBLE[]), CAST(q.vector AS DOUBLE[])) AS distance
   FROM fb_embeddings e JOIN fb_embeddings q ON q.style IS NULL {cond}),
 hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, feedback_id) AS rank FROM d) WHERE rank <= {k})"""
-OUT = "query_id, feedback_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank"
+OUT = "query_id, feedback_id, round(distance, 6) + 0.0 AS distance, CAST(rank AS INTEGER) AS rank"
 
 
 def unstyled(t):
@@ -100,7 +100,7 @@ def _(t):
 
 @query("search_enriched", "fb_embeddings feedback clusters", f"""
 WITH {HITS_SQL.format(cond=chr(32), k=10)}
-SELECT h.query_id, h.feedback_id, round(h.distance, 6) AS distance, round(1 - h.distance, 6) AS similarity, f.rating, f.cluster_id, c.cluster_description
+SELECT h.query_id, h.feedback_id, round(h.distance, 6) + 0.0 AS distance, round(1 - h.distance, 6) + 0.0 AS similarity, f.rating, f.cluster_id, c.cluster_description
 FROM hits h LEFT JOIN feedback f ON f.feedback_id = h.feedback_id LEFT JOIN clusters c ON c.cluster_id = f.cluster_id""")
 def _(t):
     rows = search.search_enriched(search.search(t.embeddings, unstyled(t)), t.feedback, t.clusters)

@@ -289,34 +289,33 @@ def _contract(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]
     return done.unionByName(lost), links.select("grp", F.col("a").alias("u"), F.col("b").alias("v"), "w", "lo", "hi")
 
 
-def _leaf_tree(leaves: pd.DataFrame, between: pd.DataFrame) -> tuple[LeafTree, list[str]]:
-    names = sorted(leaves["leaf"].tolist())
+def _leaf_tree(between: pd.DataFrame) -> tuple[LeafTree, list[str]]:
+    """The tree over the leaves that have an edge; names in order."""
+    names = sorted(set(between["u"]) | set(between["v"]))
     place = {name: i for i, name in enumerate(names)}
     between = between.sort_values(["w", "lo", "hi"], kind="stable")
     return LeafTree(len(names), [(place[a], place[b], w) for a, b, w in zip(between["u"], between["v"], between["w"])]), names
 
 
-def _ranges(leaves: pd.DataFrame, between: pd.DataFrame) -> pd.DataFrame:
-    tree, names = _leaf_tree(leaves, between)
+def _ranges(between: pd.DataFrame) -> pd.DataFrame:
+    """For every leaf, the cluster that holds a point joining it at a weight in [since, until)."""
+    tree, names = _leaf_tree(between)
     out = []
     for i, name in enumerate(names):
         low, at = -np.inf, i
         while at >= 0:
-            out.append((leaves["grp"].iloc[0], name, at, low, tree.birth[at]))
+            out.append((between["grp"].iloc[0], name, at, low, tree.birth[at]))
             low, at = tree.birth[at], tree.parent[at]
     return pd.DataFrame(out, columns=["grp", "leaf", "node", "since", "until"])
 
 
 def _selection(sums: pd.DataFrame, between: pd.DataFrame) -> pd.DataFrame:
-    leaves = pd.DataFrame({"leaf": sums["leaves"].iloc[0], "grp": sums["grp"].iloc[0]})
-    tree, _ = _leaf_tree(leaves, between)
+    tree, _ = _leaf_tree(between)
     count, lam_sum, lam_max = np.zeros(tree.size), np.zeros(tree.size), np.zeros(tree.size)
     first: list = [None] * tree.size
     for row in sums.itertuples():
         count[row.node], lam_sum[row.node], lam_max[row.node], first[row.node] = row.count_, row.lam_sum, row.lam_max, row.first_id
     number, greatest, lasting = tree.select(count, lam_sum, lam_max, first, float(sums["epsilon"].iloc[0]))
-    if len(tree.children) == 0:
-        number[:] = -1
     return pd.DataFrame({"grp": sums["grp"].iloc[0], "node": np.arange(tree.size), "cluster": number.astype("int32"),
                          "greatest": greatest, "persistence": lasting})
 
@@ -324,20 +323,18 @@ def _selection(sums: pd.DataFrame, between: pd.DataFrame) -> pd.DataFrame:
 def _label_large(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     joined, between = _contract(edges, nodes)
     joined, between = cut(joined), cut(between)
-    # one row per leaf cluster and per edge between two: the tables that go into one task per group
-    leaves = joined.filter(F.col("leaf").isNotNull()).select("grp", "leaf").distinct()
-    links = between.select("grp", "u", "v", "w", "lo", "hi")
-    ranges = leaves.groupBy("grp").cogroup(links.groupBy("grp")).applyInPandas(
-        _ranges, "grp string, leaf string, node int, since double, until double")
+    # One row per edge between two leaf clusters: the table that goes into one task per group.
+    # A group without such an edge has no split, hence no cluster.
+    ranges = between.groupBy("grp").applyInPandas(_ranges, "grp string, leaf string, node int, since double, until double")
     lam = 1.0 / F.greatest(F.col("w"), F.lit(LEAST_WEIGHT))
-    held = cut(joined.join(ranges, ["grp", "leaf"]).filter((F.col("w") >= F.col("since")) & (F.col("w") < F.col("until"))).select(
-        "grp", "rid", "weight", "node", lam.alias("lam")))
+    held = cut(joined.filter(F.col("leaf").isNotNull()).join(ranges, ["grp", "leaf"]).filter(
+        (F.col("w") >= F.col("since")) & (F.col("w") < F.col("until"))).select("grp", "rid", "weight", "node", lam.alias("lam")))
     params = nodes.groupBy("grp").agg(F.first("epsilon").alias("epsilon"))
     sums = held.groupBy("grp", "node").agg(
         F.sum("weight").alias("count_"), F.sum(F.col("weight") * F.col("lam")).alias("lam_sum"),
         F.max("lam").alias("lam_max"), F.min("rid").alias("first_id"),
-    ).join(leaves.groupBy("grp").agg(F.collect_list("leaf").alias("leaves")), "grp").join(params, "grp")
-    chosen = sums.groupBy("grp").cogroup(links.groupBy("grp")).applyInPandas(
+    ).join(params, "grp")
+    chosen = sums.groupBy("grp").cogroup(between.groupBy("grp")).applyInPandas(
         _selection, "grp string, node int, cluster int, greatest double, persistence double")
     named = held.join(chosen, ["grp", "node"])
     labelled = named.select(
@@ -345,7 +342,9 @@ def _label_large(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         F.when(F.col("cluster") >= 0, F.least("lam", "greatest") / F.col("greatest")).otherwise(0.0).alias("probability"),
         F.when(F.col("cluster") >= 0, F.col("persistence")).alias("persistence"),
     )
-    loose = joined.filter(F.col("leaf").isNull()).select(
+    split = between.select("grp").distinct()
+    loose = joined.filter(F.col("leaf").isNull()).unionByName(
+        joined.filter(F.col("leaf").isNotNull()).join(split, "grp", "left_anti")).select(
         "grp", "rid", "weight", F.lit(-1).alias("cluster"), F.lit(0.0).alias("probability"), F.lit(None).cast("double").alias("persistence"))
     return labelled.unionByName(loose)
 
