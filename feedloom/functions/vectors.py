@@ -27,6 +27,11 @@ def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(doubles(a), F.lit(0.0), lambda s, x: s + x * x))
 
 
+def has_direction(a: Column) -> Column:
+    """Whether any part differs from zero; a cheap filter that does not repeat the scaling."""
+    return F.coalesce(F.exists(a, lambda x: x != 0), F.lit(False))
+
+
 def unit(a: Column) -> Column:
     """The vector scaled to length one; null for a zero vector.
 

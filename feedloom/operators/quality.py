@@ -42,8 +42,17 @@ def clustering_quality(labelled: DataFrame, by: list[str]) -> DataFrame:
 
 
 def hash_sample(points: DataFrame, size: int, seed: int = 42) -> DataFrame:
-    """The same `size` rows per group every time: those with the least hash of id and seed."""
-    return first_per_group(points, "grp", [F.xxhash64(F.lit(seed), "pid"), F.col("pid")], size, rank="_rank").drop("_rank")
+    """The same `size` rows per group every time: those with the least hash of id and seed.
+
+    Rows of a large group are first thinned by the same hash to about twice the size, far
+    enough above it to hold the `size` least ones, so the ranking never sees a whole group.
+    """
+    span = 2**30
+    mark = F.pmod(F.xxhash64(F.lit(seed), "pid"), F.lit(span))
+    sizes = points.groupBy("grp").agg(F.count("*").alias("_n"))
+    thinned = points.withColumn("_mark", mark).join(sizes, "grp").filter(
+        F.col("_mark") < F.lit(span) * F.lit(2.0 * size + 200) / F.col("_n"))
+    return first_per_group(thinned, "grp", [F.col("_mark"), F.col("pid")], size, rank="_rank").drop("_rank", "_mark", "_n")
 
 
 def _trust(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions.vectors import unit
+from feedloom.functions.vectors import has_direction, unit
 
 ROWS_PER_PART = 1_000_000  # rows summed by one task; a hot group is spread over many
 MODEL = "grp string, mean array<double>, axes array<array<double>>"
@@ -18,7 +18,7 @@ MODEL = "grp string, mean array<double>, axes array<array<double>>"
 
 def unit_points(points: DataFrame) -> DataFrame:
     """Points scaled to length one, zero vectors left out: Euclidean order is then cosine order."""
-    return points.withColumn("xs", unit(F.col("xs"))).filter(F.col("xs").isNotNull())
+    return points.filter(has_direction(F.col("xs"))).withColumn("xs", unit(F.col("xs")))
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

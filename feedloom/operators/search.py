@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.functions.vectors import unit
+from feedloom.functions.vectors import has_direction, unit
 from feedloom.operators.joined import enrich
 from feedloom.operators.reports import first_per_group
 
@@ -176,7 +176,7 @@ def train_lists(embeddings: DataFrame, lists: int, seed: int = 42, sample_rows:
     The centres only steer which rows are looked at first, so a hash sample of about
     `sample_rows` vectors trains them at any table size.
     """
-    rows = embeddings.filter(unit(F.col("vector")).isNotNull()).select("feedback_id", "vector")
+    rows = embeddings.filter(has_direction(F.col("vector"))).select("feedback_id", "vector")
     n = rows.count()
     if n > sample_rows:
         rows = rows.filter(F.pmod(F.xxhash64("feedback_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.embed import words
 from feedloom.operators.reports import first_per_group
+from feedloom.session import cut
 
 
 def cluster_terms(texts: DataFrame, k: int = 5, min_length: int = 3) -> DataFrame:
@@ -18,7 +19,7 @@ def cluster_terms(texts: DataFrame, k: int = 5, min_length: int = 3) -> DataFram
     tokens = texts.select("cluster_label", F.explode(words(F.col("feedback_text"))).alias("term")).filter(
         F.length("term") >= min_length
     )
-    counts = tokens.groupBy("cluster_label", "term").agg(F.count("*").alias("tf"))
+    counts = cut(tokens.groupBy("cluster_label", "term").agg(F.count("*").alias("tf")))  # read three times below
     spread = counts.groupBy("term").agg(F.count("*").alias("df"))
     clusters = counts.agg(F.countDistinct("cluster_label")).scalar()
     scored = counts.join(spread, "term").withColumn(

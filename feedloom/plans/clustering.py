@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.labels import child_label, slice_label
-from feedloom.functions.vectors import unit
+from feedloom.functions.vectors import has_direction, unit
 from feedloom.operators import adaptive
 from feedloom.operators.density import LOCAL_EDGES, density_clusters
 from feedloom.operators.mst import spanning_trees
@@ -59,11 +59,10 @@ def recursive_clusters(embeddings: DataFrame, settings: ClusterSettings = Cluste
     groups that may be split are reduced and clustered together.  Rows without source, style
     or a direction (zero vector) are `unclustered`; every input row comes back once.
     """
-    own = unit(F.col("vector"))
     label = slice_label(F.col("source"), F.col("style"))
-    usable = F.col("source").isNotNull() & F.col("style").isNotNull() & F.col("xs").isNotNull()
-    rows = embeddings.select(F.col("feedback_id").alias("pid"), own.alias("xs"), "source", "style", label.alias("slice"))
-    open_ = cut(rows.filter(usable).select(F.col("slice").alias("grp"), "pid", "xs"))
+    usable = F.col("source").isNotNull() & F.col("style").isNotNull() & has_direction(F.col("vector"))
+    open_ = cut(embeddings.filter(usable).select(
+        label.alias("grp"), F.col("feedback_id").alias("pid"), unit(F.col("vector")).alias("xs")))
     sizes = open_.groupBy("grp").agg(F.count("*").alias("n"))
     state = open_.join(sizes, "grp").withColumn(
         "open", adaptive.large_enough(F.lit(0), F.col("n"), settings.max_depth)).select(
@@ -159,8 +158,8 @@ def simple_recluster(embeddings: DataFrame, max_depth: int = 1, min_cluster_size
                      n_components: int = 2, prefix: str = "root", block_rows: int | None = None,
                      local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Reduce once, then split while a part has twice the least size; (pid, cluster_label)."""
-    points = embeddings.select(F.lit(prefix).alias("grp"), F.col("feedback_id").alias("pid"), unit(F.col("vector")).alias("xs"))
-    points = cut(points.filter(F.col("xs").isNotNull()))
+    points = cut(embeddings.filter(has_direction(F.col("vector"))).select(
+        F.lit(prefix).alias("grp"), F.col("feedback_id").alias("pid"), unit(F.col("vector")).alias("xs")))
     reduced = cut(project(points, principal_axes(points, n_components)))
     state = reduced.join(reduced.groupBy("grp").agg(F.count("*").alias("n")), "grp").withColumn(
         "open", F.col("n") >= 2 * min_cluster_size)

@@ -58,8 +58,8 @@ def ingest_job(feedback: DataFrame, inventory: DataFrame, embeddings: DataFrame,
         start, end = last_days(now, days_back)
     if skip_embedded:
         ledger = cut(sync_ledger(ledger, embeddings))
-    rows = cut(new_feedback(feedback, inventory, ledger if skip_embedded else None, start=start, end=end, limit=limit))
-    rows = rows.dropDuplicates(["feedback_id"])
+    rows = new_feedback(feedback, inventory, ledger if skip_embedded else None, start=start, end=end, limit=limit)
+    rows = cut(rows.dropDuplicates(["feedback_id"]))
     embedded = cut(embed_rows(rows, dim))
     items = embedded.select("feedback_id", F.to_timestamp_ntz(F.lit(str(now))).alias("embedded_at"))
     tagged = None if embeddings_only else cut(tag_rows(rows, rules))
