@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.canon import micro, r6, sql_micro, sql_ts, ts
+from checks.canon import micro, r6, sql_ts, ts
 from checks.pairs_tables import CLEAN_SQL, DAY1
 from checks.pairs_text import RULES
 from checks.twins import query
 from feedloom.functions.labels import slice_label
-from feedloom.operators import adaptive, density, kmeans, knn, linkage, mst, quality, reduce
+from feedloom.operators import adaptive, kmeans, knn, linkage, mst, quality, reduce
 from feedloom.plans import clustering, ingest
 from feedloom.session import cut
 from feedloom.sources.sinks import split_failures
