@@ -20,3 +20,27 @@ def word_count(text: Column) -> Column:
 def words(text: Column) -> Column:
     """All words of a text, unchanged; null gives an empty array."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), 0)
+
+
+SMALL_ROWS = 100_000  # narrow rows that may be sent to every task
+
+
+def meet(rows: DataFrame, keys: DataFrame, *on: str, how: str = "inner") -> DataFrame:
+    """Equi-join of a large table with a stored, narrow one, nulls being equal to nulls.
+
+    The narrow table goes to every task if it is counted to have few rows; else both sides are shuffled.
+    """
+    spare = keys
+    for name in on:
+        spare = spare.withColumnRenamed(name, f"_{name}")
+    met = F.lit(True)
+    for name in on:
+        met = met & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    small = keys.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    joined = rows.join(F.broadcast(spare) if small else spare, met, how)
+    return joined.drop(*[f"_{name}" for name in on])
+
+
+def fingerprint() -> Column:
+    """What tells apart rows that share a doc_id."""
+    return F.xxhash64("text").alias("fp")

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing, secrets, topk
+from feedloom.llm import decontaminate, jaccard, mixing, secrets, topk
 from feedloom.llm.common import read_table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shared", "n_item").distinct()
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(read_table(spark, sf_dir, "documents")))
 
@@ -28,10 +33,37 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_exact_top_k, op6_secret_scan)}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "copy_id", "class_id", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_mix_sources, op4_exact_top_k, op6_secret_scan, op10_ngram_jaccard)}
 
 #: DuckDB SQL for the same rows; operators that SQL cannot express are tested against brute-force versions.
 ORACLES = {
+    "op1_decontaminate": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT item_id, text, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM d),
+js AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM i),
+n AS (SELECT item_id, count(*) AS n_item FROM js GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item
+FROM ds JOIN js USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_item HAVING count(*) >= ceil(0.8 * n_item - 1e-9)""",
+    "op10_ngram_jaccard": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END)) AS s FROM d),
+c AS (SELECT min(doc_id) AS copy_id, s FROM g WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT copy_id, len(s) AS n, unnest(s) AS x FROM c),
+p AS (
+  SELECT a.copy_id AS u, b.copy_id AS v FROM e a JOIN e b ON a.x = b.x AND a.copy_id <> b.copy_id
+  GROUP BY a.copy_id, b.copy_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-6),
+r AS (SELECT copy_id AS node, copy_id AS seen FROM c UNION SELECT r.node, p.v FROM r JOIN p ON p.u = r.seen),
+k AS (SELECT node, min(seen) AS class_id FROM r GROUP BY node),
+l AS (SELECT u, count(*) AS n_links FROM p GROUP BY u)
+SELECT g.doc_id, coalesce(c.copy_id, g.doc_id) AS copy_id, coalesce(k.class_id, g.doc_id) AS class_id, coalesce(l.n_links, 0) AS n_links
+FROM g LEFT JOIN c ON c.s = g.s LEFT JOIN k ON k.node = c.copy_id LEFT JOIN l ON l.u = c.copy_id""",
     "op4_exact_top_k": """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
