@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.session import cut
+
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what counts as one word
 
 
@@ -44,3 +46,29 @@ def meet(rows: DataFrame, keys: DataFrame, *on: str, how: str = "inner") -> Data
 def fingerprint() -> Column:
     """What tells apart rows that share a doc_id."""
     return F.xxhash64("text").alias("fp")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder and read it back; the shuffle files behind it are removed at once."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return cut(df)
+    finally:
+        conf.set(key, before)
+
+
+def unique_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact copies together: members (doc_id, sha) and one row (uid, sha, copies, text) per different text, both stored.
+
+    Null texts count as empty.  A copy costs a narrow row from here on, so a text with a third of all rows is no hot group.
+    """
+    text = F.coalesce("text", F.lit("")).alias("text")
+    keyed = docs.select("doc_id", text).withColumn("sha", F.sha2("text", 256)).withColumn("turn", F.xxhash64("doc_id"))
+    members = stored(keyed.select("doc_id", "sha", "turn"))
+    heads = members.groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct("turn", "doc_id")).alias("head"))
+    heads = heads.select(F.col("sha").alias("_sha"), "copies", F.col("head.doc_id").alias("_doc"))
+    rows = keyed.join(heads, (F.col("sha") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
+    rows = rows.dropDuplicates(["sha", "doc_id"]).select(F.monotonically_increasing_id().alias("uid"), "sha", "copies", "text")
+    return members.select("doc_id", "sha"), stored(rows)

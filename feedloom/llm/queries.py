@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, jaccard, mixing, secrets, topk
+from feedloom.llm import decontaminate, jaccard, mixing, recompress, secrets, topk
 from feedloom.llm.common import read_table
 
 
@@ -24,6 +24,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(rows, rows.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), 5)
 
 
+def op5_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompress.without_repeats(read_table(spark, sf_dir, "documents"), 35, with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -37,7 +42,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "copy_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_mix_sources, op4_exact_top_k, op6_secret_scan, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op10_ngram_jaccard)}
 
 #: DuckDB SQL for the same rows; operators that SQL cannot express are tested against brute-force versions.
 ORACLES = {
