@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, jaccard, mixing, recompress, secrets, topk
+from feedloom.llm import decontaminate, jaccard, mixing, recompress, secrets, suffix_dedup, topk
 from feedloom.llm.common import read_table
 
 
@@ -14,6 +14,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_shared", "n_item").distinct()
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(read_table(spark, sf_dir, "documents"), 200, with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(read_table(spark, sf_dir, "documents")))
 
@@ -42,7 +47,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "copy_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_array_dedup, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op10_ngram_jaccard)}
 
 #: DuckDB SQL for the same rows; operators that SQL cannot express are tested against brute-force versions.
 ORACLES = {
