@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, jaccard, mixing, recompress, secrets, suffix_dedup, topk
+from feedloom.llm import decontaminate, jaccard, mixing, quality, recompress, secrets, suffix_dedup, topk
 from feedloom.llm.common import read_table
 
 
@@ -43,11 +43,17 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    machine = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.scored(docs, machine).drop("fp")
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "copy_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_array_dedup, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_array_dedup, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op7_quality_classifier, op10_ngram_jaccard)}
 
 #: DuckDB SQL for the same rows; operators that SQL cannot express are tested against brute-force versions.
 ORACLES = {
