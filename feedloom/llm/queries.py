@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, jaccard, mixing, quality, recompress, secrets, suffix_dedup, topk
+from feedloom.llm import decontaminate, jaccard, mixing, quality, recompress, secrets, suffix_dedup, tokens, topk, warc
 from feedloom.llm.common import read_table
 
 
@@ -49,11 +49,19 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, machine).drop("fp")
 
 
+def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(spark, warc.write_archive(read_table(spark, sf_dir, "pages")))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "copy_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_array_dedup, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op7_quality_classifier, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_array_dedup, op3_mix_sources, op4_exact_top_k, op5_recompression_dedup, op6_secret_scan, op7_quality_classifier, op8_warc_archive, op9_token_counts, op10_ngram_jaccard)}
 
 #: DuckDB SQL for the same rows; operators that SQL cannot express are tested against brute-force versions.
 ORACLES = {
