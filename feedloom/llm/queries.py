@@ -73,6 +73,26 @@ js AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lamb
 n AS (SELECT item_id, count(*) AS n_item FROM js GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS n_shared, n_item
 FROM ds JOIN js USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_item HAVING count(*) >= ceil(0.8 * n_item - 1e-9)""",
+    "op5_recompression_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d),
+h AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM s),
+t AS (SELECT h FROM h GROUP BY h HAVING count(*) > 1),
+c AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM h SEMI JOIN t USING (h)),
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+a AS (
+  SELECT x.r, count(c.k) AS n_removed, string_agg(x.word, ' ' ORDER BY x.k) FILTER (WHERE c.k IS NULL) AS kept
+  FROM x LEFT JOIN c ON c.r = x.r AND c.k = x.k GROUP BY x.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (r)""",
+    "op8_warc_archive": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 5 * (j // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (j % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY h) AS head FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN head IS NULL OR head IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN head IS NULL OR head IS NOT DISTINCT FROM page_id THEN NULL ELSE head END AS refers_to FROM b""",
     "op10_ngram_jaccard": r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (

@@ -8,7 +8,6 @@ joined to spans of kind entropy, unless an allow-list entry covers them.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -144,9 +143,18 @@ def scan(docs: DataFrame, rules: EntropyRules = EntropyRules()) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, spans array<struct<kind:string,start:long,end:long>>, text string")
 
 
-def digest_of(spans: list[dict]) -> tuple[int, int, int, str, str]:
-    """Counts per base kind, the hash of the base spans, and all spans as text: what the digest columns hold."""
-    rows = [(s["start"], KINDS.index(s["kind"]), s["end"]) for s in spans]
-    base = [r for r in rows if r[1] < 3]
-    counts = [sum(r[1] == k for r in base) for k in range(3)]
-    return (*counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(rows))
+def without_secrets(docs: DataFrame, rules: EntropyRules = EntropyRules()) -> DataFrame:
+    """All rows and columns of `docs`, with the secrets in `text` replaced and n_chars, if there, brought in line."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            texts = batch.column("text").to_pylist()
+            clean = [text and (redacted(text, spans) if (spans := all_spans(text, rules)) else text) for text in texts]
+            columns = batch.columns
+            columns[names.index("text")] = pa.array(clean, batch.schema.field("text").type)
+            if "n_chars" in names:
+                sizes = [n if a == b else len(b) for n, a, b in zip(batch.column("n_chars").to_pylist(), texts, clean)]
+                columns[names.index("n_chars")] = pa.array(sizes, batch.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
