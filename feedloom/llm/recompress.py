@@ -8,7 +8,7 @@ are chosen such that, in every window of the given number of words, the symbol o
 alone: equal windows carry the same symbol there.
 
 1. Spark counts the symbols of all texts; a window whose middle symbol occurs once is no repeat.
-2. The remaining windows are named by 128-bit hashes of their words, composed by doubling, and exchanged; those
+2. The remaining windows are named by two hashes of their words, one composed by doubling and one rolling, and exchanged; those
    whose name occurs again are the repeats.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import stored, unique_texts
+from feedloom.llm.hashing import Powers, mixed, rolling
 from feedloom.llm.repeats import PLACES, covered, gathered, places, repeated, spans
 
 WINDOW = 35
@@ -31,13 +32,6 @@ CHUNK_WORDS = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def schedule(window: int) -> list[tuple[str, int]]:
     """Rounds (kind, greatest length of a symbol that takes part) whose limits sum to what lies beside a window's middle word."""
     budget = (window - 1) // 2
@@ -80,9 +74,9 @@ def parse(names: np.ndarray, frozen: np.ndarray, rounds: list[tuple[str, int]])
     return names, starts, runs
 
 
-def window_names(hashes: np.ndarray, window: int, salt: int) -> np.ndarray:
+def window_names(hashes: np.ndarray, window: int) -> np.ndarray:
     """A hash of every `window` consecutive words: names of 1, 2, 4 .. words are joined as the window's length needs."""
-    total, at, power, step = None, 0, mixed(hashes + np.uint64(salt)), 1
+    total, at, power, step = None, 0, hashes, 1
     count = len(hashes) - window + 1
     if count <= 0:
         return np.empty(0, np.uint64)
@@ -155,7 +149,7 @@ def _windows(window: int):
     middle = (window - 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
+        known, powers = _WordHashes(), Powers()
         parts: list[tuple] = []
         size = 0
 
@@ -165,14 +159,15 @@ def _windows(window: int):
             return places(names, more, uids, starts, np.full(len(names), window), none, public)
 
         for batch in batches:
-            for row in batch.to_pylist():
-                hashes = _hashes(row["text"], known)
+            rows_of = zip(batch.column("uid").to_pylist(), batch.column("copies").to_pylist(), *(batch.column(c) for c in ("text", "starts", "lengths")))
+            for uid, copies, text, starts, lengths in rows_of:
+                hashes = _hashes(text.as_py(), known)
                 count = len(hashes) - window + 1
-                due = np.flatnonzero(covered(np.array(row["starts"]), np.array(row["lengths"]), len(hashes))) - middle
+                due = np.flatnonzero(covered(starts.values.to_numpy(), lengths.values.to_numpy(), len(hashes))) - middle
                 due = due[(due >= 0) & (due < count)]
                 if len(due):
-                    parts.append((window_names(hashes, window, 1)[due], window_names(hashes, window, 2)[due], np.full(len(due), row["uid"]), due,
-                                  np.full(len(due), row["copies"] > 1)))
+                    parts.append((window_names(hashes, window)[due], rolling(hashes, window, powers)[due], np.full(len(due), uid), due,
+                                  np.full(len(due), copies > 1)))
                     size += len(due)
                 if size >= CHUNK_WORDS:
                     yield rows()

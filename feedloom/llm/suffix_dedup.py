@@ -24,31 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import stored, unique_texts
+from feedloom.llm.hashing import Powers, rolling
 from feedloom.llm.induced import suffix_order
-from feedloom.llm.recompress import mixed
-from feedloom.llm.repeats import PLACES, covered, gathered, places, repeated, spans
+from feedloom.llm.repeats import PLACES, covered, gathered, packed, places, repeated, spans, START
 
 WINDOW = 200
 GRAM = 48
 SHARD_BYTES = 1_500_000
 CHUNK_ROWS = 100_000
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 1 << 64)
-
-
-class _Powers:
-    """Powers of the rolling hash's base and of its inverse, as long as the longest text needs."""
-
-    def __init__(self) -> None:
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def to(self, count: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) < count:
-            for name, base in (("up", _BASE), ("down", _BACK)):
-                known = getattr(self, name)
-                setattr(self, name, np.concatenate((known, known * np.uint64(pow(base, len(known), 1 << 64)))))
-        return self.up[:count], self.down[:count]
-
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every `width` consecutive values, by doubling."""
@@ -59,15 +42,12 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:count], values[width - step:width - step + count])
 
 
-def segments(text: bytes, window: int, gram: int, powers: _Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def segments(text: bytes, window: int, gram: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Names, first windows and numbers of windows of a text's segments; whether the name occurs twice in the text."""
     if len(text) < window:
         none = np.empty(0, np.int64)
         return none.astype(np.uint64), none, none, none.astype(bool)
-    up, down = powers.to(len(text) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64)))
-    count = len(text) - gram + 1
-    grams = mixed((sums[gram:] - sums[:-gram]) * down[:count])
+    grams = rolling(np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1), gram, powers)
     width = window - gram + 1
     names = _least(grams, width)
     first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
@@ -82,7 +62,7 @@ def segments(text: bytes, window: int, gram: int, powers: _Powers) -> tuple[np.n
 
 def _named(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, parts, size = _Powers(), [], 0
+        powers, parts, size = Powers(), [], 0
 
         def rows() -> pa.RecordBatch:
             names, uids, first, lengths, twice = (np.concatenate(x) for x in zip(*parts))
@@ -105,7 +85,7 @@ def _named(window: int, gram: int):
 def _contents(window: int, gram: int):
     """Segments with their bytes: `name` is the segment's, `more` the hash of its bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, parts, size = _Powers(), [], 0
+        powers, parts, size = Powers(), [], 0
 
         def rows() -> pa.RecordBatch:
             names, more, uids, first, lengths, public, contents = zip(*parts)
@@ -113,8 +93,8 @@ def _contents(window: int, gram: int):
             lengths = np.array(lengths)
             out = places(names, more, np.array(uids), np.array(first), lengths, np.zeros(len(names), bool), np.array(public))
             content = {(n, m): c for n, m, c in zip(names.view(np.int64).tolist(), more.view(np.int64).tolist(), contents)}
-            known, name, digest = out.column(5).to_pylist(), out.column(0).to_pylist(), out.column(1).to_pylist()
-            held = [None if k else content[(n, d)] for k, n, d in zip(known, name, digest)]
+            place, name, digest = (out.column(i).to_pylist() for i in (3, 0, 1))
+            held = [None if p is not None and p & 1 else content[(n, d)] for p, n, d in zip(place, name, digest)]
             return out.append_column("content", pa.array(held, pa.binary()))
 
         for batch in batches:
@@ -153,8 +133,7 @@ def _sorted_shard(window: int):
         first = np.flatnonzero(new)
         runs = np.diff(first, append=len(owner))
         uid, start = table["uid"].to_numpy(), table["start"].to_numpy()
-        return pa.table({"uid": pa.array(uid[owner[first]].astype(np.int64)), "start": pa.array((start[owner[first]] + offset[first]).astype(np.int32)),
-                         "length": pa.array(runs.astype(np.int32))})
+        return pa.table({"uid": pa.array(uid[owner[first]].astype(np.int64)), "place": pa.array(packed(start[owner[first]] + offset[first], runs))})
     return run
 
 
@@ -197,12 +176,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
 
     several = F.sum(F.when(F.col("uid").isNull(), 2).otherwise(1)) > 1
     distinct = parts.filter("content IS NOT NULL").groupBy("name", "more").agg(
-        several.alias("several"), F.min("uid").alias("uid"), F.min("start").alias("start"), F.first("content").alias("content"))
+        several.alias("several"), F.min("uid").alias("uid"), F.min(F.expr(START)).alias("start"), F.first("content").alias("content"))
     distinct = stored(distinct.withColumn("several", F.col("several") | F.col("uid").isNull()).fillna({"uid": -1, "start": -1}))
     total = distinct.agg(F.coalesce(F.sum(F.length("content") + 1), F.lit(0))).head()[0]
     shards = max(1, math.ceil(total / shard_bytes))
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
-    sorted_ = dealt.groupBy("shard").applyInArrow(_sorted_shard(window), "uid long, start int, length int")
+    sorted_ = dealt.groupBy("shard").applyInArrow(_sorted_shard(window), "uid long, place long")
     found = stored(gathered(whole.unionByName(sorted_)))
     done = unique.join(found, "uid", "left").select("sha", "copies", "text", "starts", "lengths").mapInArrow(
         _removed(window, with_text), "sha string, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary")
