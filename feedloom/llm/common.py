@@ -43,6 +43,11 @@ def meet(rows: DataFrame, keys: DataFrame, *on: str, how: str = "inner") -> Data
     return joined.drop(*[f"_{name}" for name in on])
 
 
+def held_rows(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column `row`, beside their doc_id and fp: no other column can clash with an operator's own."""
+    return docs.select(F.struct("*").alias("row"), "doc_id", fingerprint())
+
+
 def fingerprint() -> Column:
     """What tells apart rows that share a doc_id."""
     return F.xxhash64("text").alias("fp")

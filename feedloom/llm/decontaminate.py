@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import fingerprint, meet, words
+from feedloom.llm.common import fingerprint, held_rows, meet, words
 from feedloom.session import cut
 
 WIDTH = 5
@@ -76,4 +76,4 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """The rows of `docs`, all columns, that contain no item."""
     hit = cut(contained_items(docs, items, threshold, width).select("doc_id", "fp").distinct())
-    return meet(docs.withColumn("fp", fingerprint()), hit, "doc_id", "fp", how="left_anti").drop("fp")
+    return meet(held_rows(docs), hit, "doc_id", "fp", how="left_anti").select("row.*")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import fingerprint, meet
+from feedloom.llm.common import fingerprint, held_rows, meet
 from feedloom.llm.links import least_members
 from feedloom.session import cut
 
@@ -222,5 +222,4 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, all columns, that are kept: one of each near-duplicate class, repeated rows once."""
     kept = cut(near_duplicates(docs, **options).filter("keeper").select("doc_id", "fp").distinct())
-    rows = docs.withColumn("fp", fingerprint())
-    return meet(rows, kept, "doc_id", "fp").dropDuplicates(["doc_id", "fp"]).drop("fp")
+    return meet(held_rows(docs), kept, "doc_id", "fp").dropDuplicates(["doc_id", "fp"]).select("row.*")

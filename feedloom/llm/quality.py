@@ -213,9 +213,8 @@ def accepted(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, buckets = Machine(*model.value), _Buckets(settings.buckets)
         for batch in batches:
-            declared = batch.column("_declared").to_pylist()
+            declared = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else [None] * batch.num_rows
             keep = [own.score(*features(t.as_py(), d, buckets)) >= KEEP_FROM for t, d in zip(batch.column("text"), declared)]
-            yield batch.filter(pa.array(keep, pa.bool_())).drop_columns(["_declared"])
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    declared = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    return docs.withColumn("_declared", declared).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

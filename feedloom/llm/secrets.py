@@ -46,7 +46,7 @@ def entropy_windows(text: str, size: int) -> Iterator[tuple[int, float]]:
     """Start and entropy of every window of `size` characters, from counts updated in place."""
     if len(text) < size:
         return
-    term = [0.0] + [c * math.log2(c) for c in range(1, size + 1)]
+    term = [0.0] + [c * math.log2(c) for c in range(1, size + 2)]
     counts: dict[str, int] = {}
     total = 0.0
     for i, char in enumerate(text):

@@ -271,6 +271,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, least_bytes: int
 
 
 def read_archive(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
+    """All records of a folder.  Spark keeps the filters first pushed down with the loaded table: call this again for other filters."""
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
 
