@@ -111,7 +111,7 @@ def _(t):
 WITH r AS (SELECT feedback_id, feedback_text, CAST(CAST(feedback_id AS BIGINT) % 8 AS INTEGER) AS shard, created_at FROM feedback WHERE feedback_text IS NOT NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY created_at, feedback_id) - 1 AS rn FROM r)
 SELECT shard, CAST(rn // 10 AS INTEGER) AS batch, COUNT(*) AS n_items,
-  string_agg((rn % 10 + 1) || '. ' || substring(feedback_text, 1, 200), chr(10) ORDER BY rn) AS block FROM n GROUP BY 1, 2""")
+  string_agg((rn % 10 + 1) || '. ' || feedback_text, chr(10) ORDER BY rn) AS block FROM n GROUP BY 1, 2""")
 def _(t):
     rows = t.feedback.filter(F.col("feedback_text").isNotNull())
     return tagging.build_prompts(reports.request_batches(rows, 10, F.col("feedback_id").cast("bigint") % 8))
@@ -133,4 +133,4 @@ SELECT cluster_label, term, tf, round(score, 6) AS score, CAST(rank AS INTEGER)
   SELECT *, row_number() OVER (PARTITION BY cluster_label ORDER BY round(score, 6) DESC, term) AS rank FROM s) WHERE rank <= 5""")
 def _(t):
     rows = t.feedback.filter(F.col("cluster_id").isNotNull()).select(F.col("cluster_id").alias("cluster_label"), "feedback_text")
-    return terms.cluster_terms(rows).select("cluster_label", "term", "tf", r6("score"), "rank")
+    return terms.cluster_terms(rows, min_length=3).select("cluster_label", "term", "tf", r6("score"), "rank")

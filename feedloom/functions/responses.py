@@ -1,8 +1,8 @@
 """Readers for the answers of a tagging model.
 
 The taxonomy is a short list of names and is planned as a literal array.  JSON is
-checked as a whole by parsing it as the value of a one-field object, since the
-JSON reader on its own accepts trailing text after a complete array.
+checked as a whole by parsing it as the only element of an array, since the JSON
+reader on its own accepts trailing text after a complete value.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import without_fences, without_quotes
+from feedloom.functions.text import stripped, without_fences, without_quotes
 
 UNCATEGORIZED = "Uncategorized"
 _STRICT = {"allowSingleQuotes": "false"}
@@ -23,8 +23,8 @@ def _names(taxonomy: Sequence[str]) -> Column:
 
 
 def _whole_json(text: Column, kind: str) -> Column:
-    wrapped = F.concat(F.lit('{"v":'), text, F.lit("}"))
-    return F.from_json(wrapped, f"struct<v:{kind}>", _STRICT)["v"]
+    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{kind}>", _STRICT)
+    return F.when(F.size(elements) == 1, elements[0])
 
 
 def _members(tags: Column, taxonomy: Sequence[str]) -> Column:
@@ -46,7 +46,7 @@ def multi_tags(response: Column, taxonomy: Sequence[str]) -> Column:
     A whole JSON list decides even when none of its names is known; otherwise the
     first bracketed list with a known name; otherwise every name found in the text.
     """
-    text = without_fences(F.trim(response))
+    text = without_fences(stripped(response))
     whole = _members(_whole_json(text, "array<string>"), taxonomy)
     bracketed = _members(_whole_json(F.regexp_extract(text, r"(?s)\[.*?\]", 0), "array<string>"), taxonomy)
     found = (
@@ -59,7 +59,7 @@ def multi_tags(response: Column, taxonomy: Sequence[str]) -> Column:
 
 def single_tag(response: Column, taxonomy: Sequence[str]) -> Column:
     """The one tag of an answer: exact, then case-free, then containment either way."""
-    text = without_quotes(F.trim(response))
+    text = without_quotes(stripped(response))
     low = F.lower(text)
     names = _names(taxonomy)
     same = F.filter(names, lambda name: F.lower(name) == low)
@@ -69,17 +69,22 @@ def single_tag(response: Column, taxonomy: Sequence[str]) -> Column:
     )
 
 
-def batch_tags(response: Column, position: Column, taxonomy: Sequence[str], fallback: Column) -> Column:
+def batch_tags(response: Column, position: Column, taxonomy: Sequence[str], fallback: Column, allow_multiple: bool = True) -> Column:
     """Tags of the item at `position` (from 1) in an answer that covers a batch.
 
     The answer is an object keyed by position.  A list or a bare name is accepted as
-    value; anything else is Uncategorized.  An answer that is not JSON gives `fallback`.
+    value; anything else is Uncategorized.  Without `allow_multiple` the first known name of a
+    list is the only tag.  An answer that is not JSON gives `fallback`.
     """
-    text = without_fences(F.trim(response))
+    text = without_fences(stripped(response))
     entries = _whole_json(text, "map<string,string>")
-    is_json = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    # a value and nothing after it: it stands alone in an object as well as in an array
+    is_json = F.lit(True)
+    for left, right in (('{"v":', "}"), ("[", "]")):
+        is_json = is_json & F.try_parse_json(F.concat(F.lit(left), text, F.lit(right))).isNotNull()
     value = F.try_element_at(entries, position.cast("string"))
     listed = _members(F.from_json(value, "array<string>", _STRICT), taxonomy)
+    listed = listed if allow_multiple else F.slice(listed, 1, 1)
     tags = F.when(F.startswith(F.ltrim(value), F.lit("[")), _or_default(listed)).when(
         value.isin(*taxonomy), F.array(value)
     )

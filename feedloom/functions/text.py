@@ -39,10 +39,15 @@ def without_quotes(text: Column) -> Column:
     return F.regexp_replace(text, r"""^["']+|["']+$""", "")
 
 
-def numbered_block(texts: Column, width: int = 200) -> Column:
-    """`1. first text`, `2. second text`, ... joined by newlines, each cut to `width` characters."""
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def numbered_block(texts: Column, width: int | None = None) -> Column:
+    """`1. first text`, `2. second text`, ... joined by newlines; with `width`, each cut to so many characters."""
     lines = F.transform(
         texts,
-        lambda t, i: F.concat((i + 1).cast("string"), F.lit(". "), F.substring(t, 1, width)),
+        lambda t, i: F.concat((i + 1).cast("string"), F.lit(". "), F.substring(t, 1, width) if width else t),
     )
     return F.array_join(lines, "\n")

@@ -104,8 +104,8 @@ def browse_clusters(clusters: DataFrame, *, start=None, end=None, style: str | N
 def browse_feedback(feedback: DataFrame, inventory: DataFrame, tags: DataFrame | None = None, *,
                     cluster_id: str | None = None, source: str | None = None, style: str | None = None,
                     tag: str | None = None, min_confidence: float = 0.7, start=None, end=None,
-                    limit: int | None = 1000) -> DataFrame:
-    """Filtered feedback, newest first.
+                    limit: int | None = None) -> DataFrame:
+    """Filtered feedback, newest first; only the first `limit` rows if that is asked for.
 
     The tag condition is a semi join, so a row never repeats and no DISTINCT over
     the texts is needed.

@@ -84,7 +84,8 @@ class LeafTree:
             if node in self.children:
                 x, y = self.children[node]
                 total[node] += total[x] + total[y]
-                low[node] = min(v for v in (low[node], low[x], low[y]) if v is not None)
+                # leaves that are born and merged at one weight hold no point of their own
+                low[node] = min((v for v in (low[node], low[x], low[y]) if v is not None), default=None)
                 met = 1.0 / max(self.split[node], LEAST_WEIGHT)
                 inner = (total[x] + total[y]) * (met - born[node])
                 peak[node] = max(peak[node], met)

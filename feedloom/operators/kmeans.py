@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +37,13 @@ def step(points: DataFrame, centres: DataFrame, dim: int) -> DataFrame:
         F.array(*[F.avg(F.col("xs")[i]) for i in range(dim)]).alias("centre"), F.count("*").alias("n"))
 
 
-def fit(points: DataFrame, k: int, dim: int, iterations: int = 20, seed: int = 42, tolerance: float = 1e-9) -> DataFrame:
-    """(grp, centres) after Lloyd steps over all groups until nothing moves.
+def fit(points: DataFrame, k: int, dim: int, iterations: int | None = None, seed: int = 42, tolerance: float = 1e-9) -> DataFrame:
+    """(grp, centres) after Lloyd steps over all groups until nothing moves, or after so many `iterations`.
 
     A centre that loses all its points stays where it is.
     """
     centres = cut(farthest_start(points, k, seed))
-    for _ in range(iterations):
+    for _ in count() if iterations is None else range(iterations):
         moved = step(points, centres, dim)
         old = centres.select("grp", F.posexplode("centres").alias("cluster", "was"))
         merged = old.join(moved, ["grp", "cluster"], "left").withColumn("now", F.coalesce("centre", "was"))

@@ -26,19 +26,25 @@ TREE = "grp string, u string, v string, w double"
 CHOICE = "grp string, comp string, w double, lo string, hi string, other string"
 
 
-def prim(x: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tree edges (from, to, weight) of one block, distances row by row."""
+def prim(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tree edges (from, to, weight) of one block, distances row by row; ties in the order of (weight, lesser id, greater id)."""
     n = len(x)
+    rank = np.argsort(np.argsort(ids))
     best, source = np.full(n, np.inf), np.zeros(n, dtype=int)
+    low, high = np.full(n, n), np.full(n, n)
     open_ = np.ones(n, dtype=bool)
     u, v, w = np.zeros(n - 1, dtype=int), np.zeros(n - 1, dtype=int), np.zeros(n - 1)
     at = 0
     for i in range(n - 1):
         open_[at] = False
-        step = np.maximum(np.sqrt(((x - x[at]) ** 2).sum(axis=1)), np.maximum(core, core[at]))
-        better = open_ & (step < best)
+        step = np.maximum(np.sqrt(squared_distances(x[at:at + 1], x)[0]), np.maximum(core, core[at]))
+        lesser, greater = np.minimum(rank, rank[at]), np.maximum(rank, rank[at])
+        tied = (step == best) & ((lesser < low) | ((lesser == low) & (greater < high)))
+        better = open_ & ((step < best) | tied)
         best[better], source[better] = step[better], at
-        at = int(np.argmin(np.where(open_, best, np.inf)))
+        low[better], high[better] = lesser[better], greater[better]
+        due = np.flatnonzero(open_ & (best == best[open_].min()))
+        at = int(due[np.lexsort((high[due], low[due]))[0]])
         u[i], v[i], w[i] = source[at], at, best[at]
     return u, v, w
 
@@ -49,7 +55,7 @@ def _whole_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, core = values(batch, i, "ids"), values(batch, i, "cores")
             if len(ids) < 2:
                 continue
-            u, v, w = prim(coords(batch, i, "xs", batch.column("dim")[i].as_py()), core)
+            u, v, w = prim(coords(batch, i, "xs", batch.column("dim")[i].as_py()), core, ids)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([batch.column("grp")[i].as_py()] * len(w)), pa.array(ids[u], pa.string()), pa.array(ids[v], pa.string()), pa.array(w)],
                 ["grp", "u", "v", "w"],
@@ -68,6 +74,8 @@ def _least_edges(across: bool):
                 ca, cb = values(batch, i, "cores"), values(batch, i, f"{other}cores")
                 ia, ib = values(batch, i, "ids"), values(batch, i, f"{other}ids")
                 pa_, pb = values(batch, i, "comps"), values(batch, i, f"{other}comps")
+                by_id = np.argsort(ib)  # of equal distances the first, that is the least id, is taken
+                xb, cb, ib, pb = xb[by_id], cb[by_id], ib[by_id], pb[by_id]
                 numbers = {c: j for j, c in enumerate(sorted(set(pa_) | set(pb)))}
                 na, nb = np.array([numbers[c] for c in pa_]), np.array([numbers[c] for c in pb])
                 weight, column = np.full(len(xa), np.inf), np.zeros(len(xa), dtype=int)

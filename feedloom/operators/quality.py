@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.vectors import dot, l2_distance, squared_l2
 from feedloom.operators.reports import first_per_group
 
-TRUST_SAMPLE = 5000  # rows per group, the sample size of the measure itself
+TRUST_SAMPLE = 5000  # fixed value: rows per group in the clustering jobs
 
 
 def clustering_quality(labelled: DataFrame, by: list[str]) -> DataFrame:
@@ -79,17 +79,20 @@ def _pair_distances(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def trustworthiness(points: DataFrame, reduced: DataFrame, n_neighbors: Column | int, sample: int = TRUST_SAMPLE) -> DataFrame:
-    """(grp, n, trustworthiness) of a reduction, on at most `sample` rows per group.
+def trustworthiness(points: DataFrame, reduced: DataFrame, n_neighbors: Column | int, sample: int | None = None) -> DataFrame:
+    """(grp, n_group, n, trustworthiness) of a reduction, on all `n_group` rows or, if asked, on at most `sample` of a group.
 
     1 - 2 / (n k (2n - 3k - 1)) times the summed excess of the original rank over k of the
-    neighbours in the reduced space.  The sample size bounds what one task works on;
+    neighbours in the reduced space.  A task compares all rows of a group, so give a sample for large ones;
     `n_neighbors` may read the columns of `points`.
     """
     k = n_neighbors if isinstance(n_neighbors, Column) else F.lit(n_neighbors)
-    picked = hash_sample(points.select("grp", "pid", "xs", k.cast("int").alias("n_neighbors")), sample)
+    picked = points.select("grp", "pid", "xs", k.cast("int").alias("n_neighbors"))
+    picked = picked if sample is None else hash_sample(picked, sample)
     rows = picked.join(reduced.select("grp", "pid", F.col("xs").alias("reduced")), ["grp", "pid"])
-    return rows.groupBy("grp").applyInPandas(_trust, "grp string, n int, trustworthiness double")
+    measured = rows.groupBy("grp").applyInPandas(_trust, "grp string, n int, trustworthiness double")
+    sizes = points.groupBy("grp").agg(F.count("*").alias("n_group"))
+    return measured.join(sizes, "grp").select("grp", "n_group", "n", "trustworthiness")
 
 
 # --- distances to centres and silhouettes ------------------------------------------------------

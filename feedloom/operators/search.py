@@ -170,16 +170,12 @@ def search_themes(hits: DataFrame, tags: DataFrame, feedback: DataFrame) -> Data
 
 # --- bucketed search ------------------------------------------------------------------
 
-def train_lists(embeddings: DataFrame, lists: int, seed: int = 42, sample_rows: int = 200_000) -> np.ndarray:
+def train_lists(embeddings: DataFrame, lists: int, seed: int = 42) -> np.ndarray:
     """List centres (lists x dim) from k-means over unit vectors.
 
-    The centres only steer which rows are looked at first, so a hash sample of about
-    `sample_rows` vectors trains them at any table size.
+    Spark fits them on all vectors that have a direction, one distributed pass per step.
     """
-    rows = embeddings.filter(has_direction(F.col("vector"))).select("feedback_id", "vector")
-    n = rows.count()
-    if n > sample_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("feedback_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n))
+    rows = embeddings.filter(has_direction(F.col("vector"))).select("vector")
     features = rows.select(array_to_vector(unit(F.col("vector"))).alias("features"))
     model = KMeans(k=lists, seed=seed, maxIter=10).fit(features)
     return np.array(model.clusterCenters())

@@ -56,7 +56,7 @@ def parse_single_tags(df: DataFrame, taxonomy: Sequence[str], column: str = "res
 
 
 def parse_batch_responses(items: DataFrame, answers: DataFrame, taxonomy: Sequence[str],
-                          fallback: Column | None = None) -> DataFrame:
+                          fallback: Column | None = None, allow_multiple: bool = True) -> DataFrame:
     """Tags of every item from the answer of its batch.
 
     `items` has (shard, batch, position) beside its own columns, `answers` has (shard, batch,
@@ -65,12 +65,12 @@ def parse_batch_responses(items: DataFrame, answers: DataFrame, taxonomy: Sequen
     """
     rows = items.join(answers.select("shard", "batch", "response"), ["shard", "batch"], "left")
     none = F.array(F.lit(UNCATEGORIZED))
-    tags = responses.batch_tags(F.col("response"), F.col("position"), taxonomy, none if fallback is None else fallback)
+    tags = responses.batch_tags(F.col("response"), F.col("position"), taxonomy, none if fallback is None else fallback, allow_multiple)
     return rows.withColumn("tags", tags).drop("response")
 
 
-def build_prompts(batches: DataFrame, width: int = 200) -> DataFrame:
-    """One numbered text block per batch; a batch has a fixed number of rows."""
+def build_prompts(batches: DataFrame, width: int | None = None) -> DataFrame:
+    """One numbered block of whole texts per batch, or of texts cut to `width`; a batch has a fixed number of rows."""
     in_order = F.sort_array(F.collect_list(F.struct("position", "feedback_text")))
     return batches.groupBy("shard", "batch").agg(
         numbered_block(in_order["feedback_text"], width).alias("block"), F.count("*").alias("n_items")

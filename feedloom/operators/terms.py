@@ -10,7 +10,7 @@ from feedloom.operators.reports import first_per_group
 from feedloom.session import cut
 
 
-def cluster_terms(texts: DataFrame, k: int = 5, min_length: int = 3) -> DataFrame:
+def cluster_terms(texts: DataFrame, k: int = 5, min_length: int = 1) -> DataFrame:
     """The k terms that set each cluster apart, by term frequency times log inverse cluster frequency.
 
     `texts` has (cluster_label, feedback_text).  Words are counted inside every map task

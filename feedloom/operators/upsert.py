@@ -60,10 +60,13 @@ def upsert_clusters(target: DataFrame, changes: DataFrame) -> DataFrame:
     return upsert(target, changes, ["cluster_id"], ["created_at", "record_count"])
 
 
-def apply_assignments(feedback: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Set `cluster_id` from (feedback_id, cluster_label); unmatched rows keep theirs."""
-    new = assignments.select("feedback_id", F.col("cluster_label").alias("new_cluster_id"))
-    new = new.groupBy("feedback_id").agg(F.max("new_cluster_id").alias("new_cluster_id"))
+def apply_assignments(feedback: DataFrame, assignments: DataFrame, order: Sequence[str] = ("cluster_label",)) -> DataFrame:
+    """Set `cluster_id` from (feedback_id, cluster_label); unmatched rows keep theirs.
+
+    Repeated ids resolve to the last label by `order`.
+    """
+    new = last_per_key(assignments.select("feedback_id", "cluster_label", *(c for c in order if c != "cluster_label")), ["feedback_id"], order)
+    new = new.select("feedback_id", F.col("cluster_label").alias("new_cluster_id"))
     return (
         feedback.join(new, "feedback_id", "left")
         .withColumn("cluster_id", F.coalesce("new_cluster_id", "cluster_id"))

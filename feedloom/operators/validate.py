@@ -18,6 +18,8 @@ def reasons(kind: str, dim: int | None = None) -> Column:
     if kind == "embedding" and dim is not None:
         vector = F.col("vector")
         checks.append(F.when(vector.isNotNull() & (F.size(vector) != dim), F.lit("wrong dimension")))
+        finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+        checks.append(F.when(vector.isNotNull() & ~F.coalesce(finite, F.lit(False)), F.lit("part not finite")))
         checks.append(F.when(F.forall(vector, lambda x: x == 0), F.lit("zero vector")))
     if kind == "tag":
         checks.append(F.when(~F.col("confidence_score").between(0.0, 1.0), F.lit("confidence out of range")))

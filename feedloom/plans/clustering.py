@@ -12,7 +12,7 @@ from feedloom.functions.vectors import has_direction, unit
 from feedloom.operators import adaptive
 from feedloom.operators.density import LOCAL_EDGES, density_clusters
 from feedloom.operators.mst import spanning_trees
-from feedloom.operators.quality import clustering_quality, trustworthiness
+from feedloom.operators.quality import TRUST_SAMPLE, clustering_quality, trustworthiness
 from feedloom.operators.reduce import principal_axes, project
 from feedloom.operators.reports import cluster_catalog, cluster_samples_wide, label_counts
 from feedloom.operators.upsert import apply_assignments, upsert_clusters
@@ -114,7 +114,7 @@ def _level(points: DataFrame, depth: int, settings: ClusterSettings) -> tuple[Da
         "neighbours", adaptive.neighbour_params(F.lit(depth), F.col("n_points"), settings.n_components)).withColumn("density", params)
     if settings.measure_trust:
         k = quality.select("grp", F.col("neighbours.n_neighbors").alias("k"))
-        trust = trustworthiness(points.join(k, "grp"), reduced, F.col("k"))
+        trust = trustworthiness(points.join(k, "grp"), reduced, F.col("k"), TRUST_SAMPLE)
         quality = quality.join(trust.select("grp", "trustworthiness"), "grp", "left")
     else:
         quality = quality.withColumn("trustworthiness", F.lit(None).cast("double"))

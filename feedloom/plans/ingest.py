@@ -11,7 +11,7 @@ from feedloom.functions.times import last_days
 from feedloom.operators.clean import new_feedback
 from feedloom.operators.embed import hash_embeddings
 from feedloom.operators.tagging import explode_tags, keyword_tags
-from feedloom.operators.upsert import sync_ledger, upsert_embeddings, upsert_ledger, upsert_tags
+from feedloom.operators.upsert import last_per_key, sync_ledger, upsert_embeddings, upsert_ledger, upsert_tags
 from feedloom.session import cut
 
 
@@ -58,8 +58,10 @@ def ingest_job(feedback: DataFrame, inventory: DataFrame, embeddings: DataFrame,
         start, end = last_days(now, days_back)
     if skip_embedded:
         ledger = cut(sync_ledger(ledger, embeddings))
-    rows = new_feedback(feedback, inventory, ledger if skip_embedded else None, start=start, end=end, limit=limit)
-    rows = cut(rows.dropDuplicates(["feedback_id"]))
+    rows = new_feedback(feedback, inventory, ledger if skip_embedded else None, start=start, end=end)
+    # a product with two styles gives one row, the last by all columns; then the limit counts ids, oldest first
+    rows = last_per_key(rows, ["feedback_id"], ["created_at", *(c for c in rows.columns if c not in ("feedback_id", "created_at"))])
+    rows = cut(rows if limit is None else rows.orderBy("created_at", "feedback_id").limit(limit))
     embedded = cut(embed_rows(rows, dim))
     items = embedded.select("feedback_id", F.to_timestamp_ntz(F.lit(str(now))).alias("embedded_at"))
     tagged = None if embeddings_only else cut(tag_rows(rows, rules))

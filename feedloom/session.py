@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith(("local[", "local*")) and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="feedloom-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -50,9 +50,3 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def bound_arrow_batches(spark: SparkSession) -> None:
-    """Packed blocks are wide rows, so batches sent to Python are limited by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch",
-                   RUNTIME_SETTINGS["spark.sql.execution.arrow.maxBytesPerBatch"])
