@@ -61,7 +61,7 @@ def test_batches_keep_order(spark):
 
 def test_prompt_block(spark):
     rows = spark.createDataFrame([(0, 0, 2, "b" * 300), (0, 0, 1, "a")], "shard int, batch int, position int, feedback_text string")
-    assert tagging.build_prompts(rows).head()["block"] == "1. a\n2. " + "b" * 200
+    assert tagging.build_prompts(rows, width=200).head()["block"] == "1. a\n2. " + "b" * 200
 
 
 def test_keyword_tags_single_and_many(spark):
