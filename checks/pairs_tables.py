@@ -248,22 +248,23 @@ def _(t):
     return rows.select(*CORE, "style", ts("created_at"))
 
 
-@query("cluster_feedback", "feedback", f"""
-SELECT feedback_id, feedback_text, feedback_source, rating, {sql_ts('created_at')} AS created_at FROM feedback
-WHERE cluster_id = 'source_review.style_Weekend.0.1'""")
+@query("cluster_feedback", "feedback assignments", f"""
+WITH members AS (SELECT feedback_id FROM assignments WHERE cluster_label = 'source_chat.style_Everyday.2')
+SELECT feedback_id, feedback_text, feedback_source, rating, {sql_ts('created_at')} AS created_at FROM feedback SEMI JOIN members USING (feedback_id)""")
 def _(t):
-    rows = clean.cluster_feedback(t.feedback, "source_review.style_Weekend.0.1")
+    rows = clean.cluster_feedback(t.feedback, "source_chat.style_Everyday.2")
     return rows.select("feedback_id", "feedback_text", "feedback_source", "rating", ts("created_at"))
 
 
 @query("style_hierarchy", "clusters", """
-SELECT cluster_id, CAST(cluster_depth AS INTEGER) AS cluster_depth, cluster_description, record_count FROM clusters WHERE style = 'Weekend'""")
+WITH dots AS (SELECT *, CAST(len(cluster_label) - len(replace(cluster_label, '.', '')) AS INTEGER) AS n FROM clusters)
+SELECT cluster_id, n AS cluster_depth, cluster_description, record_count FROM dots WHERE contains(cluster_label, '.style_Everyday.')""")
 def _(t):
-    return clean.style_hierarchy(t.clusters, "Weekend").select("cluster_id", "cluster_depth", "cluster_description", "record_count")
+    return clean.style_hierarchy(t.clusters, "Everyday").select("cluster_id", "cluster_depth", "cluster_description", "record_count")
 
 
 @query("top_level_clusters", "clusters", """
-SELECT cluster_id, cluster_description, record_count, style, source FROM clusters WHERE cluster_depth = 2""")
+SELECT cluster_id, cluster_description, record_count, style, source FROM clusters WHERE cluster_id NOT LIKE '%.%.%.%' AND cluster_id LIKE '%.%.%'""")
 def _(t):
     return clean.top_level_clusters(t.clusters).select("cluster_id", "cluster_description", "record_count", "style", "source")
 
