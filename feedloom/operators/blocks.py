@@ -49,12 +49,13 @@ def distinct_points(points: DataFrame, keep: int = 1) -> DataFrame:
 
 
 def _curve_key(dim: int) -> Column:
-    """Bits of the first coordinates, scaled to the group's range and interleaved."""
+    """Bits of the first coordinates, interleaved; one scale for all, so that blocks of a long thin group stay compact."""
     dims = min(dim, CURVE_DIMS)
     cells = []
+    widths = [F.col("maxs")[i] - F.col("mins")[i] for i in range(dims)]
+    width = F.greatest(*widths) if dims > 1 else widths[0]
     for i in range(dims):
-        low, high = F.col("mins")[i], F.col("maxs")[i]
-        share = F.coalesce(F.try_divide(F.col("xs")[i] - low, high - low), F.lit(0.0))
+        share = F.coalesce(F.try_divide(F.col("xs")[i] - F.col("mins")[i], width), F.lit(0.0))
         cells.append(F.least(F.floor(share * 2**CURVE_BITS), F.lit(2**CURVE_BITS - 1)).cast("bigint"))
     key = F.lit(0).cast("bigint")
     for bit in range(CURVE_BITS):
