@@ -127,7 +127,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPE
     begin = F.greatest(F.col("block") * block_words, F.col("start"))
     end = F.least((F.col("block") + 1) * block_words, F.col("start") + F.col("size"))
     pieces = pieces.select("place", "block", "start", begin.alias("begin"), end.alias("end"))
-    met = slots.join(pieces, ["place", "block"])
+    # slots come from a few rows, so the planner takes them for small: never send them to every task
+    met = slots.hint("merge").join(pieces, ["place", "block"])
     taken = F.least(F.col("end"), F.col("block") * block_words + F.col("upto")) - F.col("begin")
     entries = met.withColumn("n_words", taken).filter("n_words > 0").withColumn("first_word", F.col("begin") - F.col("start"))
     order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "place", "slot"), "place", "slot", "first_word", "start")
