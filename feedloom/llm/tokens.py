@@ -125,4 +125,4 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, block_tokens: in
     """
     held = write_token_files(docs, vocabulary=vocabulary)
     lengths = document_lengths(held, block_tokens)
-    return held.join(lengths, ["path", "ordinal"]).select("doc_id", "n_tokens")
+    return held.join(lengths.hint("merge"), ["path", "ordinal"]).select("doc_id", "n_tokens")
