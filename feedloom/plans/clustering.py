@@ -15,6 +15,7 @@ from feedloom.operators.mst import spanning_trees
 from feedloom.operators.quality import TRUST_SAMPLE, clustering_quality, trustworthiness
 from feedloom.operators.reduce import principal_axes, project
 from feedloom.operators.reports import cluster_catalog, cluster_samples_wide, label_counts
+from feedloom.operators.terms import cluster_terms, describe_clusters
 from feedloom.operators.upsert import apply_assignments, upsert_clusters
 from feedloom.session import cut
 from feedloom.sources.readers import scan_embeddings, with_parsed_vectors
@@ -136,12 +137,16 @@ def cluster_job(embeddings: DataFrame, feedback: DataFrame, catalog: DataFrame |
                 settings: ClusterSettings = ClusterSettings()) -> dict[str, DataFrame]:
     """Read, cluster, build the catalogue and update the feedback rows.
 
+    Clusters are described by the terms that set their texts apart, where `feedback` has texts.
     The caller writes the returned tables; each can be written again without harm.
     """
     rows = scan_embeddings(with_parsed_vectors(embeddings), start, end)
     assignments, hierarchy = recursive_clusters(rows, settings)
     assignments = cut(assignments)
     fresh = cluster_catalog(assignments, now, start, end)
+    if "feedback_text" in feedback.columns:
+        texts = feedback.select("feedback_id", "feedback_text").join(assignments.select("feedback_id", "cluster_label"), "feedback_id")
+        fresh = describe_clusters(fresh, cluster_terms(texts))
     if catalog is None:
         fresh = fresh.withColumn("sample_feedback_ids", F.concat_ws(",", "sample_feedback_ids"))
     return {

@@ -70,6 +70,9 @@ def test_cluster_job_writes_back(spark, embeddings):
     assert all(len(r.sample_feedback_ids.split(",")) == min(50, r.record_count) for r in clusters.values())
     ids = {r.feedback_id: r.cluster_id for r in out["feedback"].collect()}
     assert ids["other"] == "kept" and "old" not in ids.values() and set(ids.values()) - {"kept"} == set(clusters)
+    told = clustering.cluster_job(embeddings, feedback.withColumn("feedback_text", F.concat(F.lit("word"), "feedback_id")), None, NOW,
+                                  start="2024-01-01 00:00:00", settings=clustering.ClusterSettings(max_depth=1))
+    assert all(r.cluster_description.startswith("word") for r in told["clusters"].collect())
 
 
 def test_simple_recluster(spark, embeddings):
