@@ -106,8 +106,13 @@ def features(text: str | None, declared: int | None, buckets: dict) -> tuple[np.
     bins = np.minimum((np.sqrt(np.clip(statistics(raw, tokens, declared, len(text)), 0, 1)) * BINS).astype(np.int64), BINS - 1)
     hashed = np.unique(np.fromiter(map(buckets.__getitem__, set(tokens)), np.int64))
     ids = np.concatenate((np.arange(STATISTICS) * BINS + bins, hashed)).astype(np.int32)
-    values = np.concatenate((np.full(STATISTICS, 0.5), np.full(len(hashed), 1 / np.sqrt(max(1, len(hashed))))))
-    return ids, values.astype(np.float32)
+    return ids, values_for(len(ids))
+
+
+def values_for(count: int) -> np.ndarray:
+    """Values of a text with so many features: half for a statistic, the words scaled to length one."""
+    hashed = count - STATISTICS
+    return np.concatenate((np.full(STATISTICS, 0.5), np.full(hashed, 1 / np.sqrt(max(1, hashed))))).astype(np.float32)
 
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], settings: Settings = Settings()) -> Machine:
@@ -172,16 +177,22 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _Buckets(settings.buckets)
         for batch in batches:
-            found = [features(r["text"], r["n_chars"], buckets) for r in batch.select(["text", "n_chars"]).to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"),
-                                   "ids": pa.array([i for i, _ in found], pa.list_(pa.int32())), "values": pa.array([v for _, v in found], pa.list_(pa.float32()))})
+            found = [features(r["text"], r["n_chars"], buckets)[0] for r in batch.select(["text", "n_chars"]).to_pylist()]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "ids": pa.array(found, pa.list_(pa.int32()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = rows.mapInArrow(run, f"doc_id {kind}, quality int, ids array<int>, values array<float>").limit(2 * settings.sample_rows).toArrow()
-    ids, values = table["ids"].combine_chunks(), table["values"].combine_chunks()
-    whole = [(table["quality"][i].as_py(), ids[i].values.to_numpy(), values[i].values.to_numpy()) for i in range(table.num_rows)]
-    order = sorted(range(len(whole)), key=lambda i: (str(table["doc_id"][i].as_py()), len(whole[i][1]), whole[i][1].tobytes()))
-    return fit([whole[i] for i in order], settings)
+    table = rows.mapInArrow(run, f"doc_id {kind}, quality int, ids array<int>").limit(2 * settings.sample_rows).toArrow()
+    # views of the collected arrays, and one array of values per number of features: the sample is held once
+    shared: dict[int, np.ndarray] = {}
+    whole = []
+    for chunk in table.to_batches():
+        for doc, label, ids in zip(chunk.column("doc_id").to_pylist(), chunk.column("quality").to_pylist(), chunk.column("ids")):
+            ids = ids.values.to_numpy()
+            if len(ids) not in shared:
+                shared[len(ids)] = values_for(len(ids))
+            whole.append((str(doc), xxhash.xxh3_64_intdigest(ids.tobytes()), (label, ids, shared[len(ids)])))
+    whole.sort(key=lambda row: row[:2])
+    return fit([row for _, _, row in whole], settings)
 
 
 def scored(docs: DataFrame, machine: Machine, settings: Settings = Settings()) -> DataFrame:
