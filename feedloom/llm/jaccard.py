@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import fingerprint, held_rows, meet
+from feedloom.llm.common import fingerprint, held_rows, meet, stored
 from feedloom.llm.links import least_members
 from feedloom.session import cut
 
@@ -221,5 +221,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, all columns, that are kept: one of each near-duplicate class, repeated rows once."""
-    kept = cut(near_duplicates(docs, **options).filter("keeper").select("doc_id", "fp").distinct())
-    return meet(held_rows(docs), kept, "doc_id", "fp").dropDuplicates(["doc_id", "fp"]).select("row.*")
+    marks = stored(near_duplicates(docs, **options).select("doc_id", "fp", "keeper"))
+    gone = marks.filter("NOT keeper").select("doc_id", "fp").distinct()
+    rows = meet(held_rows(docs), gone, "doc_id", "fp", how="left_anti")
+    # texts are only shuffled for repeated rows if there are any
+    repeated = marks.filter("keeper").groupBy("doc_id", "fp").count().filter("count > 1").head(1)
+    return (rows.dropDuplicates(["doc_id", "fp"]) if repeated else rows).select("row.*")
