@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns, and windows of high Shannon entropy in strings of key-like characters.
 
-Patterns give the kinds assign, access and hex.  The entropy scan looks at candidate strings (runs of key characters) per
-character class.  A window slides over each candidate; the entropy follows from counts that change by one character in
-and one out.  Windows at or above the threshold of their class, which also mix the kinds of characters a key mixes, are
-joined to spans of kind entropy, unless an allow-list entry covers them.
+Patterns give the kinds assign, access and hex.  The entropy scan looks at candidate strings (runs of key characters) and
+at the runs of each character class in them: hex, base32, base36 and base64.  A window slides over each run; the entropy
+follows from counts that change by one character in and one out.  Windows at or above the threshold of their class are
+joined to spans of kind entropy, unless an allow-list entry covers them.  Keys hold a digit and a letter, of either case.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ MIN_VALUE, MIN_ACCESS = 6, 20
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{20,}")
+BASE32_RUN = re.compile(r"[A-Z2-7]{20,}")
+BASE36_RUN = re.compile(r"[a-z0-9]{20,}|[A-Z0-9]{20,}")
 
 
 @dataclass(frozen=True)
@@ -33,9 +35,12 @@ class EntropyRules:
 
     window: int = 20
     hex_bits: float = 3.0
+    base32_bits: float = 3.4
+    base36_bits: float = 3.4
     base64_bits: float = 3.75
     allowed: tuple[str, ...] = (
-        r"(?i)[a-z]+://[^\x20\x09-\x0D]+",  # addresses
+        r"(?i)[a-z]+://(?![^\x20\x09-\x0D/?#]*@)[^\x20\x09-\x0D?#]*",  # addresses up to the query, without a login
+        r"(?<![A-Za-z0-9+/_=-])[/_=+-]*(?:[A-Za-z]+|[A-Z]?[a-z]+[0-9]{1,2}|[0-9]+)(?:[/_=+-]+(?:[A-Z]?[a-z]+[0-9]{1,2}|[A-Za-z]+|[0-9]+))+[/_=+-]*(?![A-Za-z0-9+/_=-])",  # words and numbers with separators
         r"(?i)\b[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\b",  # identifiers in UUID form
         r"(?i)[a-z0-9+/_=-]*example[a-z0-9+/_=-]*",  # marked examples
         r"(?i)abcdefghijklmnopqrstuvwxyz(?:0123456789)?|0123456789abcdef(?:ghijklmnopqrstuvwxyz)?",  # alphabets
@@ -61,9 +66,8 @@ def entropy_windows(text: str, size: int) -> Iterator[tuple[int, float]]:
             yield i - size + 1, math.log2(size) - total / size
 
 
-def _mixes(text: str, hexadecimal: bool) -> bool:
-    digit, lower, upper = (any(a <= c <= b for c in text) for a, b in ("09", "az", "AZ"))
-    return digit and (lower != upper if hexadecimal else lower and upper)
+def _mixes(text: str) -> bool:
+    return any("0" <= c <= "9" for c in text) and any("a" <= c <= "z" or "A" <= c <= "Z" for c in text)
 
 
 def _joined(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -79,15 +83,19 @@ def _joined(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
 def entropy_spans(text: str, rules: EntropyRules = EntropyRules()) -> list[tuple[int, int]]:
     """Joined spans of windows that look random."""
     found: list[tuple[int, int]] = []
+    classes = ((HEX_RUN, rules.hex_bits), (BASE32_RUN, rules.base32_bits), (BASE36_RUN, rules.base36_bits))
     for candidate in CANDIDATE.finditer(text):
         at, whole = candidate.start(), candidate.group()
-        strings = [(at, whole, rules.base64_bits, False)]
-        strings += [(at + m.start(), m.group(), rules.hex_bits, True) for m in HEX_RUN.finditer(whole)]
-        for start, part, bits, hexadecimal in strings:
-            if _mixes(part, hexadecimal):
-                for i, value in entropy_windows(part, rules.window):
-                    if value >= bits - 1e-9 and _mixes(part[i:i + rules.window], hexadecimal):
-                        found.append((start + i, start + i + rules.window))
+        if not _mixes(whole):
+            continue
+        for i, value in entropy_windows(whole, rules.window):
+            if value >= rules.base64_bits - 1e-9 and _mixes(whole[i:i + rules.window]):
+                found.append((at + i, at + i + rules.window))
+        for pattern, bits in classes:  # runs without separators: the whole run mixes
+            for run in pattern.finditer(whole):
+                if _mixes(run.group()):
+                    start = at + run.start()
+                    found += [(start + i, start + i + rules.window) for i, value in entropy_windows(run.group(), rules.window) if value >= bits - 1e-9]
     if not found:
         return []
     allowed = _joined(m.span() for pattern in rules.allowed for m in re.finditer(pattern, text) if m.end() > m.start())

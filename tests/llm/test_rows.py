@@ -121,6 +121,53 @@ def test_entropy_spans():
     assert secrets.entropy_spans(digest) == [(0, 32)]
 
 
+def test_entropy_of_each_class():
+    rng = random.Random(5)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for alphabet in (lower.upper() + "234567", lower + digits, lower.upper() + digits, lower + lower.upper() + digits + "+/"):
+        for size, least in ((20, 0.9), (32, 0.97), (40, 0.97)):
+            keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(300)]
+            assert sum(bool(secrets.entropy_spans(f"a {k} b")) for k in keys) >= least * len(keys), (alphabet, size)
+    key = "k3v9x0q7m1b5t2r8y4u6c9n0l7"
+    for text in (f"https://host/a?{key}", f"https://host/a#{key}", f"https://me:{key}@host/a"):
+        assert [text[a:b] for a, b in secrets.entropy_spans(text)] == [key]
+    assert secrets.entropy_spans("https://host/quick-brown-fox-2024/a_long_report-12 quick-brown-fox-jumps-2024 /usr/lib/python3/dist-packages") == []
+
+
+def entropy_by_definition(text):
+    found = set()
+    for pattern, bits, inside in ((r"[A-Za-z0-9+/_=-]{20,}", 3.75, True), (r"[0-9A-Fa-f]{20,}", 3.0, False), (r"[A-Z2-7]{20,}", 3.4, False),
+                                  (r"[a-z0-9]{20,}", 3.4, False), (r"[A-Z0-9]{20,}", 3.4, False)):
+        for m in re.finditer(pattern, text):
+            for i in range(m.start(), m.end() - 19):
+                part = text[i:i + 20]
+                mixed = part if inside else m.group()
+                bits_of = -sum(c / 20 * math.log2(c / 20) for c in collections.Counter(part).values())
+                if re.search("[0-9]", mixed) and re.search("[A-Za-z]", mixed) and bits_of >= bits - 1e-9:
+                    found |= set(range(i, i + 20))
+    edges = [(i, i + 1) for i in sorted(found)]
+    spans = []
+    for a, b in edges:
+        spans = spans[:-1] + [(spans[-1][0], b)] if spans and spans[-1][1] == a else spans + [(a, b)]
+    allowed = secrets._joined(m.span() for p in secrets.EntropyRules().allowed for m in re.finditer(p, text) if m.end() > m.start())
+    return [s for s in spans if not any(a <= s[0] and s[1] <= b for a, b in allowed)]
+
+
+def test_entropy_spans_of_the_query(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(100).collect()
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = ("0123456789abcdef", letters.upper() + "234567", letters + "0123456789", letters + letters.upper() + "0123456789+/")
+    texts = {r.doc_id: f"{r.text or ''} {''.join(rng.choices(kinds[i % 4], k=20 + i % 30))} {(r.text or '')[:50]}" for i, r in enumerate(docs)}
+    spark.createDataFrame([r.asDict() | {"text": texts[r.doc_id]} for r in docs], spark.read.parquet(f"{sf}/documents.parquet").schema).write.parquet(f"{tmp_path}/documents.parquet")
+    total = 0
+    for r in QUERIES["op6_secret_scan"](spark, str(tmp_path)).collect():
+        got = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("entropy:")]
+        assert got == entropy_by_definition(texts[r.doc_id])
+        total += bool(got)
+    assert total > 90
+
+
 def test_scan(spark, docs_of, sf):
     rows = [(1, None), (2, ""), (3, "é token=abcdefgh"), (3, "é token=abcdefgh"), (None, "AKIA" + "A" * 20), (4, ("g" * 50 + " ") * 20_000 + "password: hunter22")]
     got = sorted(secrets.scan(docs_of(rows)).collect(), key=lambda r: str(r.doc_id))
