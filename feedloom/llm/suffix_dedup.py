@@ -2,8 +2,10 @@
 
 1. *Shards.*  Every window of `window` bytes is named by the least hash of the byte grams inside it, which depends on the
    window alone: equal windows have equal names.  Consecutive windows with one name form a segment.  Names that occur
-   once in all texts hold no repeat; the segments of the others are collected by name, equal segments once.  Names are
-   dealt to shards of bounded expected size.
+   once in all texts hold no repeat; the segments of the others are collected by name, equal segments once.  Names with
+   more bytes than a shard, such as those of a passage in many different surroundings, are split: a window's distance to
+   its naming gram and the bytes that windows of about this distance share make its new name, so equal windows still meet;
+   names that are still too large are split into single windows.  Names are dealt to shards of bounded expected size.
 2. *Sorting.*  A shard's segments are one suffix array, built with its common prefixes by `induced.suffix_order`.  A window
    repeats if its suffix shares at least `window` bytes with a neighbour.
 3. *Removal.*  Repeated windows are gathered per text; the bytes they cover go.
@@ -16,14 +18,15 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import stored, unique_texts
+from feedloom.llm.common import meet, stored, unique_texts
 from feedloom.llm.hashing import Powers, rolling
 from feedloom.llm.induced import suffix_order
 from feedloom.llm.repeats import PLACES, covered, gathered, packed, places, repeated, spans, START
@@ -32,6 +35,7 @@ WINDOW = 200
 GRAM = 48
 SHARD_BYTES = 1_500_000
 CHUNK_ROWS = 100_000
+STEPS = (16, 1)  # distances to the naming gram that split a large name together; 1 leaves single windows
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every `width` consecutive values, by doubling."""
@@ -82,21 +86,23 @@ def _named(window: int, gram: int):
     return run
 
 
+def _filed(parts: list[tuple]) -> pa.RecordBatch:
+    """Rows for the exchange, from (name, hash of the bytes, uid, first window, windows, public, bytes)."""
+    names, more, uids, first, lengths, public, contents = zip(*parts)
+    names, more = np.array(names, np.uint64), np.array(more, np.uint64)
+    lengths = np.array(lengths)
+    out = places(names, more, np.array(uids), np.array(first), lengths, np.zeros(len(names), bool), np.array(public))
+    content = {(n, m): c for n, m, c in zip(names.view(np.int64).tolist(), more.view(np.int64).tolist(), contents)}
+    place, name, digest = (out.column(i).to_pylist() for i in (3, 0, 1))
+    held = [None if p is not None and p & 1 else content[(n, d)] for p, n, d in zip(place, name, digest)]
+    return out.append_column("content", pa.array(held, pa.binary()))
+
+
 def _contents(window: int, gram: int):
     """Segments with their bytes: `name` is the segment's, `more` the hash of its bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, parts, size = Powers(), [], 0
 
-        def rows() -> pa.RecordBatch:
-            names, more, uids, first, lengths, public, contents = zip(*parts)
-            names, more = np.array(names, np.uint64), np.array(more, np.uint64)
-            lengths = np.array(lengths)
-            out = places(names, more, np.array(uids), np.array(first), lengths, np.zeros(len(names), bool), np.array(public))
-            content = {(n, m): c for n, m, c in zip(names.view(np.int64).tolist(), more.view(np.int64).tolist(), contents)}
-            place, name, digest = (out.column(i).to_pylist() for i in (3, 0, 1))
-            held = [None if p is not None and p & 1 else content[(n, d)] for p, n, d in zip(place, name, digest)]
-            return out.append_column("content", pa.array(held, pa.binary()))
-
         for batch in batches:
             for row in batch.to_pylist():
                 text = row["text"].encode("utf-8", "surrogatepass")
@@ -108,8 +114,51 @@ def _contents(window: int, gram: int):
                     parts.append((names[i], xxhash.xxh3_64_intdigest(content), row["uid"], a, n, row["copies"] > 1, content))
                     size += len(content)
                     if size >= SHARD_BYTES:
-                        yield rows()
+                        yield _filed(parts)
                         parts, size = [], 0
+        if parts:
+            yield _filed(parts)
+    return run
+
+
+def cut_segment(content: bytes, name: int, window: int, gram: int, step: int, powers: Powers) -> Iterator[tuple[int, int, int]]:
+    """(name, first window, windows) of the parts of a segment whose windows lie alike around their naming gram.
+
+    Windows that are equal have equal distances to the first gram inside them that names them.  `step` distances go
+    together; the bytes that all windows of these distances hold, and the distance, give the new name.
+    """
+    grams = rolling(np.frombuffer(content, np.uint8).astype(np.uint64) + np.uint64(1), gram, powers)
+    naming = np.flatnonzero(grams == np.uint64(name))
+    windows = np.arange(len(content) - window + 1)
+    at = naming[np.searchsorted(naming, windows)]
+    turn = (at - windows) // step
+    first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (turn[1:] != turn[:-1]))))
+    for i, n in zip(first.tolist(), np.diff(first, append=len(windows)).tolist()):
+        begin, q = int(at[i]), int(turn[i])
+        shared = content[begin - q * step:begin - (q + 1) * step + 1 + window]
+        yield xxhash.xxh3_64_intdigest(shared, seed=q + 1), i, n
+
+
+def _cut(window: int, gram: int, step: int):
+    """Parts of the segments of large names, in the form of `_contents`; a segment that occurs several times needs no answer."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, parts, size, origins = Powers(), [], 0, {}
+
+        def rows() -> pa.RecordBatch:
+            out = _filed(parts)
+            return out.append_column("origin", pa.array([origins.get(n % 2**64) for n in out.column(0).to_pylist()], pa.int64()))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                content = row["content"]
+                for name, i, n in cut_segment(content, row["origin"] % 2**64, window, gram, step, powers):
+                    origins[name] = row["origin"]
+                    part = content[i:i + n - 1 + window]
+                    parts.append((name, xxhash.xxh3_64_intdigest(part), row["uid"], row["start"] + i, n, row["several"], part))
+                    size += len(part)
+                if size >= SHARD_BYTES:
+                    yield rows()
+                    parts, size, origins = [], 0, {}
         if parts:
             yield rows()
     return run
@@ -158,6 +207,36 @@ def _removed(window: int, with_text: bool):
     return run
 
 
+def _distinct(parts: DataFrame, *origin: Column) -> DataFrame:
+    """Equal segments once: whether they occur several times, else where."""
+    several = F.sum(F.when(F.col("uid").isNull(), 2).otherwise(1)) > 1
+    rows = parts.filter("content IS NOT NULL").groupBy("name", "more").agg(
+        several.alias("several"), F.min("uid").alias("uid"), F.min(F.expr(START)).alias("start"), F.first("content").alias("content"), *origin)
+    return stored(rows.withColumn("several", F.col("several") | F.col("uid").isNull()).fillna({"uid": -1, "start": -1}))
+
+
+def split_large(distinct: DataFrame, window: int, gram: int, shard_bytes: int) -> tuple[list[DataFrame], DataFrame]:
+    """Places found equal, and segments left to sort, after names of more than `shard_bytes` are split."""
+    found, done = [], []
+    left = distinct.withColumn("origin", F.col("name"))
+    for step in (min(step, window - gram + 1) for step in STEPS):
+        sizes = left.groupBy("name").agg(F.sum(F.length("content") + 1).alias("bytes"))
+        large = stored(sizes.filter(F.col("bytes") > shard_bytes).select("name"))
+        if not large.head(1):
+            break
+        done.append(meet(left, large, "name", how="left_anti"))
+        parts = meet(left, large, "name").mapInArrow(_cut(window, gram, step), f"{PLACES}, content binary, origin long")
+        if step == 1:  # equal names are equal windows: nothing is left to sort
+            found.append(repeated(parts.drop("content", "origin")))
+            left = None
+            break
+        parts = stored(parts)
+        found.append(repeated(parts.drop("content", "origin")))
+        left = _distinct(parts, F.first("origin").alias("origin"))
+    rest = [*done, left] if left is not None else done
+    return found, reduce(DataFrame.unionByName, rest).drop("origin")
+
+
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Remove every byte covered by a string of `window` bytes that also starts elsewhere in `docs` (doc_id, text).
 
@@ -173,16 +252,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     cut_out = unique.select("uid", "copies", "text").join(candidates, "uid").select("uid", "copies", "text", "starts")
     parts = stored(cut_out.mapInArrow(_contents(window, gram), f"{PLACES}, content binary"))
     whole = repeated(parts.drop("content"))
-
-    several = F.sum(F.when(F.col("uid").isNull(), 2).otherwise(1)) > 1
-    distinct = parts.filter("content IS NOT NULL").groupBy("name", "more").agg(
-        several.alias("several"), F.min("uid").alias("uid"), F.min(F.expr(START)).alias("start"), F.first("content").alias("content"))
-    distinct = stored(distinct.withColumn("several", F.col("several") | F.col("uid").isNull()).fillna({"uid": -1, "start": -1}))
+    split, distinct = split_large(_distinct(parts), window, gram, shard_bytes)
     total = distinct.agg(F.coalesce(F.sum(F.length("content") + 1), F.lit(0))).head()[0]
     shards = max(1, math.ceil(total / shard_bytes))
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
     sorted_ = dealt.groupBy("shard").applyInArrow(_sorted_shard(window), "uid long, place long")
-    found = stored(gathered(whole.unionByName(sorted_)))
+    found = stored(gathered(reduce(DataFrame.unionByName, [*split, sorted_], whole)))
     done = unique.join(found, "uid", "left").select("sha", "copies", "text", "starts", "lengths").mapInArrow(
         _removed(window, with_text), "sha string, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary")
     out = members.join(done, "sha").select("doc_id", "n_bytes", "n_removed", "spans", "kept_sha256", "kept")

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom.llm import recompress, suffix_dedup
 from feedloom.llm.induced import Queue, suffix_order
@@ -68,6 +69,26 @@ def test_byte_windows(docs_of, window, gram):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
 
 
+def test_passage_in_many_surroundings(docs_of, monkeypatch):
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, margin = some(400), some(10)
+    rows = [(i, some(300) + passage + (margin if i % 3 else "") + some(300)) for i in range(150)] + [(i, some(250) + "ab " * 200 + some(9)) for i in range(150, 200)]
+    want = collections.Counter(zip((r[0] for r in rows), removed([t.encode() for _, t in rows], 200, bytes)))
+    largest, real = [], suffix_dedup.split_large
+
+    def watched(distinct, *args):
+        size = lambda d: d.groupBy("name").agg(F.sum(F.length("content") + 1).alias("n")).agg(F.max("n")).head()[0] or 0
+        found, rest = real(distinct, *args)
+        largest.append((size(distinct), size(rest)))
+        return found, rest
+
+    monkeypatch.setattr(suffix_dedup, "split_large", watched)
+    found = suffix_dedup.without_repeats(docs_of(rows), 200, 48, shard_bytes=8_000).collect()
+    assert collections.Counter((r.doc_id, (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256)) for r in found) == want
+    assert largest[0][0] > 8_000 >= largest[0][1]
+
+
 def test_no_rows(docs_of):
     assert recompress.without_repeats(docs_of([])).count() == 0
     assert suffix_dedup.without_repeats(docs_of([])).count() == 0
