@@ -68,6 +68,15 @@ def test_bucketed_search(spark, stored, tmp_path):
     assert all((q, q) in part for q in {r.query_id for r in queries.collect()})
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_recall_of_the_registered_bucketed_search(spark, size):
+    from checks import registry
+
+    rows = lambda name: {(r.query_id, r.feedback_id) for r in registry.QUERIES[name](spark, f"/root/testdata/{size}").collect()}
+    exact = rows("similar_feedback")
+    assert len(rows("ivf_search") & exact) >= 0.9 * len(exact)
+
+
 def test_text_embeddings(spark):
     rows = spark.createDataFrame([("a", "Leaking SHOES"), ("b", "shoes leaking!"), ("c", "..."), ("d", "tight toe")],
                                  "feedback_id string, feedback_text string")
