@@ -28,7 +28,9 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 HASHES = 200
 BLOCK_GRAMS = 200_000  # n-grams of a block; a pair of blocks is compared in one task
+BLOCK_SETS = 4_000  # sets of a block, as a pair of blocks is a matrix of sets by sets
 COLUMNS = 2048  # n-grams per matrix product
+SLICE = 512  # rows of that matrix that are judged at once
 
 
 def bands_for(threshold: float, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -128,6 +130,15 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return total
 
 
+def _linked(shared: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs reach the threshold, from the sizes of their intersections and of the sets, in slices of rows."""
+    out = np.empty(shared.shape, bool)
+    for i in range(0, len(left), SLICE):
+        part = shared[i:i + SLICE]
+        out[i:i + SLICE] = part >= threshold * (left[i:i + SLICE, None] + right[None, :] - part) - 1e-6
+    return out
+
+
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     """Edges of a forest with the components of a symmetric 0/1 matrix."""
     open_, edges = np.ones(len(linked), bool), []
@@ -156,7 +167,7 @@ def _compare(threshold: float):
             return pa.table({"key": pa.array([], pa.binary()), "n_links": pa.array([], pa.int64()), "peer": pa.array([], pa.binary())})
         shared = shared_counts(left, right)
         ln, rn = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-        linked = shared >= threshold * (ln[:, None] + rn[None, :] - shared) - 1e-6
+        linked = _linked(shared, ln, rn, threshold)
         if first == second:
             np.fill_diagonal(linked, False)
             keys, counts, edges = lk, linked.sum(axis=1), _forest(linked)
@@ -171,8 +182,14 @@ def _compare(threshold: float):
     return run
 
 
+def block_counts(members: DataFrame, block_grams: int = BLOCK_GRAMS, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """(cluster, blocks): as many blocks as bound both the n-grams and the sets of each."""
+    blocks = F.greatest(F.ceil(F.sum("n_grams") / block_grams), F.ceil(F.count("*") / block_sets))
+    return members.groupBy("cluster").agg(blocks.cast("int").alias("blocks"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL,
-                    block_grams: int = BLOCK_GRAMS) -> DataFrame:
+                    block_grams: int = BLOCK_GRAMS, block_sets: int = BLOCK_SETS) -> DataFrame:
     """One row per row of `docs`: doc_id, fp, copy_id, class_id, n_links, keeper.
 
     copy_id is the least id among texts with the same n-gram set, class_id the least id of the near-duplicate class (the
@@ -197,8 +214,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
     members = clusters.select(F.col("node").alias("key"), F.col("least").alias("cluster"))
     members = members.unionByName(members.select(F.col("cluster").alias("key"), "cluster").distinct())
     members = cut(members.join(classes.select("key", "head", "n_grams"), "key"))
-    sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n_grams") / block_grams).cast("int").alias("blocks"))
-    members = cut(members.join(sizes, "cluster").select("key", "cluster", "blocks", F.col("head.doc_id").alias("doc_id"), F.col("head.fp").alias("fp")))
+    members = cut(members.join(block_counts(members, block_grams, block_sets), "cluster").select("key", "cluster", "blocks", F.col("head.doc_id").alias("doc_id"), F.col("head.fp").alias("fp")))
 
     sets = meet(keyed, members, "doc_id", "fp").mapInArrow(_gram_sets(width), "key binary, cluster binary, blocks int, grams binary")
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")

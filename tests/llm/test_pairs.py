@@ -65,6 +65,14 @@ def test_near_duplicates(docs_of, block_grams):
     assert sum(r.doc_id in (500, 501, 502) for r in kept.collect()) == 3
 
 
+def test_blocks_are_bounded_by_sets(spark, docs_of):
+    short = spark.range(20_000).selectExpr("'a' AS cluster", "10L AS n_grams")
+    assert jaccard.block_counts(short).head().blocks == 5
+    rows = [(i, f"one two three four five six seven eight nine ten eleven twelve thirteen w{i}") for i in range(60)]
+    got = jaccard.near_duplicates(docs_of(rows), block_sets=7).collect()
+    assert {(r.class_id, r.n_links) for r in got} == {(0, 59)} and sum(r.keeper for r in got) == 1
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.95):
         bands, rows = jaccard.bands_for(threshold, 0.999, 400)
