@@ -43,6 +43,29 @@ def meet(rows: DataFrame, keys: DataFrame, *on: str, how: str = "inner") -> Data
     return joined.drop(*[f"_{name}" for name in on])
 
 
+HOT_ROWS = 10_000
+
+
+def meet_counted(rows: DataFrame, keys: DataFrame, *on: str, count: str) -> DataFrame:
+    """Inner equi-join of a stored table with a stored one of unique keys, nulls being equal to nulls.
+
+    Column `count` of `keys` says how many rows hold a key.  Keys of more than a ten-thousandth of all rows (and more than
+    `HOT_ROWS`) number 10,000 at most, so they go to every task and their rows stay where they are; the others are shuffled.
+    """
+    total = keys.agg(F.sum(count)).head()[0] or 0
+    limit = max(HOT_ROWS, total // 10_000)
+    spare = keys
+    for name in on:
+        spare = spare.withColumnRenamed(name, f"_{name}")
+    met = F.lit(True)
+    for name in on:
+        met = met & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    hot, rest = spare.filter(F.col(count) > limit), spare.filter(F.col(count) <= limit)
+    found = rows.join(F.broadcast(hot), met)
+    others = rows.join(F.broadcast(hot.select(*[f"_{name}" for name in on])), met, "left_anti").join(rest, met)
+    return found.unionByName(others).drop(count, *[f"_{name}" for name in on])
+
+
 def held_rows(docs: DataFrame) -> DataFrame:
     """Whole rows as one column `row`, beside their doc_id and fp: no other column can clash with an operator's own."""
     return docs.select(F.struct("*").alias("row"), "doc_id", fingerprint())
