@@ -27,13 +27,13 @@ MOST = 2**63 - 1
 class Trie:
     """Walks sorted parts against one codebook (entries x width); remembers the path of the last leaf."""
 
-    def __init__(self, book: np.ndarray):
-        self.book, self.last, self.path = book, None, None
+    def __init__(self, book: np.ndarray, strip: int = STRIP):
+        self.book, self.strip, self.last, self.path = book, strip, None, None
 
     def walk(self, leaves: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Start, least entries and their squared distances, per strip of the sorted `leaves`."""
-        for start in range(0, len(leaves), STRIP):
-            yield start, *self._strip(leaves[start:start + STRIP])
+        for start in range(0, len(leaves), self.strip):
+            yield start, *self._strip(leaves[start:start + self.strip])
 
     def _strip(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = leaves.shape[1]
@@ -74,7 +74,7 @@ def _rows(column: pa.Array, width: int) -> np.ndarray:
 SUMS = "position int, entry int, n long, total array<decimal(38,0)>"
 
 
-def _entry_sums(books: list[np.ndarray]):
+def _entry_sums(books: list[np.ndarray], strip: int):
     """Per task, position and entry: weight and weighted sum of the parts that are nearest to the entry."""
     width = books[0].shape[1]
 
@@ -88,8 +88,8 @@ def _entry_sums(books: list[np.ndarray]):
                 mine = positions == position
                 own, book = _exact(leaves[mine], books[position])
                 n = counts[mine]
-                for start, entry, _ in Trie(book).walk(own):
-                    part, weight = own[start:start + STRIP], n[start:start + STRIP]
+                for start, entry, _ in Trie(book, strip).walk(own):
+                    part, weight = own[start:start + strip], n[start:start + strip]
                     order = np.argsort(entry, kind="stable")
                     edge = np.flatnonzero(np.diff(entry[order], prepend=-1))
                     met = entry[order][edge]
@@ -106,7 +106,7 @@ def _entry_sums(books: list[np.ndarray]):
     return run
 
 
-def _coded(books: list[np.ndarray]):
+def _coded(books: list[np.ndarray], strip: int):
     """Codes and errors of whole vectors; the parts of a batch are walked as one trie per position."""
     width, parts = books[0].shape[1], len(books)
 
@@ -120,7 +120,7 @@ def _coded(books: list[np.ndarray]):
                 leaves, place = np.unique(vectors[:, position * width:(position + 1) * width], axis=0, return_inverse=True)
                 place = place.reshape(-1)
                 own, book = _exact(leaves, book)
-                entries, distances = zip(*((entry, distance) for _, entry, distance in Trie(book).walk(own)))
+                entries, distances = zip(*((entry, distance) for _, entry, distance in Trie(book, strip).walk(own)))
                 digits[:, position] = np.concatenate(entries)[place]
                 errors += np.concatenate(distances).astype(object)[place]
             codes = digits.tobytes().hex()
@@ -137,7 +137,7 @@ def listed(books: list[np.ndarray]) -> str:
     return ",".join(str(int(x)) for book in books for x in book.ravel())
 
 
-def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> tuple[DataFrame, list[np.ndarray]]:
+def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, strip: int = STRIP) -> tuple[DataFrame, list[np.ndarray]]:
     """Codes of `vectors` (vec_id, label, vector array<long>) and the final codebooks, one matrix per part.
 
     The codes: vec_id, label, code (two hex digits per part), error (squared distance summed over the parts) and label_error
@@ -166,13 +166,13 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     distinct = rows.select(F.posexplode(pieces).alias("position", "part")).groupBy("position", "part").agg(F.count("*").alias("weight"))
     distinct = stored(distinct.repartitionByRange("position", "part").sortWithinPartitions("position", "part"))
     for _ in range(rounds):
-        sums = distinct.mapInArrow(_entry_sums(books), SUMS).groupBy("position", "entry").agg(
+        sums = distinct.mapInArrow(_entry_sums(books, strip), SUMS).groupBy("position", "entry").agg(
             F.sum("n").alias("n"), *[F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(width)])
         books = [book.copy() for book in books]
         for row in sums.collect():  # one row per part and entry
             books[row.position][row.entry] = [int(row[f"t{i}"]) // row.n for i in range(width)]
     kinds = {name: rows.schema[name].dataType.simpleString() for name in ("vec_id", "label")}
-    coded = stored(rows.mapInArrow(_coded(books), f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long"))
+    coded = stored(rows.mapInArrow(_coded(books, strip), f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long"))
     per_label = stored(coded.groupBy("label").agg(F.sum(F.col("error").cast("decimal(38,0)")).alias("e"), F.count("*").alias("copies")))
     per_label = per_label.select("label", F.least("e", F.lit(MOST).cast("decimal(38,0)")).cast("long").alias("label_error"), "copies")
     return meet_counted(coded, per_label, "label", count="copies").select("vec_id", "label", "code", "error", "label_error"), books

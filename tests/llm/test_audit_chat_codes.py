@@ -223,14 +223,13 @@ def lloyd(rows, parts, entries, rounds):
 
 
 @pytest.mark.parametrize("strip", [3, codes.STRIP])
-def test_codes(spark, monkeypatch, strip):
-    monkeypatch.setattr(codes, "STRIP", strip)
+def test_codes(spark, strip):
     rng = random.Random(6)
     rows = [(i, rng.choice([1, 2, None]), [rng.randint(-3, 3) for _ in range(8)]) for i in range(150)]
     rows += [(200 + i, 2, [5] * 8) for i in range(70)] + [(7, 1, [1, 2]), (None, 1, [3] * 8), (None, 1, [3] * 8), (300, None, None), (301, 1, []), (302, 2, [1] * 5), (7, 1, [1, 2])]
     df = spark.createDataFrame(rows, "vec_id long, label int, vector array<long>").selectExpr("*", "1 AS position", "2 AS part", "3 AS copies", "4 AS e").repartition(6)
     for options in ({"parts": 4, "entries": 9, "rounds": 4}, {"parts": 3, "entries": 256, "rounds": 2}):
-        coded, books = codes.compress(df, **options)
+        coded, books = codes.compress(df, **options, strip=strip)
         want, listed = lloyd(rows, **options)
         assert sorted((tuple(r) for r in coded.collect()), key=str) == want
         assert codes.listed(books) == ",".join(str(x) for book in listed for e in book for x in e)
@@ -239,7 +238,7 @@ def test_codes(spark, monkeypatch, strip):
 
 
 def test_codes_of_huge_components(spark):
-    rows = [(i, 1, [(-1) ** i * i * 2**29, 2**30 + i]) for i in range(12)]
+    rows = [(i, i, [(-1) ** i * i * 2**29, 2**30 + i]) for i in range(12)]
     coded, _ = codes.compress(spark.createDataFrame(rows, "vec_id long, label int, vector array<long>"), parts=2, entries=4, rounds=3)
     assert sorted((tuple(r) for r in coded.collect()), key=str) == lloyd(rows, 2, 4, 3)[0]
     far = spark.createDataFrame([(1, 1, [2**62, 0]), (2, 1, [-2**62, 0])], "vec_id long, label int, vector array<long>")
@@ -253,11 +252,7 @@ def test_trie_shares_prefixes_across_strips():
     book = rng.integers(0, 3, (20, 6))
     want = ((leaves[:, None] - book[None]) ** 2).sum(-1)
     for strip in (1, 7, 1000):
-        codes_before, codes.STRIP = codes.STRIP, strip
-        try:
-            entries, errors = (np.concatenate(x) for x in zip(*(found[1:] for found in codes.Trie(book).walk(leaves))))
-        finally:
-            codes.STRIP = codes_before
+        entries, errors = (np.concatenate(x) for x in zip(*(found[1:] for found in codes.Trie(book, strip).walk(leaves))))
         assert (entries == want.argmin(axis=1)).all() and (errors == want.min(axis=1)).all()
 
 
