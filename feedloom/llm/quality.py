@@ -5,8 +5,8 @@ of (sum v x)^2 - sum (v x)^2, so a text is scored in time linear in its features
 the whole text, hashed, and its statistics, each as one of a few bins; the only metadata is how the declared number of
 characters compares with the real one.  Labels, lang, source and doc_id are no features.
 
-The model is fitted on labelled rows, at most `sample_rows` of them (those with the least hash of the id, so the choice is
-the same in every run); everything else reads all rows.  Its size is fixed by the settings, so it may go to every task.
+The model is fitted on labelled rows, one per id, at most `sample_rows` of them and with at most `sample_ids` features in
+all (those with the least hash of the id, so the choice is the same in every run); everything else reads all rows.  Its size is fixed by the settings, so it may go to every task.
 """
 
 from __future__ import annotations
@@ -18,14 +18,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import stored
+
 BINS = 32
 STATISTICS = 20
 KEEP_FROM = 0.3
 #: Most labelled rows that the model is fitted on.
 SAMPLE_ROWS = 20_000
+#: Most features of these rows together, 4 bytes each on the driver.
+SAMPLE_IDS = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -38,6 +42,7 @@ class Settings:
     rate: float = 0.08
     decay: float = 1e-5
     sample_rows: int = SAMPLE_ROWS
+    sample_ids: int = SAMPLE_IDS
     seed: int = 3
 
     @property
@@ -166,7 +171,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Machine:
     """Fit on `labels` (doc_id, quality 0 or 1) of rows that are not held out.
 
-    Labels that are null or neither 0 nor 1 are left out, of several labels of an id the least counts.
+    Labels that are null or neither 0 nor 1 are left out, of several labels of an id the least counts; of several rows of an
+    id the one whose features have the least hash, so neither copies nor the order of the rows change the model.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
@@ -175,13 +181,28 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     rows = _rows(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "n_chars", "quality")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = _Buckets(settings.buckets)
+        buckets, least = _Buckets(settings.buckets), {}
         for batch in batches:
-            found = [features(r["text"], r["n_chars"], buckets)[0] for r in batch.select(["text", "n_chars"]).to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "ids": pa.array(found, pa.list_(pa.int32()))})
+            kept, found, marks = [], [], []
+            for i, r in enumerate(batch.to_pylist()):
+                ids = features(r["text"], r["n_chars"], buckets)[0]
+                mark = xxhash.xxh3_64_intdigest(ids.tobytes()) >> 1
+                if mark < least.get(r["doc_id"], 1 << 63):  # of the rows of an id only the least one counts
+                    least[r["doc_id"]] = mark
+                    kept.append(i)
+                    found.append(ids)
+                    marks.append(mark)
+            batch = batch.take(pa.array(kept, pa.int32()))
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "mark": pa.array(marks, pa.int64()),
+                                   "ids": pa.array(found, pa.list_(pa.int32()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = rows.mapInArrow(run, f"doc_id {kind}, quality int, ids array<int>").limit(2 * settings.sample_rows).toArrow()
+    made = rows.mapInArrow(run, f"doc_id {kind}, quality int, mark long, ids array<int>")
+    made = stored(made.groupBy("doc_id", "quality").agg(F.min_by("ids", "mark").alias("ids")))
+    # a running sum over narrow rows, `sample_rows` of them at most
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    fits = made.select("doc_id", F.sum(F.size("ids")).over(order).alias("upto")).filter(F.col("upto") <= settings.sample_ids)
+    table = made.join(F.broadcast(fits.select("doc_id")), "doc_id").toArrow()
     # views of the collected arrays, and one array of values per number of features: the sample is held once
     shared: dict[int, np.ndarray] = {}
     whole = []
@@ -190,9 +211,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
             ids = ids.values.to_numpy()
             if len(ids) not in shared:
                 shared[len(ids)] = values_for(len(ids))
-            whole.append((str(doc), xxhash.xxh3_64_intdigest(ids.tobytes()), (label, ids, shared[len(ids)])))
-    whole.sort(key=lambda row: row[:2])
-    return fit([row for _, _, row in whole], settings)
+            whole.append((str(doc), (label, ids, shared[len(ids)])))
+    whole.sort(key=lambda row: row[0])
+    return fit([row for _, row in whole], settings)
 
 
 def scored(docs: DataFrame, machine: Machine, settings: Settings = Settings()) -> DataFrame:
