@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,11 +39,11 @@ class EntropyRules:
     base32_bits: float = 3.4
     base36_bits: float = 3.4
     base64_bits: float = 3.75
-    allowed: tuple[str, ...] = (
-        r"(?i)[a-z]+://(?![^\x20\x09-\x0D/?#]*@)[^\x20\x09-\x0D?#]*",  # addresses up to the query, without a login
+    allowed: tuple[str, ...] = (  # each starts only where a run starts, so that it takes time linear in the text
+        r"(?i)(?<![a-z])[a-z]++://(?![^\x20\x09-\x0D/?#]*@)[^\x20\x09-\x0D?#]*",  # addresses up to the query, without a login
         r"(?<![A-Za-z0-9+/_=-])[/_=+-]*(?:[A-Za-z]+|[A-Z]?[a-z]+[0-9]{1,2}|[0-9]+)(?:[/_=+-]+(?:[A-Z]?[a-z]+[0-9]{1,2}|[A-Za-z]+|[0-9]+))+[/_=+-]*(?![A-Za-z0-9+/_=-])",  # words and numbers with separators
         r"(?i)\b[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\b",  # identifiers in UUID form
-        r"(?i)[a-z0-9+/_=-]*example[a-z0-9+/_=-]*",  # marked examples
+        r"(?i)(?<![a-z0-9+/_=-])(?=[a-z0-9+/_=-]*?(?:[a-z0-9]example|example[a-z0-9]))[a-z0-9+/_=-]+",  # marked keys; the word alone marks nothing
         r"(?i)abcdefghijklmnopqrstuvwxyz(?:0123456789)?|0123456789abcdef(?:ghijklmnopqrstuvwxyz)?",  # alphabets
     )
 
@@ -99,7 +100,9 @@ def entropy_spans(text: str, rules: EntropyRules = EntropyRules()) -> list[tuple
     if not found:
         return []
     allowed = _joined(m.span() for pattern in rules.allowed for m in re.finditer(pattern, text) if m.end() > m.start())
-    return [(a, b) for a, b in _joined(found) if not any(x <= a and b <= y for x, y in allowed)]
+    starts = [start for start, _ in allowed]
+    before = lambda a: bisect_right(starts, a) - 1  # noqa: E731  the last allowed span that starts at `a` or earlier
+    return [(a, b) for a, b in _joined(found) if (i := before(a)) < 0 or allowed[i][1] < b]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

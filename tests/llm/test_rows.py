@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -316,3 +317,60 @@ def test_pipeline(spark, sf):
     assert sorted(map(key, last)) == sorted(map(key, corpus_pipeline.run(spark, sf).collect()))
     assert {r.doc_id: r["size"] for r in last} == {r.doc_id: size_of(r.text) for r in before}
     assert all(not secrets.base_spans(r.text) for r in before)
+
+
+def test_long_runs_take_seconds():
+    rng = random.Random(11)
+    base64_run = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000_000))
+    start = time.time()
+    assert secrets.entropy_spans(base64_run)[0][0] < 100
+    for text in ("a" * 1_000_000 + "1", "ab://" * 200_000 + "k3v9x0q7m1b5t2r8y4u6", "1a/" * 300_000 + "k3v9x0q7m1b5t2r8y4u6", "x=" * 500_000, "exampl" * 160_000 + "9",
+                 "a1b2c3d4-" * 110_000, "password " * 110_000, "AKIA" * 250_000, "/" * 999_000 + "k3v9x0q7m1b5t2r8y4u6"):
+        secrets.all_spans(text)
+    assert time.time() - start < 120
+
+
+def test_many_spans_and_allowed_stretches():
+    key = "k3v9x0q7m1b5t2r8y4u6c9n0l7"
+    text = f"https://host/{key} {key} " * 20_000
+    start = time.time()
+    assert len(secrets.entropy_spans(text)) == 20_000 and time.time() - start < 60
+
+
+def test_a_mark_beside_a_key_silences_nothing():
+    key = "aZ3kP9xQ7mB1tR5wY8uC2nL6sD4fG0hJ1kL5zX8v"
+    for text in (f"{key}/example", f"example-{key}", f"example/{key}/EXAMPLE"):
+        assert any(text[a:b].find(key) >= 0 for a, b in secrets.entropy_spans(text)), text
+    assert secrets.entropy_spans(f"{key}EXAMPLE Example{key} {key}/x1example") == []
+
+
+def test_copies_of_a_labelled_row_change_no_score(spark, docs_of):
+    rng = random.Random(3)
+    word = lambda good: rng.choice(["fine", "clear", "useful"] if good else ["spam", "click", "buy"])
+    rows = [(i, " ".join(word(i % 2) for _ in range(30)) + f" w{i}") for i in range(800)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(800)], "doc_id long, quality int, toxic int")
+    copies = spark.range(45_000).select(mixing.F.lit(1).cast("long").alias("doc_id"), mixing.F.lit(rows[1][1]).alias("text"), mixing.F.lit(None).cast("long").alias("n_chars"))
+    plain = docs_of(rows).select("doc_id", "text", mixing.F.lit(None).cast("long").alias("n_chars"))
+    scores = []
+    for docs in (copies.unionByName(plain), plain.unionByName(copies), plain):
+        machine = quality.train(docs, labels)
+        scores.append({r.doc_id: r.score for r in quality.scored(plain, machine).collect()})
+    assert scores[0] == scores[1] == scores[2]
+    few = quality.Settings(sample_ids=2000)
+    assert quality.train(plain, labels, few).bias == quality.train(plain.repartition(7), labels, few).bias
+
+
+def test_pipeline_of_edge_rows(spark, docs_of, sf, tmp_path):
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60_000))
+    rows = [(1, None), (2, ""), (3, long), (3, long), (None, "a few words"), (5, "x" * 300_000), *[(10 + i, f"short text number {i} with words") for i in range(20)]]
+    for docs, least in ((docs_of(rows), 1), (docs_of([]), 0)):
+        folder = tmp_path / f"d{least}"
+        for name in ("benchmark", "labels"):
+            spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, docs, str(folder))
+            assert kept.columns == docs.columns, name
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        assert len(out) >= least and {r.doc_id for r in out} <= {i for i, _ in rows}
