@@ -27,6 +27,7 @@ TAGS = _table(
     ("confidence_score", _DBL, False), ("created_at", _TS, False),
 )
 EMBEDDED_ITEMS = _table(("feedback_id", _STR, False), ("embedded_at", _TS, False))
+ASSIGNED = _table(("feedback_id", _STR, False), ("cluster_id", _STR, True), ("assigned_at", _TS, False))
 INVENTORY = _table(("sku", _STR, False), ("style", _STR, True))
 EMBEDDINGS = _table(
     ("feedback_id", _STR, False), ("vector", T.ArrayType(T.FloatType()), False), ("model", _STR, False),
