@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -82,9 +82,8 @@ class Codec:
             at = mark + 1
         return "".join(out)
 
-    def decode(self, ids: np.ndarray) -> tuple[str, str, int]:
+    def decode(self, whole: str) -> tuple[str, str, int]:
         """Role and text of a turn, and the length of its formatted text."""
-        whole = self.text(ids)
         for role, (mark, end) in ROLES.items():
             if whole.startswith(mark):
                 return role, unescaped(whole[len(mark):-len(end)]), len(whole)
@@ -201,15 +200,24 @@ class Branch:
         self.positions.append(self.positions[-1] + length)
 
 
-def _flushed(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, NODE)
+def _flushed(rows: list[tuple], ids: list[list[int]], ancestors: list[list[tuple]]) -> pa.RecordBatch:
+    """A batch of nodes from (all other fields), their token ids and intervals."""
+    lists = {}
+    for name, kind, values in (("ids", np.int32, ids), ("ancestors", np.int64, ancestors)):
+        flat = np.fromiter(chain.from_iterable(values), kind) if name == "ids" else np.array([i for v in values for i in v], kind).reshape(-1, 2)
+        offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+        items = pa.array(flat) if name == "ids" else pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
+        lists[name] = pa.ListArray.from_arrays(pa.array(offsets), items)
+    plain = iter(zip(*rows))
+    return pa.record_batch([lists[f.name].cast(f.type) if f.name in lists else pa.array(next(plain), f.type) for f in NODE], schema=NODE)
 
 
 def _emitted(vocabulary: str):
     """Turns in depth-first order to nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, branch, pack, rank, at, out, held = Codec(vocabulary), Branch(), None, None, 0, [], 0
+        codec, branch, pack, rank, at, held = Codec(vocabulary), Branch(), None, None, 0, 0
+        out, tokens, seen = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["pack"] != pack:
@@ -219,18 +227,17 @@ def _emitted(vocabulary: str):
                     branch.back_to(row["depth"])  # the first turn of a path that is emitted
                 ids, first, last = codec.encode(row["role"], row["text"])
                 counts = row["role"] == "assistant"
-                out.append({
-                    "pack": pack, "start": at, "length": len(ids), "depth": row["depth"], "position": branch.positions[-1],
-                    "ancestors": [{"start": a, "end": b} for _, a, b in branch.joined], "ids": ids,
-                    "loss_from": first if counts else 0, "loss_to": last if counts else 0, "repeated": row["depth"] < row["shared"],
-                    "path_id": row["path_id"] if row["depth"] + 1 == row["n_turns"] else None})
+                out.append((pack, at, len(ids), row["depth"], branch.positions[-1], first if counts else 0, last if counts else 0,
+                            row["depth"] < row["shared"], row["path_id"] if row["depth"] + 1 == row["n_turns"] else None))
+                tokens.append(ids)
+                seen.append([(a, b) for _, a, b in branch.joined])
                 branch.add(at, len(ids))
                 at, held = at + len(ids), held + len(ids)
                 if held > 1 << 20:
-                    yield _flushed(out)
-                    out, held = [], 0
+                    yield _flushed(out, tokens, seen)
+                    out, tokens, seen, held = [], [], [], 0
         if out:
-            yield _flushed(out)
+            yield _flushed(out, tokens, seen)
 
     return run
 
@@ -265,25 +272,34 @@ def _walked(nodes: Iterator[dict]) -> Iterator[tuple[dict, int]]:
         starts.append(node["start"])
 
 
+def _node_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, token ids as slices of one array."""
+    lists = batch.column("ids")
+    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    for i, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
+        row["ids"] = flat[offsets[i]:offsets[i + 1]]
+        yield row
+
+
 DIGEST = "path_id binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def _read(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary)
-        rows = (row for batch in batches for row in batch.to_pylist())
+        rows = (row for batch in batches for row in _node_rows(batch))
         for _, nodes in groupby(rows, key=lambda row: row["pack"]):
             # per depth of the walk: hash of the turns, hash of the text under the loss mask, its length, formatted length
             path, found = [(hashlib.sha256(), hashlib.sha256(), 0, 0)], []
             for node, depth in _walked(nodes):
                 del path[depth + 1:]
                 turns, loss, loss_chars, chars = path[-1]
-                ids = np.array(node["ids"], np.int64)
-                role, text, size = codec.decode(ids)
+                before, said, after = (codec.text(part) for part in np.split(node["ids"], [node["loss_from"], node["loss_to"]]))
+                role, text, size = codec.decode(before + said + after)
                 turns = turns.copy()
                 turns.update(f"{role}\n{text}\n".encode())
-                if node["loss_to"] > node["loss_from"]:
-                    said = unescaped(codec.text(ids[node["loss_from"]:node["loss_to"]]))
+                if said:
+                    said = unescaped(said)
                     loss = loss.copy()
                     loss.update(said.encode())
                     loss_chars += len(said)
