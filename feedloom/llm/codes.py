@@ -2,9 +2,10 @@
 
 Vectors are cut into equal parts.  The distinct parts of each position, with their weights, are sorted; a sorted list of
 equal-length sequences is a trie whose nodes are runs with a common prefix.  The walk keeps, per depth, the vector of
-squared distances to all codebook entries summed over the dimensions so far, so parts with a common prefix share that work.
-A leaf takes the least entry and adds its weight and weighted components to that entry.  Leaves are taken in strips, depth
-first; within a strip numpy handles one depth at a time, and the path of the last leaf is carried into the next strip.
+squared distances to all codebook entries summed over the dimensions so far, so parts with a common prefix share that work;
+where one leaf is left below a node, the rest of its dimensions is one edge.  A leaf takes the least entry and adds its weight
+and weighted components to that entry.  Leaves are taken in strips, depth first, and numpy handles one depth of a strip at a
+time, which bounds the distance vectors held at once.
 """
 
 from __future__ import annotations
@@ -25,50 +26,68 @@ MOST = 2**63 - 1
 
 
 class Trie:
-    """Walks sorted parts against one codebook (entries x width); remembers the path of the last leaf."""
+    """Walks sorted parts against one codebook (entries x width)."""
 
     def __init__(self, book: np.ndarray, strip: int = STRIP):
-        self.book, self.strip, self.last, self.path = book, strip, None, None
-
-    def walk(self, leaves: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Start, least entries and their squared distances, per strip of the sorted `leaves`."""
+        self.book, self.strip = book, strip
+        self.columns = np.ascontiguousarray(book.T)
+        squares = self.columns * self.columns
+        #: squared length of the entries from each depth on
+        self.squares = np.cumsum(squares[::-1], axis=0)[::-1]
+
+    def walk(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The least entry of each leaf and its squared distance."""
+        entries, errors = np.zeros(len(leaves), np.int64), np.zeros(len(leaves), leaves.dtype)
         for start in range(0, len(leaves), self.strip):
-            yield start, *self._strip(leaves[start:start + self.strip])
+            part = slice(start, start + self.strip)
+            self._strip(leaves[part], entries[part], errors[part])
+        return entries, errors
 
-    def _strip(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _strip(self, leaves: np.ndarray, entries: np.ndarray, errors: np.ndarray) -> None:
         width = leaves.shape[1]
-        known = 0  # depths that the first leaf shares with the leaf before the strip
-        if self.last is not None:
-            unlike = np.flatnonzero(leaves[0] != self.last)
-            known = int(unlike[0]) if len(unlike) else width
-        node = np.zeros(len(leaves), np.int64)  # the leaf's node at the depth before
-        fresh = np.zeros(len(leaves), bool)
-        fresh[0] = True
-        sums = np.zeros((1, len(self.book)), self.book.dtype)
-        path = []
+        open_ = np.arange(len(leaves))  # leaves below nodes with several of them
+        node = np.zeros(len(leaves), np.int64)
+        sums = np.zeros((1, len(self.book)), self.book.dtype)  # distances of the nodes so far, per entry
         for depth in range(width):
-            fresh[1:] |= leaves[1:, depth] != leaves[:-1, depth]
+            here = leaves[open_, depth]
+            fresh = np.ones(len(open_), bool)
+            fresh[1:] = (node[1:] != node[:-1]) | (here[1:] != here[:-1])
             heads = np.flatnonzero(fresh)
-            step = leaves[heads, depth, None] - self.book[None, :, depth]
-            sums = sums[node[heads]] + step * step
-            if depth < known:
-                sums[0] = self.path[depth]
-            node = np.cumsum(fresh) - 1
-            path.append(sums[-1])
-        self.last, self.path = leaves[-1], path
-        best = sums.argmin(axis=1)
-        return best[node], sums[np.arange(len(sums)), best][node]
+            step = here[heads, None] - self.columns[depth]
+            step *= step
+            step += sums[node[heads]]
+            sums, node = step, np.cumsum(fresh) - 1
+            single = np.diff(heads, append=len(open_)) == 1
+            if depth == width - 1 or single.all():
+                done, rows = slice(None), open_ if depth == width - 1 else open_[heads]
+            else:
+                done, rows = single, open_[heads[single]]
+            if len(rows):
+                found = sums[done][node] if depth == width - 1 else sums[done] + self._edge(leaves[rows, depth + 1:], depth + 1)
+                best = found.argmin(axis=1)
+                entries[rows], errors[rows] = best, found[np.arange(len(rows)), best]
+            if depth == width - 1 or single.all():
+                return
+            left = ~single[node]
+            open_, node = open_[left], (np.cumsum(~single) - 1)[node[left]]
+            sums = sums[~single]
+
+    def _edge(self, tails: np.ndarray, depth: int) -> np.ndarray:
+        """Distances over the depths from `depth` on, where a node has one leaf left: one edge instead of a node per depth."""
+        crossed = tails @ self.columns[depth:]
+        return (tails * tails).sum(axis=1)[:, None] - 2 * crossed + self.squares[depth]
 
 
 def _exact(leaves: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both as 64-bit integers where every sum of squares fits, else as Python's."""
-    reach = max(int(leaves.max(initial=0)), int(book.max(initial=0))) - min(int(leaves.min(initial=0)), int(book.min(initial=0)))
-    fits = reach * reach * max(1, leaves.shape[1]) <= MOST
-    return (leaves, book.astype(np.int64)) if fits else (leaves.astype(object), book)
+    """Both in the fastest numbers in which every sum of squares is exact: double, 64-bit integers, or Python's."""
+    most = max(int(leaves.max(initial=0)), int(book.max(initial=0)), -int(leaves.min(initial=0)), -int(book.min(initial=0)))
+    bound = 4 * most * most * max(1, leaves.shape[1])
+    kind = np.float64 if bound < 2**53 else np.int64 if bound < 2**63 else object
+    return leaves.astype(kind), book.astype(kind)
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, width)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 SUMS = "position int, entry int, n long, total array<decimal(38,0)>"
@@ -87,16 +106,16 @@ def _entry_sums(books: list[np.ndarray], strip: int):
             for position in np.unique(positions):
                 mine = positions == position
                 own, book = _exact(leaves[mine], books[position])
-                n = counts[mine]
-                for start, entry, _ in Trie(book, strip).walk(own):
-                    part, weight = own[start:start + strip], n[start:start + strip]
-                    order = np.argsort(entry, kind="stable")
-                    edge = np.flatnonzero(np.diff(entry[order], prepend=-1))
-                    met = entry[order][edge]
-                    weights[position][met] += np.add.reduceat(weight[order], edge)
-                    # weights may be large: Python's integers for the products
-                    scaled = part[order].astype(object) * weight[order].astype(object)[:, None]
-                    totals[position][met] += np.add.reduceat(scaled, edge, axis=0)
+                entry, _ = Trie(book, strip).walk(own)
+                weight, part = counts[mine], leaves[mine]
+                most = max(int(part.max(initial=0)), -int(part.min(initial=0)), 1)
+                if most * int(weight.sum()) >= 2**63:  # products and sums in Python's integers
+                    part, weight = part.astype(object), weight.astype(object)
+                order = np.argsort(entry, kind="stable")
+                edge = np.flatnonzero(np.diff(entry[order], prepend=-1))
+                met = entry[order][edge]
+                weights[position][met] += np.add.reduceat(weight[order], edge).astype(np.int64)
+                totals[position][met] += np.add.reduceat(part[order] * weight[order][:, None], edge, axis=0).astype(object)
         for position, weight in enumerate(weights):
             met = np.flatnonzero(weight)
             yield pa.record_batch({
@@ -120,9 +139,9 @@ def _coded(books: list[np.ndarray], strip: int):
                 leaves, place = np.unique(vectors[:, position * width:(position + 1) * width], axis=0, return_inverse=True)
                 place = place.reshape(-1)
                 own, book = _exact(leaves, book)
-                entries, distances = zip(*((entry, distance) for _, entry, distance in Trie(book, strip).walk(own)))
-                digits[:, position] = np.concatenate(entries)[place]
-                errors += np.concatenate(distances).astype(object)[place]
+                entries, distances = Trie(book, strip).walk(own)
+                digits[:, position] = entries[place]
+                errors += (distances if distances.dtype == object else distances.astype(np.int64)).astype(object)[place]
             codes = digits.tobytes().hex()
             yield pa.record_batch({
                 "vec_id": batch.column("vec_id"), "label": batch.column("label"),

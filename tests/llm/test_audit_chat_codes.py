@@ -246,14 +246,15 @@ def test_codes_of_huge_components(spark):
     assert {r.error for r in coded.collect()} == {2**63 - 1}
 
 
-def test_trie_shares_prefixes_across_strips():
+def test_trie_walk():
     rng = np.random.default_rng(3)
-    leaves = np.unique(rng.integers(0, 3, (500, 6)), axis=0)
-    book = rng.integers(0, 3, (20, 6))
-    want = ((leaves[:, None] - book[None]) ** 2).sum(-1)
-    for strip in (1, 7, 1000):
-        entries, errors = (np.concatenate(x) for x in zip(*(found[1:] for found in codes.Trie(book, strip).walk(leaves))))
-        assert (entries == want.argmin(axis=1)).all() and (errors == want.min(axis=1)).all()
+    for values, kind in ((3, np.float64), (2, np.int64), (50, object)):
+        leaves = np.unique(rng.integers(0, values, (500, 6)), axis=0)
+        book = rng.integers(0, values, (20, 6))
+        want = ((leaves[:, None] - book[None]) ** 2).sum(-1)
+        for strip in (1, 7, 1000):
+            entries, errors = codes.Trie(book.astype(kind), strip).walk(leaves.astype(kind))
+            assert (entries == want.argmin(axis=1)).all() and (errors == want.min(axis=1)).all()
 
 
 @pytest.mark.parametrize("name", ["op11_vector_codes", "op12_chat_packs", "op13_filter_audit"])
