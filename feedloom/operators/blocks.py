@@ -1,16 +1,23 @@
 """Points packed into blocks of bounded size, and the block pairs a search must look at.
 
 Neighbour search inside a group would need all pairs of the group.  Here the points of a
-group are ordered along a space-filling curve and cut into blocks of at most `rows`
-points; one row holds one block.  A search compares a block only with blocks whose
-bounding box lies within the block's current bound, found by descending a tree of
-bounding boxes one level at a time with equi-joins.  A task then works on one block pair
-at a time, so no task ever holds a whole group, and nothing within a bound is left out.
+group are ordered and cut into blocks of at most `rows` points; one row holds one block.
+A search compares a block only with blocks that can lie within the block's current bound,
+found by descending a tree of blocks one level at a time with equi-joins.  A task then works
+on one block pair at a time, so no task ever holds a whole group, and nothing within a bound
+is left out.
+
+What a block says of its points are intervals `lo`, `hi`.  In few dimensions these are its
+bounding box, and the order is a space-filling curve.  In many dimensions boxes overlap
+whatever the data; there the intervals are those of the distances to a few pivots, and the
+order is by nearest pivots.  By the triangle inequality, points whose distances to a pivot
+differ by g are at least g apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +31,9 @@ BLOCK_VALUES = 262_144  # coordinates per block, so wide vectors give shorter bl
 FANOUT_BITS = 3        # eight children per tree node
 CURVE_DIMS, CURVE_BITS = 6, 10
 SLACK = 1 + 1e-9       # rounding must never drop a pair that lies on the bound
+BOX_DIMS = 8           # vectors with more parts are told apart by pivots
+PIVOTS, PIVOT_SAMPLE = 32, 2000  # the pivots are fitted on at most so many points
+ROUNDING = 1e-12       # relative error of a distance to a pivot, with room
 
 PACKED = ("grp string, block long, n int, dim int, ids array<string>, weights array<long>, xs array<double>, "
           "lo array<double>, hi array<double>, whole boolean")
@@ -64,17 +74,65 @@ def _curve_key(dim: int) -> Column:
     return key
 
 
+def choose_pivots(points: DataFrame, pivots: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> np.ndarray:
+    """Centres of a bounded sample of (rid, xs), the points with the least hashes.  Any choice gives right results."""
+    rows = points.orderBy(F.xxhash64("rid"), "rid").limit(sample).select("xs").collect()
+    x = np.array([r.xs for r in rows], float)
+    if not len(x):
+        return np.zeros((1, 1))
+    centres = [x[0]]
+    far = ((x - x[0]) ** 2).sum(axis=1)
+    while len(centres) < pivots and far.max() > 0:
+        centres.append(x[far.argmax()])
+        far = np.minimum(far, ((x - centres[-1]) ** 2).sum(axis=1))
+    found = np.array(centres)
+    for _ in range(5):
+        nearest = ((x[:, None] - found[None]) ** 2).sum(axis=2).argmin(axis=1)
+        found = np.array([x[nearest == i].mean(axis=0) if (nearest == i).any() else c for i, c in enumerate(found)])
+    return found
+
+
+def to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances of all points to all pivots."""
+    return np.sqrt(squared_distances(x, pivots))
+
+
+def _by_pivots(pivots: np.ndarray):
+    """Add `key`, the numbers of the three nearest pivots, and `near`, the distance to the nearest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            d = to_pivots(batch.column("xs").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1), pivots)
+            nearest = np.argsort(d, axis=1, kind="stable")[:, :3]
+            key = np.zeros(len(d), np.int64)
+            for column in nearest.T:
+                key = key * len(pivots) + column
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key), pa.array(d.min(axis=1))], [*batch.schema.names, "key", "near"])
+
+    return run
+
+
 def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.array([values], pa.list_(kind))
 
 
-def pack(distinct: DataFrame, dim: int, rows: int | None = None) -> DataFrame:
+def pack(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None) -> DataFrame:
     """Blocks of the distinct points, written once.  `whole` marks a block that is its entire group.
 
+    `pivots` may be given, so that several tables share them.
     Small groups are gathered by a plain group-by of at most `rows` points.  Larger ones are
     sorted across the cluster by range partitioning and cut as the rows stream by.
     """
     limit = block_rows(dim, rows)
+    if dim > BOX_DIMS and pivots is None:
+        pivots = choose_pivots(distinct)
+
+    def extent(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        told = x if pivots is None else to_pivots(x, pivots)
+        return told.min(axis=0), told.max(axis=0)
+
     sizes = distinct.groupBy("grp").agg(
         F.count("*").alias("n"),
         F.array(*[F.min(F.col("xs")[i]) for i in range(min(dim, CURVE_DIMS))]).alias("mins"),
@@ -89,28 +147,30 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None) -> DataFrame:
         for batch in batches:
             m = batch.num_rows
             x = [coords(batch, i, "xs", dim) for i in range(m)]
+            extents = [extent(p) for p in x]
             doubles = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("grp"), pa.array([0] * m, pa.int64()), pa.array([len(p) for p in x], pa.int32()), pa.array([dim] * m, pa.int32()),
-                 batch.column("ids"), batch.column("weights"), batch.column("xs"), pa.array([p.min(axis=0) for p in x], doubles),
-                 pa.array([p.max(axis=0) for p in x], doubles), pa.array([True] * m)],
+                 batch.column("ids"), batch.column("weights"), batch.column("xs"), pa.array([lo for lo, _ in extents], doubles),
+                 pa.array([hi for _, hi in extents], doubles), pa.array([True] * m)],
                 ["grp", "block", "n", "dim", "ids", "weights", "xs", "lo", "hi", "whole"],
             )
 
     small = gathered.mapInArrow(whole, PACKED)
     if not sizes.filter(F.col("n") > limit).head(1):
         return cut(small)
-    keyed = (
-        distinct.join(sizes.filter(F.col("n") > limit), "grp")
-        .select("grp", _curve_key(dim).alias("key"), "rid", "weight", "xs")
-        .repartitionByRange("grp", "key", "rid")
-        .sortWithinPartitions("grp", "key", "rid")
-        .withColumn("part", F.spark_partition_id())
-        .select("grp", "rid", "weight", "xs", "part")
-    )
+    keyed = distinct.join(sizes.filter(F.col("n") > limit), "grp").select(
+        "grp", "rid", "weight", "xs", *([_curve_key(dim).alias("key"), F.lit(0.0).alias("near")] if pivots is None else []))
+    if pivots is not None:
+        keyed = keyed.mapInArrow(_by_pivots(pivots), "grp string, rid string, weight long, xs array<double>, key long, near double")
+    order = ["grp", "key", "near", "rid"]
+    keyed = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "grp", "rid", "weight", "xs", F.spark_partition_id().alias("part"), "key")
+    cell = 1 if pivots is None else len(pivots) ** 2  # points of one nearest pivot
+    least = limit // 4  # a block may end early where a cell ends, but not too early
 
     def cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {"grp": None, "ids": [], "w": [], "x": []}
+        held: dict = {"grp": None, "ids": [], "w": [], "x": [], "cell": None}
         seq = 0
 
         def flush(part: int):
@@ -118,10 +178,11 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None) -> DataFrame:
             ids = [held["ids"][i] for i in order]
             x = np.array(held["x"])[order]
             w = np.array(held["w"], dtype=np.int64)[order]
+            lo, hi = extent(x)
             return pa.RecordBatch.from_arrays(
                 [pa.array([held["grp"]]), pa.array([part * 2**32 + seq], pa.int64()), pa.array([len(ids)], pa.int32()),
                  pa.array([dim], pa.int32()), pa.array([ids], pa.list_(pa.string())), _list(w, pa.int64()),
-                 _list(x.ravel(), pa.float64()), _list(x.min(axis=0), pa.float64()), _list(x.max(axis=0), pa.float64()),
+                 _list(x.ravel(), pa.float64()), _list(lo, pa.float64()), _list(hi, pa.float64()),
                  pa.array([False])],
                 ["grp", "block", "n", "dim", "ids", "weights", "xs", "lo", "hi", "whole"],
             )
@@ -132,12 +193,14 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None) -> DataFrame:
             weights = batch.column(2).to_pylist()
             x = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1) if ids else []
             part = batch.column(4)[0].as_py() if ids else part
+            cells = batch.column(5).to_numpy(zero_copy_only=False) // cell
             for i, grp in enumerate(grps):
-                if held["ids"] and (grp != held["grp"] or len(held["ids"]) == limit):
+                left = pivots is not None and held["cell"] != cells[i] and len(held["ids"]) > least
+                if held["ids"] and (grp != held["grp"] or len(held["ids"]) == limit or left):
                     yield flush(part)
                     seq += 1
                     held = {"grp": None, "ids": [], "w": [], "x": []}
-                held["grp"] = grp
+                held["grp"], held["cell"] = grp, cells[i]
                 held["ids"].append(ids[i])
                 held["w"].append(weights[i])
                 held["x"].append(x[i])
@@ -152,7 +215,7 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None) -> DataFrame:
     return cut(small.unionByName(large.withColumn("block", dense)))
 
 
-# --- bounding boxes ---------------------------------------------------------------------
+# --- what the intervals say ---------------------------------------------------------------
 
 def _sides(a: str, b: str, gap: Callable) -> Column:
     zipped = F.arrays_zip(F.col(f"{a}lo").alias("p"), F.col(f"{a}hi").alias("q"), F.col(f"{b}lo").alias("r"), F.col(f"{b}hi").alias("s"))
@@ -169,10 +232,40 @@ def box_span(a: str, b: str) -> Column:
     return _sides(a, b, lambda z: F.greatest(z["s"] - z["p"], z["q"] - z["r"]))
 
 
-def tree_levels(leaves: DataFrame, dim: int, extra: dict[str, Callable] | None = None) -> list[DataFrame]:
+def pivot_gap(a: str, b: str) -> Column:
+    """At least so far apart are the points of two blocks, by their distances to the pivots."""
+    zipped = F.arrays_zip(F.col(f"{a}lo").alias("p"), F.col(f"{a}hi").alias("q"), F.col(f"{b}lo").alias("r"), F.col(f"{b}hi").alias("s"))
+    apart = F.transform(zipped, lambda z: F.greatest(z["r"] - z["q"], z["p"] - z["s"]) - (z["q"] + z["s"]) * ROUNDING)
+    return F.greatest(F.lit(0.0), F.array_max(apart))
+
+
+def pivot_span(a: str, b: str) -> Column:
+    """At most so far apart are the points of two blocks, going by way of a pivot."""
+    zipped = F.arrays_zip(F.col(f"{a}hi").alias("q"), F.col(f"{b}hi").alias("s"))
+    return F.array_min(F.transform(zipped, lambda z: (z["q"] + z["s"]) * (1 + ROUNDING)))
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Least and greatest distance between the blocks with two prefixes, and the number of intervals of a block."""
+
+    gap: Callable[[str, str], Column]
+    span: Callable[[str, str], Column]
+    width: int
+
+
+def bounds_of(blocks: DataFrame, dim: int) -> Bounds:
+    """How blocks of `dim`-part vectors are told apart."""
+    if dim <= BOX_DIMS:
+        return Bounds(box_gap, box_span, dim)
+    one = blocks.select(F.size("lo")).head()
+    return Bounds(pivot_gap, pivot_span, one[0] if one else 1)
+
+
+def tree_levels(leaves: DataFrame, width: int, extra: dict[str, Callable] | None = None) -> list[DataFrame]:
     """Node tables from the blocks (level 0) up to one node per group.
 
-    A node holds the count and bounding box of the blocks below it, plus the `extra`
+    A node holds the count and intervals of the blocks below it, plus the `extra`
     columns with their aggregates.  Only these narrow columns of the blocks are read.
     """
     extra = extra or {}
@@ -182,8 +275,8 @@ def tree_levels(leaves: DataFrame, dim: int, extra: dict[str, Callable] | None =
     for level in range(1, top + 1):
         levels.append(leaves.groupBy("grp", F.shiftright("block", FANOUT_BITS * level).alias("node")).agg(
             F.sum("n").alias("n"),
-            F.array(*[F.min(F.col("lo")[i]) for i in range(dim)]).alias("lo"),
-            F.array(*[F.max(F.col("hi")[i]) for i in range(dim)]).alias("hi"),
+            F.array(*[F.min(F.col("lo")[i]) for i in range(width)]).alias("lo"),
+            F.array(*[F.max(F.col("hi")[i]) for i in range(width)]).alias("hi"),
             *[combine(name).alias(name) for name, combine in extra.items()],
         ))
     return levels

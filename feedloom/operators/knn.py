@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    box_gap, box_span, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
+    bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
 )
 from feedloom.session import cut
 
@@ -119,9 +119,10 @@ def block_neighbours(blocks: DataFrame, k: int, dim: int) -> DataFrame:
         caps = parts.select("grp", "block", "dim", "xs").mapInArrow(_caps(k), "grp string, block long, caps array<double>")
         capped = cut(parts.join(caps, ["grp", "block"]))
         seekers = capped.select("grp", "block", "lo", "hi", F.array_max("caps").alias("bound"))
+        by = bounds_of(capped, dim)
         pairs = descend(
-            seekers, tree_levels(capped, dim), low=box_gap("a_", "b_"), keep=F.lit(True),
-            high=box_span("a_", "b_"), usable=F.col("b_n") > k,
+            seekers, tree_levels(capped, by.width), low=by.gap("a_", "b_"), keep=F.lit(True),
+            high=by.span("a_", "b_"), usable=F.col("b_n") > k,
         ).filter(F.col("block") != F.col("other"))
         rows = pair_rows(pairs, capped, capped, ["dim", "ids", "xs", "caps"], ["ids", "weights", "xs"])
         found = found.unionByName(rows.mapInArrow(_across(k), FOUND))
@@ -243,9 +244,10 @@ def part_cores(parts: DataFrame, dim: int) -> DataFrame:
     caps = parts.select("grp", "block", "dim", "xs", "k").mapInArrow(_caps_by_row(), "grp string, block long, caps array<double>")
     capped = cut(parts.join(caps, ["grp", "block"]))
     seekers = capped.select("grp", "block", "lo", "hi", "k", F.array_max("caps").alias("bound"))
+    by = bounds_of(capped, dim)
     pairs = descend(
-        seekers, tree_levels(capped, dim), low=box_gap("a_", "b_"), keep=F.lit(True),
-        high=box_span("a_", "b_"), usable=F.col("b_n") > F.col("a_k"),
+        seekers, tree_levels(capped, by.width), low=by.gap("a_", "b_"), keep=F.lit(True),
+        high=by.span("a_", "b_"), usable=F.col("b_n") > F.col("a_k"),
     ).filter(F.col("block") != F.col("other"))
     rows = pair_rows(pairs, capped, capped, ["dim", "k", "xs", "caps"], ["xs", "weights"])
     lists = capped.select("grp", "block", "dim", "k", "xs", "weights").mapInArrow(_distance_lists(False), LISTS).unionByName(

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import box_gap, coords, descend, distinct_points, pack, squared_distances, tree_levels, values
+from feedloom.operators.blocks import bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values
 from feedloom.operators.components import components
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size
 from feedloom.operators.mst import point_edges, spanning_trees
@@ -116,8 +116,9 @@ def dbscan(points: DataFrame, eps: float, min_samples: int = 5, rows: int | None
     pairs = blocks.filter("whole").select("grp", "block", F.col("block").alias("other"))
     parts = blocks.filter("NOT whole")
     if parts.head(1):
+        by = bounds_of(parts, dim)
         seekers = parts.select("grp", "block", "lo", "hi", F.lit(float(eps)).alias("bound"))
-        pairs = pairs.unionByName(descend(seekers, tree_levels(parts, dim), low=box_gap("a_", "b_"), keep=F.lit(True)))
+        pairs = pairs.unionByName(descend(seekers, tree_levels(parts, by.width), low=by.gap("a_", "b_"), keep=F.lit(True)))
     pairs = cut(pairs)
     counted = pair_rows(pairs, blocks, blocks, ["dim", "xs"], ["xs", "weights"]).mapInArrow(
         _counts(eps), "grp string, block long, pos int, n long")

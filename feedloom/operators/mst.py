@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    box_gap, box_span, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
+    bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
 )
 from feedloom.operators.components import components
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size, with_cores
@@ -108,7 +108,7 @@ def _part_trees(parts: DataFrame, dim: int) -> DataFrame:
                               F.array_min("cores").alias("core_lo"), F.array_max("cores").alias("core_hi")))
     comps = packed.select("grp", "block", F.col("ids").alias("comps"))
     extra = {"core_lo": F.min, "core_hi": F.max, "c_lo": F.min, "c_hi": F.max}
-    tree = None
+    tree, by = None, bounds_of(packed, dim)
     while True:
         now = cut(packed.join(comps, ["grp", "block"]).withColumn("c_lo", F.array_min("comps")).withColumn("c_hi", F.array_max("comps")))
         inside = cut(now.select("grp", "dim", "ids", "xs", "cores", "comps").mapInArrow(_least_edges(False), CHOICE))
@@ -120,9 +120,9 @@ def _part_trees(parts: DataFrame, dim: int) -> DataFrame:
                              F.when(F.col("c_lo") == F.col("c_hi"), F.col("c_lo")).alias("comp")).join(bounds, ["grp", "block"])
         same = (F.col("a_c_lo") == F.col("a_c_hi")) & (F.col("b_c_lo") == F.col("b_c_hi")) & (F.col("a_c_lo") == F.col("b_c_lo"))
         pairs = descend(
-            seekers, tree_levels(now, dim, extra),
-            low=F.greatest(box_gap("a_", "b_"), F.col("a_core_lo"), F.col("b_core_lo")), keep=~same, bound_key="comp",
-            high=F.greatest(box_span("a_", "b_"), F.col("a_core_hi"), F.col("b_core_hi")), usable=F.col("a_comp").isNotNull(),
+            seekers, tree_levels(now, by.width, extra),
+            low=F.greatest(by.gap("a_", "b_"), F.col("a_core_lo"), F.col("b_core_lo")), keep=~same, bound_key="comp",
+            high=F.greatest(by.span("a_", "b_"), F.col("a_core_hi"), F.col("b_core_hi")), usable=F.col("a_comp").isNotNull(),
         ).filter(F.col("block") != F.col("other"))
         cols = ["ids", "xs", "cores", "comps"]
         outside = pair_rows(pairs, now, now, ["dim", *cols], cols).mapInArrow(_least_edges(True), CHOICE)
