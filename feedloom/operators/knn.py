@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from feedloom.operators.blocks import (
     bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
 )
+from feedloom.operators.counting import STRIPE, narrowed_cores
 from feedloom.session import cut
 
-STRIPE = 512  # query rows whose distances are held at once
-
 FOUND = "grp string, block long, pos int, rid string, nbr string, nbr_weight long, dist double"
 
 
@@ -192,86 +191,6 @@ def block_reach(x: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     return core
 
 
-LISTS = "grp string, block long, pos int, dists array<double>, counts array<long>"
-
-
-def _lists(grp, block, found) -> Iterator[pa.RecordBatch]:
-    for rows, dist, counts in found:
-        if len(rows) == 0:
-            continue
-        starts = np.flatnonzero(np.diff(np.insert(rows, 0, -1))).astype(np.int32)
-        offsets = pa.array(np.append(starts, len(rows)).astype(np.int32))
-        m = len(starts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([grp] * m, pa.string()), pa.array(np.full(m, block, dtype=np.int64)), pa.array(rows[starts].astype(np.int32)),
-             pa.ListArray.from_arrays(offsets, pa.array(dist)), pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64)))],
-            ["grp", "block", "pos", "dists", "counts"],
-        )
-
-
-def _distance_lists(across: bool):
-    """Ascending distances from each point to its nearest points, with their weights, one row per point."""
-    other = "o_" if across else ""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dim, k = batch.column("dim")[i].as_py(), batch.column("k")[i].as_py()
-                a, b = coords(batch, i, "xs", dim), coords(batch, i, f"{other}xs", dim)
-                weights = values(batch, i, f"{other}weights")
-                cap = values(batch, i, "caps") if across else None
-                near = ((rows, dist, weights[cols]) for rows, cols, dist in _nearest(a, b, k, own=not across, cap=cap))
-                yield from _lists(batch.column("grp")[i].as_py(), batch.column("block")[i].as_py(), near)
-
-    return run
-
-
-def _caps_by_row():
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield from _caps(batch.column("k")[i].as_py())(iter([batch.slice(i, 1)]))
-
-    return run
-
-
-def part_cores(parts: DataFrame, dim: int) -> DataFrame:
-    """(grp, block, cores array) for groups cut into several blocks; `parts` carries `k` per group.
-
-    Per point only ascending distance lists travel, and across blocks only distances within
-    the point's k-th distance inside its own block.
-    """
-    caps = parts.select("grp", "block", "dim", "xs", "k").mapInArrow(_caps_by_row(), "grp string, block long, caps array<double>")
-    capped = cut(parts.join(caps, ["grp", "block"]))
-    seekers = capped.select("grp", "block", "lo", "hi", "k", F.array_max("caps").alias("bound"))
-    by = bounds_of(capped, dim)
-    pairs = descend(
-        seekers, tree_levels(capped, by.width), low=by.gap("a_", "b_"), keep=F.lit(True),
-        high=by.span("a_", "b_"), usable=F.col("b_n") > F.col("a_k"),
-    ).filter(F.col("block") != F.col("other"))
-    rows = pair_rows(pairs, capped, capped, ["dim", "k", "xs", "caps"], ["xs", "weights"])
-    lists = capped.select("grp", "block", "dim", "k", "xs", "weights").mapInArrow(_distance_lists(False), LISTS).unionByName(
-        rows.mapInArrow(_distance_lists(True), LISTS)
-    )
-    near = lists.groupBy("grp", "block", "pos").agg(
-        F.flatten(F.collect_list(F.arrays_zip(F.col("dists").alias("d"), F.col("counts").alias("c")))).alias("near")
-    )
-    own = capped.select("grp", "block", "k", F.posexplode("weights").alias("pos", "weight"))
-    spare = F.col("weight") - 1
-    walked = F.aggregate(
-        F.sort_array(F.coalesce("near", F.array().cast("array<struct<d:double,c:bigint>>"))),
-        F.struct(spare.alias("seen"), F.lit(0.0).alias("core")),
-        lambda s, e: F.struct(
-            (s["seen"] + e["c"]).alias("seen"), F.when(s["seen"] >= F.col("k"), s["core"]).otherwise(e["d"]).alias("core")
-        ),
-    )["core"]
-    core = F.when(spare >= F.col("k"), 0.0).otherwise(walked)
-    flat = own.join(near, ["grp", "block", "pos"], "left").select("grp", "block", "pos", core.alias("core"))
-    return flat.groupBy("grp", "block").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "core")))["core"].alias("cores")
-    )
-
-
 def _whole_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cores = [
@@ -290,7 +209,7 @@ def with_cores(blocks: DataFrame, dim: int) -> DataFrame:
     cores = blocks.filter("whole").select("grp", "block", "dim", "k", "xs", "weights").mapInArrow(_whole_cores, shape)
     parts = blocks.filter("NOT whole")
     if parts.head(1):
-        cores = cores.unionByName(part_cores(parts, dim))
+        cores = cores.unionByName(narrowed_cores(parts, dim))
     return blocks.join(cores, ["grp", "block"])
 
 
