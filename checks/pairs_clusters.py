@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.canon import micro, r6, sql_ts, ts
 from checks.pairs_tables import CLEAN_SQL, DAY1
 from checks.pairs_text import RULES
 from checks.twins import query
+from feedloom.functions import vectors
 from feedloom.functions.labels import slice_label
 from feedloom.operators import adaptive, kmeans, knn, linkage, mst, quality, reduce
 from feedloom.plans import clustering, ingest
@@ -131,6 +133,28 @@ def _(t):
         "source", "style", "n_points", "n_clusters", "smallest_cluster_size", *[r6(n) for n in names])
 
 
+@query("relative_validity", "planted", f"""
+WITH {POINTS_SQL},
+c AS (SELECT *, CASE WHEN label = 9 OR (label = 3 AND grp LIKE '%chat%') THEN -1 ELSE label // 2 END AS c FROM p),
+l AS (SELECT grp, c AS b, lag(c) OVER s AS a, list_distance(xs, lag(xs) OVER s) AS w FROM c WINDOW s AS (PARTITION BY grp ORDER BY pid)),
+e AS (SELECT * FROM l WHERE w IS NOT NULL),
+t AS (SELECT grp, count(*) AS total, count(DISTINCT c) FILTER (c >= 0) AS k FROM c GROUP BY grp),
+m AS (SELECT grp, max(w) AS longest, min(w) FILTER ((a < 0) <> (b < 0)) AS noise FROM e GROUP BY grp),
+n AS (SELECT grp, c, count(*) AS n FROM c WHERE c >= 0 GROUP BY grp, c),
+x AS (SELECT n.grp, n.c, n.n, coalesce(max(w) FILTER (a = n.c AND b = n.c), 0) AS sparse, min(w) FILTER (a >= 0 AND b >= 0 AND a <> b) AS apart
+  FROM n LEFT JOIN e ON e.grp = n.grp AND (e.a = n.c OR e.b = n.c) GROUP BY n.grp, n.c, n.n),
+v AS (SELECT x.*, coalesce(apart, 2 * CASE WHEN t.k > 1 THEN longest ELSE coalesce(noise, longest) END) AS sep, total FROM x JOIN t USING (grp) JOIN m USING (grp))
+SELECT grp, round(sum(n * (sep - sparse) / greatest(sep, sparse) / total), 6) + 0.0 AS relative_validity FROM v GROUP BY grp""")
+def _(t):
+    """From given edges (each point and the one before it) and given labels."""
+    label = F.col("cluster")
+    rows = labelled(t).withColumn("cluster", F.when((label == 9) | ((label == 3) & F.col("grp").contains("chat")), -1).otherwise(F.floor(label / 2)))
+    before = Window.partitionBy("grp").orderBy("pid")
+    edges = rows.select("grp", F.lag("pid").over(before).alias("u"), F.col("pid").alias("v"), vectors.l2_distance(F.lag("xs").over(before), F.col("xs")).alias("w"))
+    marks = rows.select("grp", F.col("pid").alias("node"), "cluster", F.lit(1).alias("weight"))
+    return quality.relative_validity(edges.filter("u IS NOT NULL"), marks).select("grp", r6("relative_validity"))
+
+
 # --- neighbours and trees ---------------------------------------------------------------------
 
 @query("knn_graph", "planted", f"""

@@ -30,12 +30,18 @@ def block_pairs(left: DataFrame, right: DataFrame, dim: int) -> DataFrame:
     `left` has grp, block, lo, hi, bound; `right` are blocks.  `low` and `span` are the least and greatest distance
     that points of the two can have.
     """
-    by = bounds_of(right, dim)
-    pairs = descend(left.select("grp", "block", "lo", "hi", "bound"), tree_levels(right, by.width), low=by.gap("a_", "b_"), keep=F.lit(True))
+    whole = left.join(right.filter("whole").select("grp", "block"), ["grp", "block"], "left_semi")
+    alone = whole.select("grp", "block", F.col("block").alias("other"), F.lit(0.0).alias("low"), F.lit(float("inf")).alias("span"))
+    parts = right.filter("NOT whole")
+    if not parts.head(1):
+        return alone
+    by = bounds_of(parts, dim)
+    seekers = left.select("grp", "block", "lo", "hi", "bound").join(parts.select("grp").distinct(), "grp", "left_semi")
+    pairs = descend(seekers, tree_levels(parts, by.width), low=by.gap("a_", "b_"), keep=F.lit(True))
     a = left.select("grp", "block", F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
     b = right.select("grp", F.col("block").alias("other"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
     both = pairs.join(a, ["grp", "block"]).join(b, ["grp", "other"])
-    return both.select("grp", "block", "other", by.gap("a_", "b_").alias("low"), by.span("a_", "b_").alias("span"))
+    return alone.unionByName(both.select("grp", "block", "other", by.gap("a_", "b_").alias("low"), by.span("a_", "b_").alias("span")))
 
 
 def spread(pairs: DataFrame) -> DataFrame:
@@ -187,7 +193,7 @@ def narrowed_cores(parts: DataFrame, dim: int) -> DataFrame:
         F.array(*[F.max(F.col("hi")[i]) for i in range(by.width)]).alias("b_hi"))
     capped = parts.join(groups, "grp").withColumn("k", F.least(F.col("k").cast("long"), F.col("total") - 1))
     capped = capped.withColumnsRenamed({"lo": "a_lo", "hi": "a_hi"}).withColumn("most", by.span("a_", "b_"))
-    capped = cut(capped.select("grp", "block", "n", "dim", "xs", "weights", "k", "most", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi")))
+    capped = cut(capped.select("grp", "block", "n", "dim", "xs", "weights", "k", "most", "whole", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi")))
     reach = capped.select("grp", "block", "dim", "xs", "weights", "k").mapInArrow(_own_reach, "grp string, block long, reach array<double>")
     points = capped.select("grp", "block", "k", "most", F.posexplode("weights").alias("pos", "weight")).join(
         reach.select("grp", "block", F.posexplode("reach").alias("pos", "reach")), ["grp", "block", "pos"])

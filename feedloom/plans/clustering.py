@@ -12,7 +12,7 @@ from feedloom.functions.vectors import has_direction, unit
 from feedloom.operators import adaptive
 from feedloom.operators.density import LOCAL_EDGES, density_clusters
 from feedloom.operators.mst import spanning_trees
-from feedloom.operators.quality import TRUST_SAMPLE, clustering_quality, trustworthiness
+from feedloom.operators.quality import clustering_quality, relative_validity, trustworthiness
 from feedloom.operators.reduce import principal_axes, project
 from feedloom.operators.reports import cluster_catalog, cluster_samples_wide, label_counts
 from feedloom.operators.terms import cluster_terms, describe_clusters
@@ -23,7 +23,7 @@ from feedloom.sources.readers import scan_embeddings, with_parsed_vectors
 HIERARCHY = ("parent_label string, depth int, n_points long, n_clusters long, "
              "neighbours struct<n_neighbors:int,min_dist:double,spread:double>, "
              "density struct<min_cluster_size:int,min_samples:int,epsilon:double>, "
-             "trustworthiness double, relative_validity double, min_persistence double, mean_persistence double, "
+             "trustworthiness double, trust_points long, relative_validity double, min_persistence double, mean_persistence double, "
              "mean_probability double, low_confidence_ratio double, noise_ratio double, largest_cluster_ratio double, "
              "smallest_cluster_size long, mean_cluster_size double, cluster_size_std double")
 
@@ -34,6 +34,7 @@ class ClusterSettings:
     n_components: int = 3
     min_cluster_pct: float = 0.02
     measure_trust: bool = False
+    trust_sample: int | None = None     # rows per group that trustworthiness is measured on; None = all
     block_rows: int | None = None       # points per block; None = sized by the dimension
     local_edges: int = LOCAL_EDGES      # trees below this are condensed in one task
 
@@ -44,13 +45,26 @@ def cluster_groups(points: DataFrame, min_samples: Column | int, min_cluster_siz
 
     The parameters may read `n_points`, the number of points of the group.
     """
+    return measured_clusters(points, min_samples, min_cluster_size, epsilon, block_rows, local_edges, validity=False)[0]
+
+
+def measured_clusters(points: DataFrame, min_samples: Column | int, min_cluster_size: Column | int, epsilon: Column | float = 0.0,
+                      block_rows: int | None = None, local_edges: int = LOCAL_EDGES, validity: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """`cluster_groups` and, if asked, (grp, relative_validity) told from the same spanning trees."""
     edges, nodes, distinct = spanning_trees(points, min_samples, block_rows)
     as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
     params = distinct.groupBy("grp").agg(F.sum("weight").alias("n_points")).select(
         "grp", as_column(min_cluster_size).cast("int").alias("min_cluster_size"), as_column(epsilon).cast("double").alias("epsilon"))
     labelled = density_clusters(edges, nodes.join(params, "grp"), local_edges)
+    labelled = cut(labelled) if validity else labelled
     members = points.join(distinct.select("grp", "rid", "xs"), ["grp", "xs"]).select("grp", "pid", "rid")
-    return members.join(labelled.drop("weight"), ["grp", "rid"]).drop("rid")
+    found = members.join(labelled.drop("weight"), ["grp", "rid"]).drop("rid")
+    if not validity:
+        return found, None
+    # copies of a point hang on it at its core distance
+    copies = nodes.filter("weight > 1").select("grp", F.col("rid").alias("u"), F.col("rid").alias("v"), F.col("core").alias("w"))
+    marks = labelled.select("grp", F.col("rid").alias("node"), "cluster", "weight")
+    return found, relative_validity(edges.select("grp", "u", "v", "w").unionByName(copies), marks)
 
 
 def recursive_clusters(embeddings: DataFrame, settings: ClusterSettings = ClusterSettings()) -> tuple[DataFrame, DataFrame]:
@@ -109,16 +123,17 @@ def _level(points: DataFrame, depth: int, settings: ClusterSettings) -> tuple[Da
     """Reduce and cluster every group of one level; (labelled points, one row per group)."""
     reduced = cut(project(points, principal_axes(points, settings.n_components)))
     params = adaptive.density_params(F.lit(depth), F.col("n_points"), settings.min_cluster_pct)
-    found = cut(cluster_groups(reduced, params["min_samples"], params["min_cluster_size"], params["epsilon"],
-                               settings.block_rows, settings.local_edges))
-    quality = clustering_quality(found, ["grp"]).withColumn(
+    found, validity = measured_clusters(reduced, params["min_samples"], params["min_cluster_size"], params["epsilon"],
+                                        settings.block_rows, settings.local_edges)
+    found = cut(found)
+    quality = clustering_quality(found, ["grp"], validity).withColumn(
         "neighbours", adaptive.neighbour_params(F.lit(depth), F.col("n_points"), settings.n_components)).withColumn("density", params)
     if settings.measure_trust:
         k = quality.select("grp", F.col("neighbours.n_neighbors").alias("k"))
-        trust = trustworthiness(points.join(k, "grp"), reduced, F.col("k"), TRUST_SAMPLE)
-        quality = quality.join(trust.select("grp", "trustworthiness"), "grp", "left")
+        trust = trustworthiness(points.join(k, "grp"), reduced, F.col("k"), settings.trust_sample, settings.block_rows)
+        quality = quality.join(trust.select("grp", "trustworthiness", F.col("n").cast("long").alias("trust_points")), "grp", "left")
     else:
-        quality = quality.withColumn("trustworthiness", F.lit(None).cast("double"))
+        quality = quality.withColumn("trustworthiness", F.lit(None).cast("double")).withColumn("trust_points", F.lit(None).cast("long"))
     names = [f.strip().split(" ")[0] for f in HIERARCHY.replace("n_neighbors:int,min_dist:double,spread", "").replace(
         "min_cluster_size:int,min_samples:int,epsilon", "").split(", ")]
     hierarchy = quality.withColumn("depth", F.lit(depth)).withColumnRenamed("grp", "parent_label").select(*names)
@@ -126,9 +141,9 @@ def _level(points: DataFrame, depth: int, settings: ClusterSettings) -> tuple[Da
 
 
 def quality_report(hierarchy: DataFrame) -> DataFrame:
-    """The quality table by depth and parent."""
+    """The quality table by depth and parent; `trust_points` of the `n_points` were measured for trustworthiness."""
     return hierarchy.select(
-        "parent_label", "depth", "n_points", "n_clusters", "trustworthiness", "relative_validity", "mean_persistence",
+        "parent_label", "depth", "n_points", "n_clusters", "trustworthiness", "trust_points", "relative_validity", "mean_persistence",
         "mean_probability", "noise_ratio",
     ).orderBy("depth", "parent_label")
 

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators import blocks, counting, knn
+from feedloom.operators import blocks, counting, knn, quality
+from feedloom.plans import clustering
 from feedloom.session import cut
 
 
@@ -73,3 +74,55 @@ def test_counts_of_weighted_points_with_ties(spark):
         i = int(ids[r.block, r.pos][1:])
         for c, radius, tied in ((r.c0, 4.0, 30), (r.c1, 9.0, 10)):
             assert c == sum(weights[j] for j in range(len(x)) if j != i and (d[i, j] < radius or (d[i, j] == radius and j < tied)))
+
+
+def brute_trust(full, flat, n_neighbors):
+    """The definition: pids in order, ties of a distance by pid."""
+    n = len(full)
+    k = min(n_neighbors, max((n - 1) // 2, 1))
+    lost = 0
+    for i in range(n):
+        far, near = (((x - x[i]) ** 2).sum(axis=1) for x in (full, flat))
+        others = [j for j in range(n) if j != i]
+        rank = {j: r for r, j in enumerate(sorted(others, key=lambda j: (far[j], j)), 1)}
+        lost += sum(max(rank[j] - k, 0) for j in sorted(others, key=lambda j: (near[j], j))[:k])
+    scale = n * k * (2 * n - 3 * k - 1)
+    return 1.0 - 2.0 * lost / scale if scale > 0 else 1.0
+
+
+@pytest.mark.parametrize("rows", [None, 24])
+def test_trust(spark, rows):
+    rng = np.random.default_rng(31)
+    full = {"a": np.round(rng.normal(size=(130, 4)) * 4) / 4, "b": rng.integers(0, 3, size=(60, 4)).astype(float), "c": rng.normal(size=(3, 4)), "d": np.ones((1, 4))}
+    full["a"][30:70] = full["a"][30]
+    flat = {g: np.round((x[:, :2] + rng.integers(0, 2, size=(len(x), 2))) * 4) / 4 for g, x in full.items()}
+    points, reduced = make(spark, full), make(spark, flat)
+    k = F.when(F.col("grp") == "b", 9).otherwise(5)
+    got = {r.grp: r for r in quality.trustworthiness(points, reduced, k, rows=rows).collect()}
+    for g in full:
+        assert abs(got[g].trustworthiness - brute_trust(full[g], flat[g], 9 if g == "b" else 5)) < 1e-12, g
+        assert (got[g].n, got[g].n_group) == (len(full[g]),) * 2
+    assert quality.trustworthiness(points.limit(0), reduced, 5).count() == 0
+
+
+def test_relative_validity_of_trees(spark):
+    edges = [("g", "a", "b", 1.0), ("g", "b", "c", 2.0), ("g", "c", "d", 5.0), ("g", "d", "e", 1.5), ("g", "e", "x", 7.0), ("g", "e", "f", 9.0),
+             ("one", "a", "b", 1.0), ("one", "b", "x", 4.0), ("bare", "x", "y", 1.0), ("apart", "a", "x", 3.0), ("apart", "x", "b", 2.0)]
+    marks = [("g", n, c, w) for n, c, w in (("a", 0, 1), ("b", 0, 2), ("c", 0, 1), ("d", 1, 1), ("e", 1, 1), ("x", -1, 3), ("f", 2, 1))]
+    marks += [("one", "a", 0, 1), ("one", "b", 0, 1), ("one", "x", -1, 2), ("bare", "x", -1, 1), ("bare", "y", -1, 1), ("apart", "a", 0, 1), ("apart", "b", 1, 1), ("apart", "x", -1, 1)]
+    got = {r.grp: r.relative_validity for r in quality.relative_validity(
+        spark.createDataFrame(edges, "grp string, u string, v string, w double"), spark.createDataFrame(marks, "grp string, node string, cluster int, weight long")).collect()}
+    g = (4 * (5 - 2) / 5 + 2 * (5 - 1.5) / 5 + 1 * (9 - 0) / 9) / 10
+    assert got == {"g": pytest.approx(g), "one": pytest.approx(2 * (8 - 1) / 8 / 4), "bare": 0.0, "apart": pytest.approx(2 / 3)}
+
+
+def test_validity_of_found_clusters(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([c + 0.2 * rng.normal(size=(40, 2)) for c in ((0, 0), (9, 0), (0, 9))])
+    x[3:9] = x[3]
+    points = make(spark, {"g": x})
+    found, validity = clustering.measured_clusters(points, 4, 10)
+    assert found.filter("cluster >= 0").select("cluster").distinct().count() == 3
+    blurred = make(spark, {"g": x * 0.1 + rng.normal(size=x.shape)})
+    _, worse = clustering.measured_clusters(blurred, 4, 10)
+    assert 0.7 < validity.head().relative_validity <= 1 and worse.head().relative_validity < validity.head().relative_validity
