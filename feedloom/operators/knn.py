@@ -13,6 +13,7 @@ from feedloom.operators.blocks import (
     bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
 )
 from feedloom.operators.counting import STRIPE, narrowed_cores
+from feedloom.operators.quantiles import weighted_quantile
 from feedloom.session import cut
 
 FOUND = "grp string, block long, pos int, rid string, nbr string, nbr_weight long, dist double"
@@ -227,8 +228,7 @@ def core_distances(points: DataFrame, min_samples: int, rows: int | None = None)
 def estimate_eps(points: DataFrame, k: int = 4, percentile: float = 95.0) -> DataFrame:
     """Per group, an interpolated percentile of the distance to the k-th neighbour.
 
-    The k-th distances are counted per value first, so copies cost one row.
+    The place is found by counting (see `weighted_quantile`), so no task holds all distances of a group.
     """
-    kth = knn_graph(points, k).groupBy("grp", "pid").agg(F.max("dist").alias("dist"))
-    counted = kth.groupBy("grp", "dist").agg(F.count("*").alias("c"))
-    return counted.groupBy("grp").agg(F.percentile("dist", percentile / 100.0, F.col("c")).alias("eps"))
+    kth = knn_graph(points, k).groupBy("grp", "pid").agg(F.max("dist").alias("value"))
+    return weighted_quantile(kth.withColumn("weight", F.lit(1)), percentile / 100.0).withColumnRenamed("value", "eps")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.operators import blocks, counting, knn, quality
+from feedloom.operators import quantiles as quantile
 from feedloom.plans import clustering
 from feedloom.session import cut
 
@@ -126,3 +127,17 @@ def test_validity_of_found_clusters(spark):
     blurred = make(spark, {"g": x * 0.1 + rng.normal(size=x.shape)})
     _, worse = clustering.measured_clusters(blurred, 4, 10)
     assert 0.7 < validity.head().relative_validity <= 1 and worse.head().relative_validity < validity.head().relative_validity
+
+
+@pytest.mark.parametrize("bins, left", [(4, 3), (1024, 10_000)])
+def test_weighted_quantiles(spark, bins, left):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(v), int(w)) for v, w in zip(rng.exponential(size=300) ** 3, rng.integers(1, 6, 300))] + [("b", 2.5, 1000)]
+    rows += [("b", 2.5, 7), ("c", 1.0, 1), ("c", 4.0, 1), ("d", None, 3), ("e", -1.0, 10**9), ("e", 1.0, 10**9)]
+    table = spark.createDataFrame(rows, "grp string, value double, weight long")
+    for share in (0.0, 0.37, 0.5, 0.95, 1.0):
+        got = {r.grp: r.value for r in quantile.weighted_quantile(table, share, bins, left).collect()}
+        for g in "abc":
+            listed = np.repeat([v for h, v, _ in rows if h == g], [w for h, _, w in rows if h == g])
+            assert abs(got[g] - np.quantile(listed, share)) < 1e-9
+        assert set(got) == set("abce") and got["e"] == (-1.0 if share < 0.5 else 0.0 if share == 0.5 else 1.0)
