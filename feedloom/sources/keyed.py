@@ -45,6 +45,12 @@ def exists(spark: SparkSession, address: str) -> bool:
     return files.exists(path)
 
 
+def folders(spark: SparkSession, address: str) -> list[str]:
+    """Names inside a folder; none if it is absent."""
+    path, files = _path(spark, address)
+    return sorted(status.getPath().getName() for status in files.listStatus(path)) if files.exists(path) else []
+
+
 def remove(spark: SparkSession, address: str) -> None:
     path, files = _path(spark, address)
     files.delete(path, True)

@@ -135,3 +135,30 @@ def test_stream_is_restart_safe(spark, tables, tmp_path):
     incremental.ingest_batch(root, inventory, RULES, lambda b: f"2024-02-0{b + 1} 00:00:00")(feedback, 1)
     again = spark.read.parquet(f"{root}/embeddings")
     assert again.count() == n_embedded == n_wanted
+
+
+def test_a_batch_reads_only_its_buckets(spark, tables, tmp_path):
+    root = str(tmp_path)
+    rows = cut(tables.feedback)
+    inventory = cut(tables.inventory)
+    run = incremental.ingest_batch(root, inventory, RULES, lambda b: f"2024-02-{b + 1:02d} 00:00:00", buckets=16)
+    halves = [rows.filter(F.pmod(F.xxhash64("feedback_id"), F.lit(3)) == i) for i in range(3)]
+    for i, part in enumerate(halves):
+        run(part, i)
+    one = rows.limit(1)
+    known = incremental.known_ids(spark, root, 9, one, 16)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "1 paths" in plan and known.count() < spark.read.parquet(f"{root}/ledger").count()
+    ledger = lambda: sorted((r.feedback_id, str(r.embedded_at)) for r in spark.read.parquet(f"{root}/ledger").collect())
+    before = ledger()
+    run(halves[1], 1)  # replayed
+    assert ledger() == before and len(before) == len({i for i, _ in before})
+    incremental.compact_ledger(spark, root, 2)
+    assert ledger() == before and {r.batch for r in spark.read.parquet(f"{root}/ledger").select("batch").distinct().collect()} == {-1, 2}
+    run(rows, 3)  # nothing is new
+    assert ledger() == before and spark.read.parquet(f"{root}/embeddings/batch=3").count() == 0
+    incremental.compact_ledger(spark, root, 4)
+    assert ledger() == before and {r.batch for r in spark.read.parquet(f"{root}/ledger").select("batch").distinct().collect()} == {-2}
+    # a replay that finds less leaves no id behind
+    run(halves[0].limit(0), 3)
+    assert ledger() == before
