@@ -1,121 +1,140 @@
 """Similarity search over stored vectors: exact and bucketed.
 
-The stored vectors are scanned once.  Each task keeps the best k rows per query while
-it streams through its Arrow batches, so what leaves a task is k rows per query however
-many vectors it read; the k best of those are then picked per query.
+Stored vectors and queries are packed into blocks, scaled to length one, and meet by an equi-join on block numbers; neither
+passes through the driver, and the stored vectors are read once however many queries there are.  A first round compares each block
+of queries with the one block of vectors that seems nearest.  The k-th distance found there is a threshold per query;
+the second round opens only block pairs that can hold something nearer, and takes only rows below the threshold.  A block
+pair hands on k rows per query at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.vectors import has_direction, unit
+from feedloom.operators.blocks import BOX_DIMS, SLACK, block_rows, bounds_of, choose_pivots, coords, descend, pack, tree_levels, values
 from feedloom.operators.joined import enrich
 from feedloom.operators.reports import first_per_group
+from feedloom.session import cut
 
-# Queries sent along with one scan.  At 1536 parts this is 12 MB for every executor.
-QUERIES_PER_SCAN = 1000
+STRIPE = 512   # queries whose distances are held at once
+QUERIES_PER_SCAN = 1000  # queries of a block at most
+DIGITS = 12    # distances are told apart up to here, so that copies of a vector tie
+HITS = "query_id string, feedback_id string, distance double"
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(column), -1)
+def comparable(vector: Column, dim: int) -> Column:
+    """Whether a vector has a direction, the given length and only finite parts."""
+    fine = F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    return F.coalesce((F.size(vector) == dim) & fine, F.lit(False)) & has_direction(vector)
 
 
-def _best(distances: np.ndarray, ids: np.ndarray, k: int):
-    order = np.lexsort((ids, distances))[:k]
-    return distances[order], ids[order]
+def _best(queries: np.ndarray, vectors: np.ndarray, k: int, limit: np.ndarray):
+    """Row, column and cosine distance of the k nearest vectors per query, no farther than its limit.
 
-
-def _scan(query_ids: Sequence[str], vectors: np.ndarray, k: int, threshold: float | None, probed: np.ndarray | None):
-    """A task function: batches of (feedback_id, vector[, list_id]) to the best k per query."""
-    queries = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [(np.empty(0), np.empty(0, dtype=object)) for _ in query_ids]
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            rows = _matrix(batch.column("vector"))
-            lengths = np.linalg.norm(rows, axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                distances = 1.0 - (queries @ rows.T) / lengths
-            ids = batch.column("feedback_id").to_numpy(zero_copy_only=False)
-            usable = lengths > 0
-            lists = batch.column("list_id").to_numpy(zero_copy_only=False) if probed is not None else None
-            for i in range(len(query_ids)):
-                keep = usable if lists is None else usable & probed[i][lists]
+    Vectors are sorted by id, so equal distances go to the lesser id.
+    """
+    for start in range(0, len(queries), STRIPE):
+        d = np.round(1.0 - queries[start:start + STRIPE] @ vectors.T, DIGITS) + 0.0
+        mask = d <= limit[start:start + STRIPE, None]
+        if d.shape[1] > k:
+            mask &= d <= np.partition(d, k - 1, axis=1)[:, k - 1:k]
+        rows, cols = np.nonzero(mask)
+        order = np.lexsort((cols, d[rows, cols], rows))
+        rows, cols = rows[order], cols[order]
+        top = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        rows, cols = rows[top], cols[top]
+        yield rows + start, cols, d[rows, cols]
+
+
+def _compared(batches: Iterator[pa.RecordBatch], k: int, threshold: float | None) -> Iterator[pa.RecordBatch]:
+    """Hits of the block pairs; `limits`, if there, are the greatest useful distances."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            dim = batch.column("dim")[i].as_py()
+            q, v = coords(batch, i, "xs", dim), coords(batch, i, "o_xs", dim)
+            limit = values(batch, i, "limits") if "limits" in batch.schema.names else np.full(len(q), np.inf)
+            qids, vids = values(batch, i, "ids"), values(batch, i, "o_ids")
+            for rows, cols, d in _best(q, v, k, limit):
                 if threshold is not None:
-                    keep = keep & (distances[i] < threshold)
-                held, held_ids = best[i]
-                if len(held) == k:
-                    keep = keep & (distances[i] <= held[-1])
-                if keep.any():
-                    best[i] = _best(np.concatenate([held, distances[i][keep]]),
-                                    np.concatenate([held_ids, ids[keep]]), k)
-        for i, (distance, ids) in enumerate(best):
-            if len(ids):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([query_ids[i]] * len(ids), pa.string()), pa.array(ids, pa.string()), pa.array(distance)],
-                    ["query_id", "feedback_id", "distance"],
-                )
+                    near = d < threshold
+                    rows, cols, d = rows[near], cols[near], d[near]
+                yield pa.RecordBatch.from_arrays([pa.array(qids[rows], pa.string()), pa.array(vids[cols], pa.string()), pa.array(d)],
+                                                 ["query_id", "feedback_id", "distance"])
 
-    return run
 
+def _reach(cosine: Column) -> Column:
+    """Euclidean distance of unit vectors at a cosine distance, with room for rounding."""
+    return F.sqrt(2.0 * cosine) * SLACK + 1e-9
 
-def _query_slices(queries: DataFrame) -> Iterator[tuple[list[str], np.ndarray]]:
-    """The query set in slices of bounded size; each slice costs one scan."""
 
-    def loaded(rows):
-        return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
+def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold: float | None = None, rows: int | None = None) -> DataFrame:
+    """(query_id, feedback_id, distance): for each query at least its k nearest vectors of its group.
 
-    queries = queries.select(F.col("query_id").cast("string"), "vector")
-    first = queries.limit(QUERIES_PER_SCAN + 1).collect()
-    if len(first) <= QUERIES_PER_SCAN:
-        if first:
-            yield loaded(first)
-        return
-    # An even hash spread: slices of half the limit on average stay below it.
-    slices = -(-queries.count() // (QUERIES_PER_SCAN // 2))
-    for i in range(slices):
-        rows = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i).collect()
-        if rows:
-            yield loaded(rows)
+    Both tables have (grp, rid, xs) with unit vectors.  A query may occur in several groups.
+    """
+    one = F.lit(1).cast("long").alias("weight")
+    vectors, queries = cut(vectors.select("grp", "rid", one, "xs")), cut(queries.select("grp", "rid", one, "xs"))
+    pivots = choose_pivots(vectors) if dim > BOX_DIMS else None
+    stored, asked = pack(vectors, dim, rows, pivots), pack(queries, dim, min(block_rows(dim, rows), QUERIES_PER_SCAN), pivots)
+    by = bounds_of(stored, dim)
+    far = F.lit(float("inf")) if threshold is None else _reach(F.lit(float(threshold)))
+    seekers = asked.select("grp", "block", "lo", "hi", far.alias("bound"))
+    proof = {"high": by.span("a_", "b_"), "usable": F.col("b_n") >= k}
+    pairs = cut(descend(seekers, tree_levels(stored, by.width), low=by.gap("a_", "b_"), keep=F.lit(True), **proof))
+    left, right = asked.select("grp", "block", "dim", "ids", "xs"), stored.select(
+        "grp", F.col("block").alias("other"), F.col("ids").alias("o_ids"), F.col("xs").alias("o_xs"))
+    compared = partial(_compared, k=k, threshold=threshold)
+    if not pairs.groupBy("grp", "block").count().filter("count > 1").head(1):  # one block of vectors each
+        return pairs.join(left, ["grp", "block"]).join(right, ["grp", "other"]).mapInArrow(compared, HITS)
+    a = asked.select("grp", "block", F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
+    b = stored.select("grp", F.col("block").alias("other"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
+    told = pairs.join(a, ["grp", "block"]).join(b, ["grp", "other"]).select("grp", "block", "other", by.gap("a_", "b_").alias("low"), by.span("a_", "b_").alias("span"))
+    told = cut(told)
+    first = told.groupBy("grp", "block").agg(F.min(F.struct("low", "span", "other")).alias("f")).select("grp", "block", F.col("f.other").alias("other"))
+    found = cut(first.join(left, ["grp", "block"]).join(right, ["grp", "other"]).mapInArrow(compared, HITS))
+    last = found.groupBy(F.col("query_id").alias("rid")).agg(F.when(F.count("*") >= k, F.max("distance")).alias("limit"))
+    if threshold is not None:
+        last = last.withColumn("limit", F.coalesce("limit", F.lit(float(threshold))))
+    places = asked.select("grp", "block", F.posexplode("ids").alias("pos", "rid")).join(last, "rid", "left")
+    limits = places.groupBy("grp", "block").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("limit", F.lit(2.5)).alias("limit"))))["limit"].alias("limits"))
+    limits = cut(limits)
+    bound = limits.select("grp", "block", _reach(F.array_max("limits")).alias("bound"))
+    rest = told.join(first, ["grp", "block", "other"], "left_anti").join(bound, ["grp", "block"]).filter(F.col("low") <= F.col("bound"))
+    more = rest.select("grp", "block", "other").join(left.join(limits, ["grp", "block"]), ["grp", "block"]).join(right, ["grp", "other"])
+    return found.unionByName(more.mapInArrow(compared, HITS))
+
+
+def vector_length(queries: DataFrame) -> int | None:
+    """The length of the first query with a vector."""
+    row = queries.filter("vector IS NOT NULL").select(F.size("vector")).head()
+    return row[0] if row else None
 
 
 def search(embeddings: DataFrame, queries: DataFrame, k: int = 10, threshold: float | None = None,
-           source: str | None = None) -> DataFrame:
-    """The k nearest stored vectors of every query by cosine distance.
+           source: str | None = None, rows: int | None = None) -> DataFrame:
+    """The k nearest stored vectors of every query by cosine distance: query_id, feedback_id, distance, rank.
 
     `queries` has (query_id, vector).  A threshold keeps distances strictly below it; None
-    or 0 means no threshold.  Ties are broken by feedback_id.  Only id and vector are read.
+    or 0 means no threshold.  Ties (up to 12 digits) are broken by feedback_id.  Only id and vector are read.  Vectors that
+    are null, zero, not finite or of another length than the queries take no part.  `rows` bounds the vectors of a block.
     """
-    rows = embeddings if source is None else embeddings.filter(F.col("source") == source)
-    return _search(rows.select("feedback_id", "vector"), queries, k, threshold or None)
-
-
-def _search(rows: DataFrame, queries: DataFrame, k: int, threshold: float | None,
-            probe=None) -> DataFrame:
-    schema = "query_id string, feedback_id string, distance double"
-    parts = []
-    for ids, vectors in _query_slices(queries):
-        probed = None if probe is None else probe(vectors)
-        scanned = rows if probed is None else rows.filter(
-            F.col("list_id").isin([int(i) for i in np.flatnonzero(probed.any(axis=0))])
-        )
-        parts.append(scanned.mapInArrow(_scan(ids, vectors, k, threshold, probed), schema))
-    if not parts:
-        return rows.sparkSession.createDataFrame([], schema + ", rank int")
-    found = reduce(DataFrame.unionByName, parts)
+    kept = embeddings if source is None else embeddings.filter(F.col("source") == source)
+    dim = vector_length(queries)
+    if dim is None:
+        return embeddings.sparkSession.createDataFrame([], HITS + ", rank int")
+    units = lambda df, key: df.filter(comparable(F.col("vector"), dim)).select(
+        F.lit("all").alias("grp"), F.col(key).cast("string").alias("rid"), unit(F.col("vector")).alias("xs"))
+    found = nearest(units(kept, "feedback_id"), units(queries, "query_id"), dim, k, threshold or None, rows)
     return first_per_group(found, "query_id", [F.col("distance"), F.col("feedback_id")], k)
 
 
@@ -182,37 +201,144 @@ def train_lists(embeddings: DataFrame, lists: int, seed: int = 42) -> np.ndarray
 
 
 def assign_lists(embeddings: DataFrame, centres: np.ndarray) -> DataFrame:
-    """Add `list_id`, the nearest centre.  Write the result partitioned by it."""
+    """Add `list_id`, the nearest centre.  Write the result partitioned by it.
+
+    Vectors without a direction, not finite or of another length than the centres are left out, as no search finds them.
+    """
     half = 0.5 * (centres * centres).sum(axis=1)
-    schema = embeddings.select("feedback_id", "vector").schema
+    rows = embeddings.select("feedback_id", "vector").filter(comparable(F.col("vector"), centres.shape[1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = _matrix(batch.column("vector")) if batch.num_rows else np.empty((0, centres.shape[1]))
-            rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-            nearest = np.argmax(rows @ centres.T - half, axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("feedback_id"), batch.column("vector"), pa.array(nearest)],
-                ["feedback_id", "vector", "list_id"],
-            )
+            x = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if len(x) else np.empty((0, centres.shape[1]))
+            nearest_ = np.argmax(x @ centres.T - half, axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("feedback_id"), batch.column("vector"), pa.array(nearest_)], ["feedback_id", "vector", "list_id"])
 
-    out = schema.add("list_id", T.IntegerType())
-    return embeddings.select("feedback_id", "vector").mapInArrow(run, out)
+    return rows.mapInArrow(run, _index_schema(embeddings))
 
 
-def ivf_search(index: DataFrame, centres: np.ndarray, queries: DataFrame, k: int = 10, probes: int = 10) -> DataFrame:
+def _probed(centres: np.ndarray, probes: int | None, radii: np.ndarray | None = None):
+    """Per query one row per list to open: the `probes` nearest, or those that may hold something within its `reach`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("xs").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            far = np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * x @ centres.T, 0))
+            nearest_ = np.argsort(far, axis=1, kind="stable")
+            if probes is None:
+                rows, lists = np.nonzero(far - radii <= batch.column("reach").to_numpy()[:, None])
+            else:
+                lists = nearest_[:, :probes].ravel()
+                rows = np.repeat(np.arange(len(x)), min(probes, len(centres)))
+            taken = batch.select(["rid", "xs"]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), taken.column("rid"), taken.column("xs")], ["list_id", "rid", "xs"])
+
+    return run
+
+
+PROBES = "list_id int, rid string, xs array<double>"
+
+
+def _in_lists(index: DataFrame, pairs: DataFrame, dim: int, k: int, rows: int | None = None) -> DataFrame:
+    """Hits of (list_id, rid, xs) queries in their lists.  Only the folders of these lists are read."""
+    pairs = cut(pairs)
+    opened = [row.list_id for row in pairs.select("list_id").distinct().collect()]  # numbers of lists
+    stored = index.filter(F.col("list_id").isin(opened)).filter(comparable(F.col("vector"), dim))
+    grp = F.col("list_id").cast("string").alias("grp")
+    return nearest(stored.select(grp, F.col("feedback_id").cast("string").alias("rid"), unit(F.col("vector")).alias("xs")), pairs.select(grp, "rid", "xs"), dim, k, None, rows)
+
+
+def _unit_queries(queries: DataFrame, dim: int) -> DataFrame:
+    rows = queries.filter(comparable(F.col("vector"), dim))
+    return rows.select(F.col("query_id").cast("string").alias("rid"), unit(F.col("vector")).alias("xs"))
+
+
+def ivf_search(index: DataFrame, centres: np.ndarray, queries: DataFrame, k: int = 10, probes: int = 10, rows: int | None = None) -> DataFrame:
     """Search only the `probes` lists nearest to each query.
 
     The lists to read are literals, so a table partitioned by `list_id` is pruned to their
     folders.  With as many probes as lists this is the exact search.
     """
-    half = 0.5 * (centres * centres).sum(axis=1)
+    dim = centres.shape[1]
+    pairs = _unit_queries(queries, dim).mapInArrow(_probed(centres, probes), PROBES)
+    found = _in_lists(index, pairs, dim, k, rows)
+    return first_per_group(found, "query_id", [F.col("distance"), F.col("feedback_id")], k)
+
 
-    def probe(vectors: np.ndarray) -> np.ndarray:
-        unit_rows = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        order = np.argsort(-(unit_rows @ centres.T - half), axis=1, kind="stable")[:, :probes]
-        mask = np.zeros((len(vectors), len(centres)), dtype=bool)
-        np.put_along_axis(mask, order, True, axis=1)
-        return mask
+# --- stored lists -------------------------------------------------------------------------
+
+class StoredLists:
+    """Inverted lists in a folder, written once: `vectors/list_id=<n>` and `lists` (list_id, centre, radius, n).
+
+    The lists' centres are held by the driver and sent to every task: lists x dim numbers, a bound set by the writer.
+    """
 
-    return _search(index.select("feedback_id", "vector", "list_id"), queries, k, None, probe)
+    def __init__(self, index: DataFrame, centres: np.ndarray, radii: np.ndarray, sizes: np.ndarray):
+        self.index, self.centres, self.radii, self.sizes = index, centres, radii, sizes
+
+    @classmethod
+    def write(cls, embeddings: DataFrame, folder: str, lists: int, seed: int = 42) -> StoredLists:
+        """Fit centres on all vectors, file every vector under the nearest one, and measure the lists."""
+        spark = embeddings.sparkSession
+        centres = train_lists(embeddings, lists, seed)
+        assign_lists(embeddings, centres).repartition("list_id", F.pmod(F.xxhash64("feedback_id"), F.lit(8))).write.mode("overwrite").partitionBy("list_id").parquet(f"{folder}/vectors")
+        table = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "list_id int, centre array<double>")
+        index = spark.read.schema(_index_schema(embeddings)).parquet(f"{folder}/vectors")
+        gap = F.aggregate(F.zip_with(unit(F.col("vector")), F.col("centre"), lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda s, x: s + x)
+        measured = index.join(F.broadcast(table), "list_id").groupBy("list_id").agg(F.sqrt(F.max(gap)).alias("radius"), F.count("*").alias("n"))
+        table.join(measured, "list_id", "left").select("list_id", "centre", F.coalesce("radius", F.lit(-1.0)).alias("radius"), F.coalesce("n", F.lit(0)).cast("long").alias("n")).write.mode(
+            "overwrite").parquet(f"{folder}/lists")
+        return cls.open(spark, folder)
+
+    @classmethod
+    def open(cls, spark, folder: str) -> StoredLists:
+        index = spark.read.parquet(f"{folder}/vectors")
+        rows = sorted(spark.read.parquet(f"{folder}/lists").collect(), key=lambda r: r.list_id)
+        return cls(index, np.array([r.centre for r in rows]), np.array([r.radius for r in rows]), np.array([r.n for r in rows]))
+
+    def search(self, queries: DataFrame, k: int = 10, probes: int | None = None, rows: int | None = None) -> DataFrame:
+        """The k nearest vectors: query_id, feedback_id, distance, rank.
+
+        With `probes`, of the so many nearest lists.  Without, exact by proof: the nearest list gives a k-th distance, and by the
+        triangle inequality a list whose centre is farther than this plus its radius holds nothing nearer; all others are opened.
+        """
+        dim = self.centres.shape[1]
+        asked = cut(_unit_queries(queries, dim))
+        if probes is not None:
+            found = _in_lists(self.index, asked.mapInArrow(_probed(self.centres, probes), PROBES), dim, k, rows)
+        else:
+            first = cut(asked.mapInArrow(_probed(self.centres, 1), PROBES))
+            found = cut(_in_lists(self.index, first, dim, k, rows))
+            due = asked.join(self._reaches(found, k), "rid", "left").withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
+            due = due.mapInArrow(_probed(self.centres, None, self._room()), PROBES).join(first.select("rid", "list_id"), ["rid", "list_id"], "left_anti")
+            found = found.unionByName(_in_lists(self.index, due.select("list_id", "rid", "xs"), dim, k, rows))
+        return first_per_group(found, "query_id", [F.col("distance"), F.col("feedback_id")], k)
+
+    def _room(self) -> np.ndarray:
+        """Radii with room for rounding; an empty list is never opened."""
+        return np.where(self.radii < 0, -np.inf, self.radii * SLACK + 1e-9)
+
+    def _reaches(self, found: DataFrame, k: int) -> DataFrame:
+        best = first_per_group(found, "query_id", [F.col("distance"), F.col("feedback_id")], k)
+        return best.groupBy(F.col("query_id").alias("rid")).agg(F.when(F.count("*") >= k, _reach(F.max("distance"))).alias("reach"))
+
+    def share(self, queries: DataFrame, k: int = 10, probes: int | None = None) -> float:
+        """Of all pairs of a query and a stored vector, the share that a search compares."""
+        dim = self.centres.shape[1]
+        asked = cut(_unit_queries(queries, dim))
+        if probes is not None:
+            pairs = asked.mapInArrow(_probed(self.centres, probes), PROBES)
+        else:
+            first = asked.mapInArrow(_probed(self.centres, 1), PROBES)
+            found = _in_lists(self.index, first, dim, k)
+            due = asked.join(self._reaches(found, k), "rid", "left").withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
+            pairs = due.mapInArrow(_probed(self.centres, None, self._room()), PROBES).select("rid", "list_id").unionByName(first.select("rid", "list_id")).distinct()
+        sizes = F.array(*[F.lit(int(n)) for n in self.sizes])
+        compared, total = pairs.agg(F.sum(F.get(sizes, F.col("list_id")))).head()[0] or 0, asked.count() * int(self.sizes.sum())
+        return compared / total if total else 0.0
+
+
+def _index_schema(embeddings: DataFrame) -> T.StructType:
+    return T.StructType([*embeddings.select("feedback_id", "vector").schema.fields, T.StructField("list_id", T.IntegerType())])

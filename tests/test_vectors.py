@@ -86,3 +86,54 @@ def test_text_embeddings(spark):
     hits = search.search_by_text(embed.hash_embeddings(rows, 32), spark.createDataFrame([("q", "LEAKING shoes")], "query_id string, feedback_text string"),
                                  lambda d: embed.hash_embeddings(d, 32), k=2)
     assert sorted(found(hits)) == ["a", "b"]
+
+
+def test_many_small_blocks_give_the_same_hits(spark):
+    rng = np.random.default_rng(17)
+    x = np.concatenate([c + 0.2 * rng.normal(size=(60, 16)) for c in rng.normal(size=(6, 16))])
+    x[100:160] = x[100]
+    df = spark.createDataFrame([(f"{i:03d}", [float(v) for v in p]) for i, p in enumerate(x)], "feedback_id string, vector array<double>").repartition(4)
+    queries = df.filter("feedback_id % 7 = 0").select(F.col("feedback_id").alias("query_id"), "vector")
+    rows = lambda d: sorted((r.query_id, r["rank"], r.feedback_id) for r in d.collect())
+    for options in ({}, {"threshold": 0.05}):
+        want = rows(search.search(df, queries, k=5, **options))
+        assert rows(search.search(df, queries, k=5, rows=20, **options)) == want and len(want) > 60
+    assert rows(search.search(df, queries, k=400, rows=50)) == rows(search.search(df, queries, k=400)) and search.search(df, queries, k=400).count() == 52 * 360
+
+
+def test_vectors_that_cannot_be_compared_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("z", [0.0, 0.0]), ("n", None), ("s", [1.0]), ("l", [1.0, 0.0, 0.0]), ("x", [nan, 1.0]), ("i", [inf, 1.0]), ("e", [None, 1.0])]
+    df = spark.createDataFrame(rows, "feedback_id string, vector array<double>")
+    queries = df.withColumnRenamed("feedback_id", "query_id")
+    got = {(r.query_id, r.feedback_id) for r in search.search(df, queries.filter("query_id IN ('a', 'b', 'z', 'x')"), k=9).collect()}
+    assert got == {(q, f) for q in "ab" for f in "ab"}
+    assert search.search(df, queries.limit(0)).count() == 0 and search.search(df.limit(0), queries.limit(1)).count() == 0
+    index = search.assign_lists(df, np.eye(2))
+    assert {r.feedback_id for r in index.collect()} == {"a", "b"}
+
+
+def test_stored_lists_are_exact_by_proof(spark, tmp_path):
+    rng = np.random.default_rng(19)
+    centres = rng.normal(size=(10, 12))
+    x = np.concatenate([c + 0.15 * rng.normal(size=(40, 12)) for c in centres])
+    df = spark.createDataFrame([(f"{i:03d}", [float(v) for v in p]) for i, p in enumerate(x)], "feedback_id string, vector array<double>")
+    lists = search.StoredLists.write(df, str(tmp_path / "index"), 10)
+    again = search.StoredLists.open(spark, str(tmp_path / "index"))
+    queries = df.filter("feedback_id % 20 = 0").select(F.col("feedback_id").alias("query_id"), "vector")
+    rows = lambda d: sorted((r.query_id, r["rank"], r.feedback_id) for r in d.collect())
+    want = rows(search.search(df, queries, k=6))
+    assert rows(again.search(queries, k=6)) == want and again.share(queries, k=6) < 0.5
+    assert rows(again.search(queries, k=6, probes=10)) == want and again.share(queries, probes=10) == 1.0
+    assert rows(again.search(queries, k=60)) == rows(search.search(df, queries, k=60))  # more than a list holds
+    assert int(lists.sizes.sum()) == 400 and (again.radii == lists.radii).all()
+
+
+def test_only_the_folders_of_the_lists_are_read(spark, tmp_path):
+    rng = np.random.default_rng(23)
+    df = spark.createDataFrame([(f"{i:03d}", [float(v) for v in rng.normal(size=6)]) for i in range(200)], "feedback_id string, vector array<double>")
+    lists = search.StoredLists.write(df, str(tmp_path / "index"), 8)
+    plan = lists.index.filter(F.col("list_id").isin([1, 2]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [list_id" in plan
+    one = df.limit(1).select(F.col("feedback_id").alias("query_id"), "vector")
+    assert lists.search(one, k=3, probes=2).count() == 3 and 0 < lists.share(one, probes=2) < 0.6
