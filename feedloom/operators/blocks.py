@@ -119,13 +119,28 @@ def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 
 def pack(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None) -> DataFrame:
-    """Blocks of the distinct points, written once.  `whole` marks a block that is its entire group.
+    """Blocks of the distinct points, written once.  `whole` marks a block that is its entire group."""
+    return pack_told(distinct, dim, rows, pivots)[0]
+
+
+def pack_told(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None) -> tuple[DataFrame, bool]:
+    """`pack`, and whether there is any group of several blocks.  `pivots` may be given, so that several tables share them.
 
-    `pivots` may be given, so that several tables share them.
     Small groups are gathered by a plain group-by of at most `rows` points.  Larger ones are
     sorted across the cluster by range partitioning and cut as the rows stream by.
     """
     limit = block_rows(dim, rows)
+    counts = distinct.groupBy("grp").agg(F.count("*").alias("n"))
+    most = counts.agg(F.max("n")).head()[0] or 0
+
+    def gathered(points: DataFrame) -> DataFrame:
+        packed = points.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("rid", "weight", "xs"))).alias("p"))
+        none = F.array().cast("array<double>")  # a whole group is compared with itself only
+        return packed.select("grp", F.lit(0).cast("long").alias("block"), F.size("p").alias("n"), F.lit(dim).alias("dim"), F.col("p.rid").alias("ids"),
+                             F.col("p.weight").alias("weights"), F.flatten("p.xs").alias("xs"), none.alias("lo"), none.alias("hi"), F.lit(True).alias("whole"))
+
+    if most <= limit:
+        return cut(gathered(distinct)), False
     if dim > BOX_DIMS and pivots is None:
         pivots = choose_pivots(distinct)
 
@@ -133,32 +148,12 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndar
         told = x if pivots is None else to_pivots(x, pivots)
         return told.min(axis=0), told.max(axis=0)
 
-    sizes = distinct.groupBy("grp").agg(
+    sizes = cut(distinct.groupBy("grp").agg(
         F.count("*").alias("n"),
         F.array(*[F.min(F.col("xs")[i]) for i in range(min(dim, CURVE_DIMS))]).alias("mins"),
         F.array(*[F.max(F.col("xs")[i]) for i in range(min(dim, CURVE_DIMS))]).alias("maxs"),
-    )
-    sizes = cut(sizes)
-    gathered = distinct.join(sizes.filter(F.col("n") <= limit).select("grp"), "grp", "left_semi").groupBy("grp").agg(
-        F.sort_array(F.collect_list(F.struct("rid", "weight", "xs"))).alias("p")
-    ).select("grp", F.col("p")["rid"].alias("ids"), F.col("p")["weight"].alias("weights"), F.flatten(F.col("p")["xs"]).alias("xs"))
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m = batch.num_rows
-            x = [coords(batch, i, "xs", dim) for i in range(m)]
-            extents = [extent(p) for p in x]
-            doubles = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("grp"), pa.array([0] * m, pa.int64()), pa.array([len(p) for p in x], pa.int32()), pa.array([dim] * m, pa.int32()),
-                 batch.column("ids"), batch.column("weights"), batch.column("xs"), pa.array([lo for lo, _ in extents], doubles),
-                 pa.array([hi for _, hi in extents], doubles), pa.array([True] * m)],
-                ["grp", "block", "n", "dim", "ids", "weights", "xs", "lo", "hi", "whole"],
-            )
-
-    small = gathered.mapInArrow(whole, PACKED)
-    if not sizes.filter(F.col("n") > limit).head(1):
-        return cut(small)
+    ))
+    small = gathered(distinct.join(sizes.filter(F.col("n") <= limit).select("grp"), "grp", "left_semi"))
     keyed = distinct.join(sizes.filter(F.col("n") > limit), "grp").select(
         "grp", "rid", "weight", "xs", *([_curve_key(dim).alias("key"), F.lit(0.0).alias("near")] if pivots is None else []))
     if pivots is not None:
@@ -212,7 +207,25 @@ def pack(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndar
     span = large.agg(F.max(F.col("block") % 2**32)).head()[0] + 1
     bits = int(span - 1).bit_length()
     dense = F.shiftright("block", 32) * 2**bits + F.col("block") % 2**32
-    return cut(small.unionByName(large.withColumn("block", dense)))
+    return cut(small.unionByName(large.withColumn("block", dense))), True
+
+
+def with_extent(blocks: DataFrame, dim: int, pivots: np.ndarray | None) -> DataFrame:
+    """Blocks with intervals on all of them, whole groups too, by the boxes or pivots that other blocks were told apart with."""
+    rest = [c for c in blocks.columns if c not in ("lo", "hi")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = []
+            for i in range(batch.num_rows):
+                x = coords(batch, i, "xs", dim)
+                told = x if pivots is None else to_pivots(x, pivots)
+                ends.append((told.min(axis=0), told.max(axis=0)))
+            doubles = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([lo for lo, _ in ends], doubles), pa.array([hi for _, hi in ends], doubles)], [*rest, "lo", "hi"])
+
+    kinds = dict(blocks.dtypes)
+    return cut(blocks.select(*rest).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in [*rest, "lo", "hi"])))
 
 
 # --- what the intervals say ---------------------------------------------------------------

@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -21,13 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.vectors import has_direction, unit
-from feedloom.operators.blocks import BOX_DIMS, SLACK, block_rows, bounds_of, choose_pivots, coords, descend, pack, tree_levels, values
+from feedloom.operators.blocks import BOX_DIMS, SLACK, bounds_of, choose_pivots, coords, descend, pack, pack_told, tree_levels, values, with_extent
 from feedloom.operators.joined import enrich
 from feedloom.operators.reports import first_per_group
 from feedloom.session import cut
 
-STRIPE = 512   # queries whose distances are held at once
+STRIPE = 64    # queries whose distances are held at once
 QUERIES_PER_SCAN = 1000  # queries of a block at most
+SCAN_ROWS, SCAN_VALUES = 32_768, 2_097_152  # vectors and numbers of a stored block at most: 16 MB
 DIGITS = 12    # distances are told apart up to here, so that copies of a vector tie
 HITS = "query_id string, feedback_id string, distance double"
 
@@ -38,6 +40,25 @@ def comparable(vector: Column, dim: int) -> Column:
     return F.coalesce((F.size(vector) == dim) & fine, F.lit(False)) & has_direction(vector)
 
 
+def unit_rows(df: DataFrame, key: str, dim: int) -> DataFrame:
+    """(rid, xs): the vectors of `df` that are `comparable`, scaled to length one.
+
+    One function over batches, so that a vector that is computed from a text is computed once.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.equal(pc.list_value_length(batch.column("vector")), dim))
+            x = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            with np.errstate(all="ignore"):
+                lengths = np.linalg.norm(x, axis=1)
+                fine = np.isfinite(x).all(axis=1) & (lengths > 0) & np.isfinite(lengths)
+                x = x[fine] / lengths[fine, None]
+            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * dim)
+            yield pa.RecordBatch.from_arrays([batch.column("rid").filter(pa.array(fine)), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], ["rid", "xs"])
+
+    return df.select(F.col(key).cast("string").alias("rid"), "vector").mapInArrow(run, "rid string, xs array<double>")
+
+
 def _best(queries: np.ndarray, vectors: np.ndarray, k: int, limit: np.ndarray):
     """Row, column and cosine distance of the k nearest vectors per query, no farther than its limit.
 
@@ -80,29 +101,37 @@ def _reach(cosine: Column) -> Column:
 def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold: float | None = None, rows: int | None = None) -> DataFrame:
     """(query_id, feedback_id, distance): for each query at least its k nearest vectors of its group.
 
-    Both tables have (grp, rid, xs) with unit vectors.  A query may occur in several groups.
+    Both tables have (grp, rid, xs) with unit vectors; `queries` is read from a stored table.  A query may be in several groups.
     """
     one = F.lit(1).cast("long").alias("weight")
-    vectors, queries = cut(vectors.select("grp", "rid", one, "xs")), cut(queries.select("grp", "rid", one, "xs"))
-    pivots = choose_pivots(vectors) if dim > BOX_DIMS else None
-    stored, asked = pack(vectors, dim, rows, pivots), pack(queries, dim, min(block_rows(dim, rows), QUERIES_PER_SCAN), pivots)
-    by = bounds_of(stored, dim)
-    far = F.lit(float("inf")) if threshold is None else _reach(F.lit(float(threshold)))
-    seekers = asked.select("grp", "block", "lo", "hi", far.alias("bound"))
-    proof = {"high": by.span("a_", "b_"), "usable": F.col("b_n") >= k}
-    pairs = cut(descend(seekers, tree_levels(stored, by.width), low=by.gap("a_", "b_"), keep=F.lit(True), **proof))
+    vectors, queries = cut(vectors.select("grp", "rid", one, "xs")), queries.select("grp", "rid", one, "xs")
+    limit = rows or max(64, min(SCAN_ROWS, SCAN_VALUES // max(dim, 1)))
+    stored, many = pack_told(vectors, dim, limit)
+    asked = pack(queries, dim, min(limit, QUERIES_PER_SCAN))
     left, right = asked.select("grp", "block", "dim", "ids", "xs"), stored.select(
         "grp", F.col("block").alias("other"), F.col("ids").alias("o_ids"), F.col("xs").alias("o_xs"))
     compared = partial(_compared, k=k, threshold=threshold)
-    if not pairs.groupBy("grp", "block").count().filter("count > 1").head(1):  # one block of vectors each
-        return pairs.join(left, ["grp", "block"]).join(right, ["grp", "other"]).mapInArrow(compared, HITS)
+    whole = left.join(right.join(stored.filter("whole").select("grp"), "grp", "left_semi"), "grp").mapInArrow(compared, HITS)
+    if not many:
+        return whole
+    parts = stored.filter("NOT whole")
+    pivots = choose_pivots(vectors) if dim > BOX_DIMS else None  # those that `parts` were told apart by
+    groups = parts.select("grp").distinct()
+    asked = with_extent(asked.join(groups, "grp", "left_semi"), dim, pivots)
+    left = asked.select("grp", "block", "dim", "ids", "xs")
+    by = bounds_of(parts, dim)
+    far = F.lit(float("inf")) if threshold is None else _reach(F.lit(float(threshold)))
+    seekers = asked.select("grp", "block", "lo", "hi", far.alias("bound"))
+    proof = {"high": by.span("a_", "b_"), "usable": F.col("b_n") >= k}
+    pairs = descend(seekers, tree_levels(parts, by.width), low=by.gap("a_", "b_"), keep=F.lit(True), **proof)
     a = asked.select("grp", "block", F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
-    b = stored.select("grp", F.col("block").alias("other"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
+    b = parts.select("grp", F.col("block").alias("other"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
     told = pairs.join(a, ["grp", "block"]).join(b, ["grp", "other"]).select("grp", "block", "other", by.gap("a_", "b_").alias("low"), by.span("a_", "b_").alias("span"))
     told = cut(told)
     first = told.groupBy("grp", "block").agg(F.min(F.struct("low", "span", "other")).alias("f")).select("grp", "block", F.col("f.other").alias("other"))
     found = cut(first.join(left, ["grp", "block"]).join(right, ["grp", "other"]).mapInArrow(compared, HITS))
-    last = found.groupBy(F.col("query_id").alias("rid")).agg(F.when(F.count("*") >= k, F.max("distance")).alias("limit"))
+    # k rows per group that holds the query
+    last = found.groupBy(F.col("query_id").alias("rid")).agg(F.get(F.sort_array(F.collect_list("distance")), F.lit(k - 1)).alias("limit"))
     if threshold is not None:
         last = last.withColumn("limit", F.coalesce("limit", F.lit(float(threshold))))
     places = asked.select("grp", "block", F.posexplode("ids").alias("pos", "rid")).join(last, "rid", "left")
@@ -111,7 +140,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold:
     bound = limits.select("grp", "block", _reach(F.array_max("limits")).alias("bound"))
     rest = told.join(first, ["grp", "block", "other"], "left_anti").join(bound, ["grp", "block"]).filter(F.col("low") <= F.col("bound"))
     more = rest.select("grp", "block", "other").join(left.join(limits, ["grp", "block"]), ["grp", "block"]).join(right, ["grp", "other"])
-    return found.unionByName(more.mapInArrow(compared, HITS))
+    return whole.unionByName(found).unionByName(more.mapInArrow(compared, HITS))
 
 
 def vector_length(queries: DataFrame) -> int | None:
@@ -129,12 +158,12 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 10, threshold: fl
     are null, zero, not finite or of another length than the queries take no part.  `rows` bounds the vectors of a block.
     """
     kept = embeddings if source is None else embeddings.filter(F.col("source") == source)
+    queries = cut(queries.select("query_id", "vector"))
     dim = vector_length(queries)
     if dim is None:
         return embeddings.sparkSession.createDataFrame([], HITS + ", rank int")
-    units = lambda df, key: df.filter(comparable(F.col("vector"), dim)).select(
-        F.lit("all").alias("grp"), F.col(key).cast("string").alias("rid"), unit(F.col("vector")).alias("xs"))
-    found = nearest(units(kept, "feedback_id"), units(queries, "query_id"), dim, k, threshold or None, rows)
+    one = F.lit("all").alias("grp")
+    found = nearest(unit_rows(kept, "feedback_id", dim).select(one, "rid", "xs"), unit_rows(queries, "query_id", dim).select(one, "rid", "xs"), dim, k, threshold or None, rows)
     return first_per_group(found, "query_id", [F.col("distance"), F.col("feedback_id")], k)
 
 
@@ -250,11 +279,6 @@ def _in_lists(index: DataFrame, pairs: DataFrame, dim: int, k: int, rows: int |
     return nearest(stored.select(grp, F.col("feedback_id").cast("string").alias("rid"), unit(F.col("vector")).alias("xs")), pairs.select(grp, "rid", "xs"), dim, k, None, rows)
 
 
-def _unit_queries(queries: DataFrame, dim: int) -> DataFrame:
-    rows = queries.filter(comparable(F.col("vector"), dim))
-    return rows.select(F.col("query_id").cast("string").alias("rid"), unit(F.col("vector")).alias("xs"))
-
-
 def ivf_search(index: DataFrame, centres: np.ndarray, queries: DataFrame, k: int = 10, probes: int = 10, rows: int | None = None) -> DataFrame:
     """Search only the `probes` lists nearest to each query.
 
@@ -262,7 +286,7 @@ def ivf_search(index: DataFrame, centres: np.ndarray, queries: DataFrame, k: int
     folders.  With as many probes as lists this is the exact search.
     """
     dim = centres.shape[1]
-    pairs = _unit_queries(queries, dim).mapInArrow(_probed(centres, probes), PROBES)
+    pairs = unit_rows(queries, "query_id", dim).mapInArrow(_probed(centres, probes), PROBES)
     found = _in_lists(index, pairs, dim, k, rows)
     return first_per_group(found, "query_id", [F.col("distance"), F.col("feedback_id")], k)
 
@@ -305,7 +329,7 @@ class StoredLists:
         triangle inequality a list whose centre is farther than this plus its radius holds nothing nearer; all others are opened.
         """
         dim = self.centres.shape[1]
-        asked = cut(_unit_queries(queries, dim))
+        asked = cut(unit_rows(queries, "query_id", dim))
         if probes is not None:
             found = _in_lists(self.index, asked.mapInArrow(_probed(self.centres, probes), PROBES), dim, k, rows)
         else:
@@ -327,7 +351,7 @@ class StoredLists:
     def share(self, queries: DataFrame, k: int = 10, probes: int | None = None) -> float:
         """Of all pairs of a query and a stored vector, the share that a search compares."""
         dim = self.centres.shape[1]
-        asked = cut(_unit_queries(queries, dim))
+        asked = cut(unit_rows(queries, "query_id", dim))
         if probes is not None:
             pairs = asked.mapInArrow(_probed(self.centres, probes), PROBES)
         else:
