@@ -238,6 +238,29 @@ def _(t):
     return kmeans.step(rows.select("grp", "pid", "xs"), centres, 64).select("grp", "cluster", "n", micro("centre"))
 
 
+def _lloyd_sql(rounds: int) -> str:
+    """Lloyd's rounds from given starts, the first point of each label: c0 the starts, a<i> the nearest of c<i>."""
+    parts = ["""c0 AS (SELECT grp, label, row_number() OVER (PARTITION BY grp ORDER BY label) - 1 AS cluster, xs AS centre
+  FROM (SELECT *, row_number() OVER (PARTITION BY grp, label ORDER BY pid) AS n FROM p) WHERE n = 1)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (SELECT p.grp, p.pid, any_value(p.xs) AS xs, min({{'d': list_distance(p.xs, c.centre), 'c': c.cluster}}) AS near
+  FROM p JOIN c{i} c USING (grp) GROUP BY p.grp, p.pid)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (SELECT grp, cluster, list(x ORDER BY k) AS centre FROM (SELECT grp, near.c AS cluster, k, avg(x) AS x
+  FROM (SELECT grp, near, generate_subscripts(xs, 1) AS k, unnest(xs) AS x FROM a{i}) GROUP BY ALL) GROUP BY grp, cluster)""")
+            parts.append(f"c{i + 1} AS (SELECT c.grp, c.cluster, coalesce(m.centre, c.centre) AS centre FROM c{i} c LEFT JOIN m{i} m USING (grp, cluster))")
+    return f"""WITH {POINTS_SQL}, {", ".join(parts)}
+SELECT grp, pid, CAST(near.c AS INTEGER) AS cluster, round(power(near.d, 2), 6) AS cost FROM a{rounds}"""
+
+
+@query("kmeans_fit", "planted", _lloyd_sql(3))
+def _(t):
+    firsts = labelled(t).groupBy("grp", "cluster").agg(F.min_by("xs", "pid").alias("xs"))
+    starts = firsts.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("cluster", "xs")))["xs"].alias("centres"))
+    p = points(t)
+    return kmeans.assign(p, kmeans.fit(p, 10, 64, iterations=3, starts=starts)).select("grp", "pid", "cluster", r6("cost"))
+
+
 DBSCAN_SQL = f"""WITH RECURSIVE {DIST_SQL},
 k AS (SELECT p.grp, p.pid, COUNT(d.nbr) + 1 >= 4 AS core FROM p LEFT JOIN d ON d.grp = p.grp AND d.pid = p.pid AND d.dist <= 0.27 GROUP BY ALL),
 e AS (SELECT d.grp, d.pid, d.nbr FROM d JOIN k a ON a.grp = d.grp AND a.pid = d.pid AND a.core JOIN k b ON b.grp = d.grp AND b.pid = d.nbr AND b.core WHERE d.dist <= 0.27),

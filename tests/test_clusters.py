@@ -271,3 +271,23 @@ def test_density_rule(spark, depth, n, want):
 def test_recursion_rule(spark, depth, n, k, persistence, noise, want):
     value = lambda v: F.lit(v).cast("double")
     assert rule(spark, adaptive.should_recurse(F.lit(depth), F.lit(n), 3, F.lit(k), value(persistence), value(noise))) is want
+
+
+def test_seeding_takes_the_same_passes_for_any_k(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    x = np.concatenate([c + 0.05 * rng.normal(size=(15, 4)) for c in rng.normal(size=(20, 4)) * 5])
+    p = make(spark, {"g": x, "few": x[:3], "same": np.ones((9, 4))})
+    passes = []
+    plain = kmeans.assign
+    monkeypatch.setattr(kmeans, "assign", lambda points, centres: passes.append(1) or plain(points, centres))
+    counts = {}
+    for k in (2, 20):
+        passes.clear()
+        starts = {r.grp: np.array(r.centres) for r in kmeans.oversampled_start(p, k).collect()}
+        counts[k] = len(passes)
+        assert len(starts["g"]) == k and len(starts["few"]) == min(k, 3) and len(starts["same"]) == 1
+    assert counts[20] <= counts[2] + 2
+    # every cluster has a start
+    assert len({int(((x - c) ** 2).sum(axis=1).argmin()) // 15 for c in starts["g"]}) == 20
+    again = {r.grp: np.array(r.centres) for r in kmeans.oversampled_start(p.repartition(5), 20).collect()}
+    assert np.allclose(again["g"], starts["g"])
