@@ -1,4 +1,4 @@
-"""DBSCAN and single-linkage clusters inside groups."""
+"""DBSCAN and agglomerative clusters inside groups."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values
 from feedloom.operators.components import components
+from feedloom.operators.hierarchy import merge_tree
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size
 from feedloom.operators.mst import point_edges, spanning_trees
 from feedloom.operators.reports import first_per_group
@@ -138,15 +139,20 @@ def dbscan(points: DataFrame, eps: float, min_samples: int = 5, rows: int | None
 
 
 def agglomerative(points: DataFrame, distance_threshold: float | None = None, n_clusters: int | None = None,
-                  rows: int | None = None) -> DataFrame:
-    """C17: (grp, pid, comp), single linkage; `comp` is the least id of the cluster.
+                  rows: int | None = None, method: str = "single") -> DataFrame:
+    """C17: (grp, pid, comp); `comp` is the least id of the cluster.
 
-    The Euclidean spanning tree is cut: edges above the threshold go, or the longest ones
-    until `n_clusters` parts are left in each group.
+    The tree of merges is cut: merges above the threshold go, or the highest ones until `n_clusters` parts are left in
+    each group.  For single linkage it is the Euclidean spanning tree; for ward, average and complete see `merge_tree`.
     """
     if (distance_threshold is None) == (n_clusters is None):
         raise ValueError("give either distance_threshold or n_clusters")
-    edges, nodes, distinct = spanning_trees(points, 0, rows)
+    if method == "single":
+        edges, nodes, distinct = spanning_trees(points, 0, rows)
+    else:
+        distinct = cut(distinct_points(points))
+        edges = merge_tree(distinct, method, vector_size(points), rows)
+        nodes = distinct.select("grp", "rid", "weight", F.lit(0.0).alias("core"))
     tree = point_edges(edges, nodes, points, distinct)
     if distance_threshold is not None:
         kept = tree.filter(F.col("w") <= distance_threshold)
