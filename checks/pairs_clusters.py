@@ -284,11 +284,39 @@ def _(t):
     return linkage.agglomerative(points(t), distance_threshold=0.26)
 
 
-@query("agglomerative_parts")
+# The planted blobs lie five times as far apart as they are wide, so every method has to find the labels again.
+BLOBS_SQL = f"""{POINTS_SQL}, b AS (SELECT grp, label, min(pid) AS comp, count(*) AS n FROM p GROUP BY grp, label),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY n DESC, comp) - 1 AS INTEGER) AS cluster FROM b)"""
+
+
+@query("agglomerative_parts", "planted", f"WITH {BLOBS_SQL} SELECT grp, pid, cluster FROM p JOIN r USING (grp, label)")
 def _(t):
     return linkage.numbered(linkage.agglomerative(points(t), n_clusters=5)).select("grp", "pid", "cluster")
 
 
+@query("agglomerative_ward", "planted", f"WITH {BLOBS_SQL} SELECT grp, pid, comp FROM p JOIN r USING (grp, label)")
+def _(t):
+    return linkage.agglomerative(points(t), n_clusters=5, method="ward")
+
+
+@query("agglomerative_average", "planted", f"WITH {BLOBS_SQL} SELECT grp, pid, comp FROM p JOIN r USING (grp, label)")
+def _(t):
+    return linkage.agglomerative(points(t), distance_threshold=0.8, method="average")
+
+
+@query("kmeans_partition", "planted", f"WITH {BLOBS_SQL} SELECT grp, pid, comp FROM p JOIN r USING (grp, label)")
+def _(t):
+    found = kmeans.assign(points(t), kmeans.fit(points(t), 5, 64))
+    return found.select("grp", "pid", F.min("pid").over(Window.partitionBy("grp", "cluster")).alias("comp"))
+
+
+@query("density_blobs", "planted", f"WITH {BLOBS_SQL} SELECT grp, pid, cluster FROM p JOIN r USING (grp, label)")
+def _(t):
+    """Density clusters of the unreduced vectors."""
+    size = F.greatest(F.lit(3), F.floor(F.col("n_points") / 12))
+    return clustering.cluster_groups(points(t), 3, size).select("grp", "pid", "cluster")
+
+
 CENTRE_SQL = f"""{POINTS_SQL}, e AS (SELECT grp, label, generate_subscripts(xs, 1) AS i, unnest(xs) AS x FROM p),
 m AS (SELECT grp, label, i, avg(x) AS x FROM e GROUP BY ALL), c AS (SELECT grp, label, list(x ORDER BY i) AS centre FROM m GROUP BY ALL)"""
 

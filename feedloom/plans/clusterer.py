@@ -16,7 +16,8 @@ class Clusterer:
     """
 
     def __init__(self, algorithm: str = "kmeans", n_clusters: int | None = None, eps: float | None = None,
-                 min_samples: int = 5, distance_threshold: float | None = None, seed: int = 42):
+                 min_samples: int = 5, distance_threshold: float | None = None, seed: int = 42,
+                 linkage: str = "single"):
         needs = {
             "kmeans": ("n_clusters", n_clusters, "n_clusters required for kmeans"),
             "dbscan": ("eps", eps, "eps is required for DBSCAN"),
@@ -29,7 +30,7 @@ class Clusterer:
         if needs[algorithm][1] is None:
             raise ValueError(needs[algorithm][2])
         self.algorithm, self.n_clusters, self.eps = algorithm, n_clusters, eps
-        self.min_samples, self.distance_threshold, self.seed = min_samples, distance_threshold, seed
+        self.min_samples, self.distance_threshold, self.seed, self.linkage = min_samples, distance_threshold, seed, linkage
         self._labelled: DataFrame | None = None
         self._centres: DataFrame | None = None
         self._dim = 0
@@ -47,7 +48,7 @@ class Clusterer:
             else:
                 given = {"distance_threshold": self.distance_threshold} if self.algorithm.endswith("distance") else {
                     "n_clusters": self.n_clusters}
-                named = linkage.agglomerative(points, **given)
+                named = linkage.agglomerative(points, **given, method=self.linkage)
             found = linkage.numbered(named).select("grp", "pid", "cluster").join(points, ["grp", "pid"])
             found = found.select("grp", "pid", "xs", "cluster")
         self._labelled = cut(found)
