@@ -84,7 +84,7 @@ def _(t):
     return rows.select("query_id", "feedback_id", r6("distance"), "rank")
 
 
-LISTS, PROBES = 64, 36  # a recall of 0.9 or more at sf0.01, sf0.1 and check_s
+LISTS, PROBES = 64, 30  # a recall of 0.9 or more at sf0.01, sf0.1 and check_s
 
 
 def stored_lists(rows, lists: int) -> search.StoredLists:
