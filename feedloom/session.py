@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,29 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCRATCH = "feedloom.scratch"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Inside, tables written by `cut` go to a folder of their own, which is deleted at the end, also after an error.
+
+    Use up the results inside, or write them to a table: a DataFrame that reads a cut table cannot be read later on.
+    """
+    before = spark.conf.get(_SCRATCH, None)
+    folder = f"{before or shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    spark.conf.set(_SCRATCH, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(_SCRATCH)
+        else:
+            spark.conf.set(_SCRATCH, before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
@@ -47,6 +72,7 @@ def cut(df: DataFrame) -> DataFrame:
     executor never replays earlier rounds, and the reader has real table sizes, so
     the next join can be planned from them.
     """
-    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{spark.conf.get(_SCRATCH, None) or shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

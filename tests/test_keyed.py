@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.pairs_text import RULES
 from feedloom.plans import ingest
-from feedloom.session import cut
+from feedloom.session import cut, scratch
 from feedloom.sources import keyed
 
 DAY = datetime.datetime(2024, 1, 1)
@@ -118,3 +118,16 @@ def test_ingest_into_stored_tables(spark, tables, tmp_path, skip):
     ids = {r.feedback_id for r in keyed.embeddings_table(root, 8).read(spark).collect()}
     assert ids == {r.feedback_id for r in keyed.ledger_table(root, 8).read(spark).collect()}
     assert len(ids) == first.embeddings.changed + both.embeddings.changed == keyed.embeddings_table(root, 8).read(spark).count()
+
+
+def test_scratch_tables_go_at_the_end(spark):
+    with scratch(spark) as outer:
+        rows = cut(spark.range(10))
+        with scratch(spark) as inner:
+            assert cut(rows).count() == 10 and inner.startswith(outer) and os.path.isdir(inner)
+        assert not os.path.exists(inner) and rows.count() == 10
+    assert not os.path.exists(outer)
+    with pytest.raises(KeyError), scratch(spark) as failed:
+        cut(spark.range(3))
+        raise KeyError
+    assert not os.path.exists(failed) and cut(spark.range(4)).count() == 4
