@@ -6,7 +6,7 @@ cluster.  So each point is described by two values: the leaf it joined and the w
 which it joined.  What is left of the tree is one node per leaf cluster, a small table.
 
 Small groups are worked off edge by edge in one task.  In larger groups, rounds of joins
-contract all components below the size at once along their least edges.
+contract all components below the size at once along their least edges, and a tree over many leaf clusters is a table too.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.components import components
+from feedloom.operators.leaftree import LOCAL_MERGES, leaf_clusters
 from feedloom.session import cut
 
 LOCAL_EDGES = 100_000   # a tree with fewer edges is condensed inside one task
+LOCAL_LEAVES = 1_000    # a tree over fewer leaf clusters is worked off inside one task
 LEAST_WEIGHT = 1e-12    # a zero distance counts as this, so that densities stay finite
 
 LABELLED = "grp string, rid string, weight long, cluster int, probability double, persistence double"
@@ -321,14 +323,11 @@ def _selection(sums: pd.DataFrame, between: pd.DataFrame) -> pd.DataFrame:
                          "greatest": greatest, "persistence": lasting})
 
 
-def _label_large(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    joined, between = _contract(edges, nodes)
-    joined, between = cut(joined), cut(between)
-    # One row per edge between two leaf clusters: the table that goes into one task per group.
-    # A group without such an edge has no split, hence no cluster.
+def _label_few(joined: DataFrame, between: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Groups whose leaf tree fits one task, as counted by the caller; columns as of `leaf_clusters`."""
     ranges = between.groupBy("grp").applyInPandas(_ranges, "grp string, leaf string, node int, since double, until double")
     lam = 1.0 / F.greatest(F.col("w"), F.lit(LEAST_WEIGHT))
-    held = cut(joined.filter(F.col("leaf").isNotNull()).join(ranges, ["grp", "leaf"]).filter(
+    held = cut(joined.join(ranges, ["grp", "leaf"]).filter(
         (F.col("w") >= F.col("since")) & (F.col("w") < F.col("until"))).select("grp", "rid", "weight", "node", lam.alias("lam")))
     params = nodes.groupBy("grp").agg(F.first("epsilon").alias("epsilon"))
     sums = held.groupBy("grp", "node").agg(
@@ -337,25 +336,38 @@ def _label_large(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     ).join(params, "grp")
     chosen = sums.groupBy("grp").cogroup(between.groupBy("grp")).applyInPandas(
         _selection, "grp string, node int, cluster int, greatest double, persistence double")
-    named = held.join(chosen, ["grp", "node"])
+    return held.join(chosen, ["grp", "node"]).select("grp", "rid", "weight", "lam", "cluster", "greatest", "persistence")
+
+
+def _label_large(edges: DataFrame, nodes: DataFrame, local_leaves: int, local_merges: int) -> DataFrame:
+    joined, between = _contract(edges, nodes)
+    joined, between = cut(joined), cut(between)
+    # one row per edge between two leaf clusters; a group without such an edge has no split, hence no cluster
+    split = cut(between.groupBy("grp").agg(F.count("*").alias("n")))
+    few, many = split.filter(F.col("n") < local_leaves).select("grp"), split.filter(F.col("n") >= local_leaves).select("grp")
+    inside = joined.filter(F.col("leaf").isNotNull())
+    named = _label_few(inside, between.join(few, "grp", "left_semi"), nodes.join(few, "grp", "left_semi"))
+    if many.head(1):
+        params = cut(nodes.join(many, "grp", "left_semi").groupBy("grp").agg(F.first("epsilon").alias("epsilon")))
+        named = named.unionByName(leaf_clusters(
+            between.join(many, "grp", "left_semi"), inside.join(many, "grp", "left_semi"), params, LEAST_WEIGHT, local_merges))
     labelled = named.select(
         "grp", "rid", "weight", "cluster",
         F.when(F.col("cluster") >= 0, F.least("lam", "greatest") / F.col("greatest")).otherwise(0.0).alias("probability"),
         F.when(F.col("cluster") >= 0, F.col("persistence")).alias("persistence"),
     )
-    split = between.select("grp").distinct()
-    loose = joined.filter(F.col("leaf").isNull()).unionByName(
-        joined.filter(F.col("leaf").isNotNull()).join(split, "grp", "left_anti")).select(
+    loose = joined.filter(F.col("leaf").isNull()).unionByName(inside.join(split, "grp", "left_anti")).select(
         "grp", "rid", "weight", F.lit(-1).alias("cluster"), F.lit(0.0).alias("probability"), F.lit(None).cast("double").alias("persistence"))
     return labelled.unionByName(loose)
 
 
-def density_clusters(edges: DataFrame, nodes: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+def density_clusters(edges: DataFrame, nodes: DataFrame, local_edges: int = LOCAL_EDGES, local_leaves: int = LOCAL_LEAVES,
+                     local_merges: int = LOCAL_MERGES) -> DataFrame:
     """(grp, rid, weight, cluster, probability, persistence) from spanning trees.
 
     `nodes` has (grp, rid, weight, core, min_cluster_size, epsilon).  Clusters are numbered by
     falling size, then least id; -1 is noise.  A single cluster is never reported, as the
-    whole group is no cluster.
+    whole group is no cluster.  The three bounds say what a single task may take; they change no result.
     """
     sizes = cut(nodes.groupBy("grp").agg(F.count("*").alias("n")))
     few, many = sizes.filter(F.col("n") <= local_edges), sizes.filter(F.col("n") > local_edges)
@@ -365,5 +377,5 @@ def density_clusters(edges: DataFrame, nodes: DataFrame, local_edges: int = LOCA
     found = found.withColumn("persistence", F.when(F.col("cluster") >= 0, F.col("persistence")))
     if many.head(1):
         found = found.unionByName(_label_large(
-            edges.join(many, "grp", "left_semi"), nodes.join(many, "grp", "left_semi")))
+            edges.join(many, "grp", "left_semi"), nodes.join(many, "grp", "left_semi"), local_leaves, local_merges))
     return found
