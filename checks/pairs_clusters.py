@@ -11,7 +11,7 @@ from checks.pairs_text import RULES
 from checks.twins import query
 from feedloom.functions import vectors
 from feedloom.functions.labels import slice_label
-from feedloom.operators import adaptive, kmeans, knn, linkage, mst, quality, reduce
+from feedloom.operators import adaptive, kmeans, knn, linkage, mst, quality, reduce, silhouettes
 from feedloom.plans import clustering, ingest
 from feedloom.session import cut
 from feedloom.sources.sinks import split_failures
@@ -341,6 +341,17 @@ def _(t):
     return quality.silhouette(labelled(t), 64).select("grp", "cluster", r6("score"), "n")
 
 
+@query("silhouette_euclidean", "planted", f"""
+WITH {POINTS_SQL},
+d AS (SELECT a.grp, a.pid, a.label, b.label AS other, avg(list_distance(a.xs, b.xs)) AS d FROM p a JOIN p b ON a.grp = b.grp AND a.pid <> b.pid GROUP BY ALL),
+s AS (SELECT grp, pid, label, min(CASE WHEN other = label THEN d END) AS i, min(CASE WHEN other <> label THEN d END) AS o FROM d GROUP BY ALL),
+x AS (SELECT grp, label, CASE WHEN i IS NULL OR o IS NULL THEN 0 ELSE (o - i) / greatest(o, i) END AS s FROM s)
+SELECT grp, label AS cluster, round(avg(s), 6) AS score, COUNT(*) AS n FROM x GROUP BY grp, label
+UNION ALL SELECT grp, NULL, round(avg(s), 6), COUNT(*) FROM x GROUP BY grp""")
+def _(t):
+    return silhouettes.euclidean_silhouette(labelled(t), 64).select("grp", "cluster", r6("score"), "n")
+
+
 @query("estimate_eps", "planted", f"""
 WITH {DIST_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY grp, pid ORDER BY dist, nbr) AS rank FROM d)
 SELECT grp, round(quantile_cont(dist, 0.95), 6) AS eps FROM n WHERE rank = 4 GROUP BY grp""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators import kmeans, knn, linkage, quality, reports
+from feedloom.operators import kmeans, knn, linkage, quality, reports, silhouettes
 from feedloom.session import cut
 
 
@@ -71,7 +71,7 @@ class Clusterer:
 
     def calculate_silhouette_scores(self) -> DataFrame:
         """(cluster, score, n); the null cluster is the overall score."""
-        return quality.silhouette(self._clusters(), self._dim).drop("grp")
+        return silhouettes.euclidean_silhouette(self._clusters(), self._dim).drop("grp")
 
     @staticmethod
     def estimate_eps_from_data(embeddings: DataFrame, percentile: float = 95.0, k: int = 4) -> float:
