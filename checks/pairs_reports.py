@@ -381,6 +381,13 @@ def _(t):
     return rows.select("feedback_id", "shard", "batch", "position")
 
 
+@query("numbered_batches", "feedback", """
+SELECT feedback_id, (row_number() OVER o - 1) // 10 AS batch, CAST((row_number() OVER o - 1) % 10 + 1 AS INTEGER) AS position
+FROM feedback WINDOW o AS (ORDER BY created_at NULLS FIRST, feedback_id)""")
+def _(t):
+    return rep.numbered_batches(t.feedback, 10).select("feedback_id", "batch", "position")
+
+
 @query("summary_report", "assignments", f"""
 WITH d AS (SELECT *, CAST({DEPTH_SQL.format('cluster_label')} AS VARCHAR) AS depth FROM assignments),
 total AS (SELECT 'total' AS section, 'all' AS item, COUNT(DISTINCT cluster_label) AS clusters, COUNT(*) AS reviews FROM d),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.vectors import has_direction, unit
+from feedloom.session import cut
 
 ROWS_PER_PART = 1_000_000  # rows summed by one task; a hot group is spread over many
 MODEL = "grp string, mean array<double>, axes array<array<double>>"
@@ -72,23 +73,19 @@ def principal_axes(points: DataFrame, k: int) -> DataFrame:
     """(grp, mean, axes): centre and the first k principal axes of every group, in one pass.
 
     A task sums the second moments of the rows of one group at a time.  Partial sums are
-    d rows of d numbers per million points; they are added per row of the matrix, and only
-    the d x d sum of a group meets in one task.
+    d rows of d numbers per million points; they are added per cell of the matrix, and only
+    the d x d sum of a group meets in one task.  The result is stored.
     """
-    sizes = points.groupBy("grp").agg(F.count("*").alias("n"))
+    sizes = cut(points.groupBy("grp").agg(F.count("*").alias("n")))  # stored, so that the join knows how small it is
     parts = F.ceil(F.col("n") / ROWS_PER_PART)
     spread = points.join(sizes, "grp").select(
         "grp", F.pmod(F.xxhash64("pid"), parts).alias("salt"), "xs"
     ).repartition("grp", "salt").sortWithinPartitions("grp", "salt").select("grp", "xs")
     partial = spread.mapInArrow(_moments, "grp string, i int, row array<double>")
-    added = partial.groupBy("grp", "i").agg(F.collect_list("row").alias("rows")).select(
-        "grp", "i",
-        F.transform(
-            F.sequence(F.lit(0), F.size(F.col("rows")[0]) - 1),
-            lambda j: F.aggregate("rows", F.lit(0.0), lambda s, r: s + r[j]),
-        ).alias("row"),
-    )
-    return added.groupBy("grp").applyInPandas(_axes(k), MODEL)
+    # added cell by cell: a million points of d numbers come as d x d cells, which are combined before they are shuffled
+    cells = partial.select("grp", "i", F.posexplode("row").alias("j", "v")).groupBy("grp", "i", "j").agg(F.sum("v").alias("v"))
+    added = cells.groupBy("grp", "i").agg(F.sort_array(F.collect_list(F.struct("j", "v")))["v"].alias("row"))
+    return cut(added.groupBy("grp").applyInPandas(_axes(k), MODEL))
 
 
 def project(points: DataFrame, model: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.labels import label_ancestors, label_depth, label_source, label_style
 from feedloom.functions.responses import UNCATEGORIZED
 from feedloom.functions.times import in_period, moment, week_of_year, year_month
+from feedloom.operators.numbering import ranked
 
 
 # --- counts -----------------------------------------------------------------
@@ -397,6 +398,18 @@ def request_batches(df: DataFrame, size: int, shard: Column) -> DataFrame:
     )
 
 
+def numbered_batches(df: DataFrame, size: int) -> DataFrame:
+    """Batches of `size` consecutive rows of the whole table, oldest first, whatever its size; no shard to choose.
+
+    Numbers are given range by range, see `numbering.ranked`, on ids and times only.  `feedback_id` is unique; rows without a time
+    come first.  Adds `batch` (from 0) and `position` (from 1).
+    """
+    keys = df.select("feedback_id", "created_at", F.lit(0).alias("_all"))
+    numbered = ranked(keys, ["_all"], ["created_at", "feedback_id"], "_n").select(
+        "feedback_id", F.floor((F.col("_n") - 1) / size).alias("batch"), ((F.col("_n") - 1) % size + 1).cast("int").alias("position"))
+    return df.join(numbered, "feedback_id")
+
+
 def summary_report(assignments: DataFrame, quality: DataFrame | None = None, k: int = 10) -> DataFrame:
     """The whole report as one long table (section, item, metric, value).
 

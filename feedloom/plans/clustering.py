@@ -76,20 +76,23 @@ def recursive_clusters(embeddings: DataFrame, settings: ClusterSettings = Cluste
     """
     label = slice_label(F.col("source"), F.col("style"))
     usable = F.col("source").isNotNull() & F.col("style").isNotNull() & has_direction(F.col("vector"))
-    open_ = cut(embeddings.filter(usable).select(
+    vectors = cut(embeddings.filter(usable).select(
         label.alias("grp"), F.col("feedback_id").alias("pid"), unit(F.col("vector")).alias("xs")))
-    sizes = open_.groupBy("grp").agg(F.count("*").alias("n"))
-    state = open_.join(sizes, "grp").withColumn(
+    sizes = cut(vectors.groupBy("grp").agg(F.count("*").alias("n")))
+    state = vectors.select("grp", "pid").join(sizes, "grp").withColumn(
         "open", adaptive.large_enough(F.lit(0), F.col("n"), settings.max_depth)).select(
-        "grp", "pid", "xs", "open", F.lit(None).cast("double").alias("probability"))
+        "grp", "pid", "open", F.lit(None).cast("double").alias("probability"))
     finished, levels = [], []
     for depth in range(settings.max_depth):
         state = cut(state)
         finished.append(state.filter("NOT open").select("pid", F.col("grp").alias("cluster_label"), "probability"))
-        points = state.filter("open").select("grp", "pid", "xs")
-        if not points.head(1):
+        going_on = state.filter("open").select("grp", "pid")
+        if not going_on.head(1):
             state = None
             break
+        # labels travel between levels; vectors are written again only for the groups that go on
+        points = vectors.join(sizes.filter(adaptive.large_enough(F.lit(0), F.col("n"), settings.max_depth)), "grp", "left_semi") if depth == 0 \
+            else cut(vectors.select("pid", "xs").join(going_on, "pid").select("grp", "pid", "xs"))
         found, hierarchy = _level(points, depth, settings)
         levels.append(hierarchy)
         quality = hierarchy.select(F.col("parent_label").alias("grp"), "n_clusters", "mean_persistence", "noise_ratio")
@@ -102,8 +105,7 @@ def recursive_clusters(embeddings: DataFrame, settings: ClusterSettings = Cluste
         children = children.select("label", F.coalesce(adaptive.should_recurse(
             F.lit(depth + 1), F.col("n"), settings.max_depth, F.col("n_clusters"), F.col("mean_persistence"), F.col("noise_ratio")
         ) & F.col("n_clusters").isNotNull(), F.lit(False)).alias("open"))
-        state = named.join(children, "label").join(points.select("pid", "xs"), "pid").select(
-            F.col("label").alias("grp"), "pid", "xs", "open", "probability")
+        state = named.join(children, "label").select(F.col("label").alias("grp"), "pid", "open", "probability")
     if state is not None:
         finished.append(cut(state).select("pid", F.col("grp").alias("cluster_label"), "probability"))
     labels = finished[0]

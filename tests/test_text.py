@@ -59,6 +59,15 @@ def test_batches_keep_order(spark):
     assert spread.groupBy("shard", "batch").count().filter("count > 3").count() == 0
 
 
+def test_batches_of_a_whole_table(spark):
+    rows = [(f"{i:03d}", None if i % 50 == 7 else i // 7, "t") for i in range(203)]
+    frame = spark.createDataFrame(rows, "feedback_id string, created_at int, _n string").repartition(5)
+    got = reports.numbered_batches(frame, 10).collect()
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    assert {r.feedback_id: (r.batch, r.position, r["_n"]) for r in got} == {r[0]: (i // 10, i % 10 + 1, "t") for i, r in enumerate(order)}
+    assert reports.numbered_batches(frame.limit(0), 10).count() == 0
+
+
 def test_prompt_block(spark):
     rows = spark.createDataFrame([(0, 0, 2, "b" * 300), (0, 0, 1, "a")], "shard int, batch int, position int, feedback_text string")
     assert tagging.build_prompts(rows, width=200).head()["block"] == "1. a\n2. " + "b" * 200
