@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.canon import joined, micro, r6, sql_ts, ts
+from checks.canon import joined, micro, r6, sql_micro, sql_ts, ts
 from checks.tables import TAXONOMY
 from checks.twins import query
 from feedloom.functions import labels
@@ -117,7 +117,18 @@ def _(t):
     return tagging.build_prompts(reports.request_batches(rows, 10, F.col("feedback_id").cast("bigint") % 8))
 
 
-@query("hash_embeddings")
+def hashed_sql(table: str, key: str, text: str, dim: int = 64) -> str:
+    """`v` (key, vector): counts of the words by the place that their MD5 names, scaled to length one, as floats."""
+    return f"""w AS (SELECT {key} AS key, unnest(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM {table}),
+h AS (SELECT key, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % {dim} AS i, CAST(count(*) AS DOUBLE) AS n FROM w WHERE word <> '' GROUP BY ALL),
+l AS (SELECT key, sqrt(sum(n * n)) AS size FROM h GROUP BY key),
+v AS (SELECT l.key, list(CAST(coalesce(h.n, 0) / l.size AS FLOAT) ORDER BY r.i) AS vector
+  FROM l CROSS JOIN (SELECT unnest(range(0, {dim})) AS i) r LEFT JOIN h ON h.key = l.key AND h.i = r.i GROUP BY l.key)"""
+
+
+@query("hash_embeddings", "feedback", f"""
+WITH {hashed_sql('feedback', 'feedback_id', 'feedback_text')}
+SELECT key AS feedback_id, {sql_micro('vector')} AS vector, 'hash-64' AS model FROM v""")
 def _(t):
     rows = embed.hash_embeddings(t.feedback.select("feedback_id", "feedback_text"))
     return rows.select("feedback_id", micro("vector"), "model")

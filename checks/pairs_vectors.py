@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks.canon import r6
+from checks.pairs_text import hashed_sql
 from checks.twins import query
 from feedloom.functions import vectors
 from feedloom.operators import embed, search
@@ -76,7 +77,12 @@ def _(t):
     return rows.select("feedback_id", r6("distance"), "rank")
 
 
-@query("similar_to_text")
+@query("similar_to_text", "feedback", f"""
+WITH e AS (WITH {hashed_sql('feedback', 'feedback_id', 'feedback_text')} SELECT key AS feedback_id, CAST(vector AS DOUBLE[]) AS vector FROM v),
+q AS (WITH {hashed_sql('benchmark', 'CAST(item_id AS VARCHAR)', 'text')} SELECT key AS query_id, CAST(vector AS DOUBLE[]) AS vector FROM v),
+d AS (SELECT query_id, feedback_id, list_cosine_distance(e.vector, q.vector) AS distance FROM e, q),
+hits AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), feedback_id) AS rank FROM d QUALIFY rank <= 10)
+SELECT {OUT} FROM hits""")
 def _(t):
     stored = embed.hash_embeddings(t.feedback.select("feedback_id", "feedback_text"))
     questions = t.raw("benchmark").select(F.col("item_id").cast("string").alias("query_id"), F.col("text").alias("feedback_text"))
