@@ -148,10 +148,11 @@ def shard_texts(mixture: Mixture, docs: DataFrame) -> DataFrame:
 
 
 def digest(mixture: Mixture) -> DataFrame:
-    """Per document: doc_id, size, source_size, target and the words that the mix takes of it."""
-    taken = mixture.entries.groupBy("place", "start").agg(F.sum("n_words").alias("taken"))
-    taken = taken.select(F.col("place").alias("p"), F.col("start").alias("s"), "taken")
+    """Per document: doc_id, size, source_size, target, the words that the mix takes of it and the number of shards that they go to."""
+    taken = mixture.entries.groupBy("place", "start").agg(F.sum("n_words").alias("taken"), F.count_distinct("shard").alias("n_shards"))
+    taken = taken.select(F.col("place").alias("p"), F.col("start").alias("s"), "taken", "n_shards")
     rows = mixture.documents.join(F.broadcast(mixture.sources.select("place", "source_size", "target")) if mixture.sources.count() <= 10_000
                                   else mixture.sources.select("place", "source_size", "target"), "place")
     rows = rows.join(taken, (F.col("size") > 0) & (F.col("place") == F.col("p")) & (F.col("start") == F.col("s")), "left")
-    return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
+    return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source",
+                       F.coalesce("n_shards", F.lit(0)).cast("long").alias("n_shards"))

@@ -72,17 +72,34 @@ def test_shard_texts_hold_what_is_taken(docs_of):
     rows = mixed_rows(3, 60)
     docs = docs_of(rows)
     mixture = mixing.mix(docs, block_words=16, shard_slots=20)
-    taken = {}
+    taken, spread = {}, {}
     for r in mixing.digest(mixture).collect():
         taken[r.doc_id, r.source] = taken.get((r.doc_id, r.source), 0) + r.taken
-    read = collections.Counter()
+        spread.setdefault((r.doc_id, r.source), []).append(r.n_shards)
+    read, shards = collections.Counter(), collections.defaultdict(set)
     whole = {(i, s): t for i, t, s in rows}
     for r in mixing.shard_texts(mixture, docs).collect():
         read[r.doc_id, r.source] += size_of(r.text)
+        shards[r.doc_id, r.source].add(r.shard)
+    once = {k for k, v in spread.items() if len(v) == 1}
+    assert {k: v[0] for k, v in spread.items() if k in once} == {k: len(shards[k]) for k in once} and max(len(s) for s in shards.values()) > 3
         assert r.text in whole[r.doc_id, r.source]
     assert {k: v for k, v in taken.items() if v} == dict(read)
 
 
+def test_shards_draw_from_all_sources(docs_of):
+    rows = [(i, " ".join(f"w{i}.{k}" for k in range(400)), "hot" if i % 3 else "other") for i in range(300)]
+    mixture = mixing.mix(docs_of(rows), block_words=8, shard_slots=1000)
+    drawn = collections.Counter((r.shard, r.place) for r in mixture.entries.select("shard", "place", "block", "start").collect())
+    shards, totals = {s for s, _ in drawn}, collections.Counter()
+    for (_, place), n in drawn.items():
+        totals[place] += n
+    assert len(shards) >= 10
+    for (_, place), n in drawn.items():  # a draw of `total` slots to equally likely shards, within five deviations
+        mean = totals[place] / len(shards)
+        assert abs(n - mean) < 5 * math.sqrt(mean)
+
+
 def test_permutations_are_bijections(spark):
     for blocks in (1, 2, 7, 1000):
         df = spark.range(blocks).select(mixing._permuted(mixing.F.col("id"), mixing.F.lit(blocks), mixing.F.lit(3), mixing.F.lit(1)).alias("p"))
