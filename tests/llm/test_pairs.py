@@ -97,6 +97,28 @@ def test_components(spark):
     assert got == {n: m for n, m in least.items() if n != m}
 
 
+def test_components_with_hubs_apart(spark, monkeypatch):
+    monkeypatch.setattr(links, "HUB_EDGES", 3)
+    monkeypatch.setattr(links, "MOST_HUBS", 1000)
+    rng = random.Random(6)
+    edges = [(500, i) for i in range(60)] + [(70, i) for i in range(70, 140)] + [(300, 400)] + [(300, i) for i in range(301, 340)]
+    edges += [(rng.randint(600, 680), rng.randint(600, 680)) for _ in range(120)] + [(70, 500), (5, 5), (70, 500)]
+    want = {}
+    for n in {n for e in edges for n in e}:
+        seen, due = {n}, [n]
+        while due:
+            at = due.pop()
+            for a, b in edges:
+                for x, y in ((a, b), (b, a)):
+                    if x == at and y not in seen:
+                        seen.add(y)
+                        due.append(y)
+        if min(seen) != n:
+            want[n] = min(seen)
+    got = {r.node: r.least for r in links.least_members(spark.createDataFrame(edges, "u long, v long").repartition(4)).collect()}
+    assert got == want
+
+
 def test_contained_items(spark, docs_of):
     rng = random.Random(5)
     items = [(i, " ".join(f"W{rng.randint(0, 60)}" for _ in range(rng.randint(3, 60)))) for i in range(25)] + [(90, None), (91, ""), (None, " ".join("abcdefgh")), (3, None)]
