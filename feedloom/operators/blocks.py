@@ -342,3 +342,28 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for j in range(a.shape[1]):
         out += (a[:, j, None] - b[None, :, j]) ** 2
     return out
+
+
+def rough_squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(squares, off): squared distances by one matrix product, and per row of `a` how far they may be from `squared_distances`.
+
+    Short vectors, and lengths that are not finite, are summed by coordinate; then nothing is off.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        la, lb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+        off = 16 * (a.shape[1] + 8) * np.finfo(float).eps * (la + lb.max(initial=0.0))
+    if a.shape[1] <= BOX_DIMS or not np.isfinite(off).all():
+        return squared_distances(a, b), np.zeros(len(a))
+    out = a @ b.T
+    out *= -2.0
+    out += la[:, None]
+    out += lb
+    return out, off
+
+
+def squares_at(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """`squared_distances` of some places, to the last bit."""
+    out = np.zeros(len(rows))
+    for j in range(a.shape[1]):
+        out += (a[rows, j] - b[cols, j]) ** 2
+    return out

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import SLACK, bounds_of, coords, descend, squared_distances, tree_levels, values
+from feedloom.operators.blocks import SLACK, bounds_of, coords, descend, rough_squares, squared_distances, squares_at, tree_levels, values
 from feedloom.session import cut
 
 STRIPE = 512        # rows whose distances are held at once
@@ -70,6 +70,34 @@ def _weights_within(d: np.ndarray, radii: np.ndarray, weights: np.ndarray, below
     return out
 
 
+def _weights_about(a: np.ndarray, b: np.ndarray, d: np.ndarray, off: np.ndarray, radii: np.ndarray, weights: np.ndarray,
+                   squared: bool, below: np.ndarray | None = None) -> np.ndarray:
+    """`_weights_within` from rough squares that may be `off`: what lies next to a radius is measured again.
+
+    Columns nearer than all radii of a row are added up and those beyond all are left out; only those between meet each radius.
+    """
+    ends = radii if squared else np.where(radii < 0, -1.0, radii * radii)
+    low, high = ends.min(axis=1), ends.max(axis=1)
+    slack = off + 1e-14 * np.abs(high)  # room for the roots and squares
+    sure = d <= (low - 2 * slack)[:, None]
+    base = np.count_nonzero(sure, axis=1) if bool((weights == 1).all()) else sure @ weights
+    out = np.repeat(base.astype(np.int64)[:, None], radii.shape[1], axis=1)
+    rows, cols = np.nonzero((d <= (high + 2 * slack)[:, None]) & ~sure)
+    near, room, weight = d[rows, cols], slack[rows], weights[cols]
+    for j in range(radii.shape[1]):
+        gap = near - ends[rows, j]
+        inside = gap < -room
+        close = np.flatnonzero(np.abs(gap) <= room)
+        if len(close):
+            at, to = rows[close], cols[close]
+            exact = squares_at(a, b, at, to)
+            exact = exact if squared else np.sqrt(exact)
+            r = radii[at, j]
+            inside[close] = exact <= r if below is None else (exact < r) | ((exact == r) & (to < below[at, j]))
+        out[:, j] += np.bincount(rows[inside], weights=weight[inside], minlength=len(d)).astype(np.int64)
+    return out
+
+
 def _counted(m: int, squared: bool, ties: bool):
     """Counts of the rows of one left block, added over the pairs that follow each other."""
 
@@ -91,11 +119,14 @@ def _counted(m: int, squared: bool, ties: bool):
                     below = np.searchsorted(values(batch, i, "o_ids").astype(str), values(batch, i, "tied").astype(str)).reshape(-1, m)
                 for start in range(0, len(a), STRIPE):
                     part = slice(start, start + STRIPE)
-                    d = squared_distances(a[part], b)
-                    d = d if squared else np.sqrt(d)
+                    d, off = rough_squares(a[part], b)
                     if block == other:  # a point is not counted for itself
                         d[np.arange(len(d)), last[part]] = np.inf
-                    held[part] += _weights_within(d, radii[part], weights, None if below is None else below[part])
+                    ties_at = None if below is None else below[part]
+                    if off.any():
+                        held[part] += _weights_about(a[part], b, d, off, radii[part], weights, squared, ties_at)
+                    else:
+                        held[part] += _weights_within(d if squared else np.sqrt(d), radii[part], weights, ties_at)
         if held is not None:
             yield _count_rows(*key, held, last)
 
@@ -159,14 +190,19 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo, hi, pos, weights = (values(batch, i, c) for c in ("lo", "hi", "pos", "o_weights"))
             for start in range(0, len(a), STRIPE):
                 part = slice(start, start + STRIPE)
-                d = np.sqrt(squared_distances(a[part], b))
+                d, off = rough_squares(a[part], b)
                 if block == other:
                     d[np.arange(len(d)), pos[part]] = np.inf
-                rows, cols = np.nonzero((d > lo[part, None]) & (d <= hi[part, None]))
+                least, most = lo[part] ** 2, hi[part] ** 2
+                slack = off + 1e-14 * most
+                rows, cols = np.nonzero((d >= (least - slack)[:, None]) & (d <= (most + slack)[:, None]))
+                exact = np.sqrt(squares_at(a[part], b, rows, cols))
+                inside = (exact > lo[part][rows]) & (exact <= hi[part][rows])
+                rows, cols, exact = rows[inside], cols[inside], exact[inside]
                 m = len(rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([grp] * m, pa.string()), pa.array(np.full(m, block, np.int64)), pa.array(pos[part][rows].astype(np.int32)),
-                     pa.array(d[rows, cols]), pa.array(weights[cols])], ["grp", "block", "pos", "d", "w"])
+                     pa.array(exact), pa.array(weights[cols])], ["grp", "block", "pos", "d", "w"])
 
 
 def _packed(points: DataFrame, blocks: DataFrame, fields: list[str]) -> DataFrame:

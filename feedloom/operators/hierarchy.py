@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import block_rows, bounds_of, coords, descend, pack, pack_told, squared_distances, tree_levels, values
+from feedloom.operators.blocks import (
+    block_rows, bounds_of, coords, descend, pack, pack_told, rough_squares, squared_distances, squares_at, tree_levels, values,
+)
 from feedloom.operators.counting import STRIPE
 from feedloom.operators.knn import pair_rows
 from feedloom.session import cut
@@ -85,6 +87,38 @@ def _whole_trees(method: str):
 CHOICE = "grp string, rid string, lo_id string, hi_id string, d double"
 
 
+def _least_ward(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Per row its nearest column and their distance, `own` places left out; ids are sorted: the least of equally near ones.
+
+    Rough distances leave few columns to be measured; where they leave many, all are.
+    """
+    def rise(x, y):
+        return 2 * x * y / (x + y)
+
+    d, off = rough_squares(a, b)
+    if off.any():
+        factor = rise(wa[:, None], wb)
+        d *= factor
+        room = factor.max(axis=1) * off
+        if own is not None:
+            d[np.arange(len(d)), own] = np.inf
+        least = d.min(axis=1)
+        least[np.isinf(least)] = -np.inf
+        rows, cols = np.nonzero(d <= (least + 1e-14 * np.abs(least) + 2 * room)[:, None])
+        if len(rows) <= d.size // 16:
+            exact = squares_at(a, b, rows, cols) * rise(wa[rows], wb[cols])
+            order = np.lexsort((cols, exact, rows))
+            found, first = np.unique(rows[order], return_index=True)
+            at, best = np.zeros(len(a), int), np.full(len(a), np.inf)
+            at[found], best[found] = cols[order][first], exact[order][first]
+            return at, best
+        d = squared_distances(a, b)
+    d = d * rise(wa[:, None], wb)
+    if own is not None:
+        d[np.arange(len(d)), own] = np.inf
+    return d.argmin(axis=1), d.min(axis=1)
+
+
 def _nearest_clusters(across: bool):
     """Per cluster of the left block its nearest one in the right block under Ward's distance, squared, ties by ids."""
     other = "o_" if across else ""
@@ -99,10 +133,8 @@ def _nearest_clusters(across: bool):
                 best, at = np.full(len(a), np.inf), np.zeros(len(a), int)
                 for start in range(0, len(a), STRIPE):
                     part = slice(start, start + STRIPE)
-                    d = squared_distances(a[part], b) * (2 * wa[part, None] * wb / (wa[part, None] + wb))
-                    if not across:
-                        d[np.arange(len(d)), np.arange(start, start + len(d))] = np.inf
-                    at[part], best[part] = d.argmin(axis=1), d.min(axis=1)  # ids are sorted: the least of equally near ones
+                    own = None if across else np.arange(start, min(start + STRIPE, len(a)))
+                    at[part], best[part] = _least_ward(a[part], b, wa[part], wb, own)
                 rows = np.flatnonzero(np.isfinite(best))
                 u, v = ia[rows], ib[at[rows]]
                 low, high = np.where(u < v, u, v), np.where(u < v, v, u)
@@ -158,6 +190,7 @@ def merge_tree(distinct: DataFrame, method: str, dim: int, rows: int | None = No
 
     Ward's linkage takes groups of any size.  Average and complete linkage need the distances of all members, so a group
     must fit one block (`blocks.block_rows`: 4096 points at 64 dimensions); a larger one is refused, not cut.
+    `linkage.agglomerative` splits groups beforehand where a threshold allows it.
     """
     if method not in METHODS:
         raise ValueError(f"unknown linkage: {method}")

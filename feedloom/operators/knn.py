@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
+    bounds_of, coords, descend, distinct_points, pack, rough_squares, squares_at, tree_levels, values,
 )
 from feedloom.operators.counting import STRIPE, narrowed_cores
 from feedloom.operators.quantiles import weighted_quantile
@@ -23,26 +23,28 @@ def _nearest(queries: np.ndarray, targets: np.ndarray, k: int, own: bool, cap: n
     """Row, column and distance of the k nearest targets of every query row.
 
     Targets are sorted by id, so equal distances resolve to the smaller id.  `own` skips
-    the diagonal.  `cap` keeps distances up to a bound per row.
+    the diagonal.  `cap` keeps distances up to a bound per row.  Rough distances tell which
+    targets may be among the k nearest; these are measured again.
     """
     for start in range(0, len(queries), STRIPE):
-        d = squared_distances(queries[start:start + STRIPE], targets)
+        part = queries[start:start + STRIPE]
+        d, off = rough_squares(part, targets)
         if own:
             d[np.arange(len(d)), np.arange(start, start + len(d))] = np.inf
-        if cap is not None:
-            d[d > (cap[start:start + STRIPE, None] ** 2) * (1 + 1e-9)] = np.inf
-        if d.shape[1] > k:
+        most = np.full(len(d), np.inf) if cap is None else (cap[start:start + STRIPE] ** 2) * (1 + 1e-9)
+        mask = (d <= (most + off)[:, None]) & np.isfinite(d)
+        if d.shape[1] > k and np.count_nonzero(mask) > 4 * k * len(d):
             edge = np.partition(d, k - 1, axis=1)[:, k - 1]
-            mask = (d <= edge[:, None]) & np.isfinite(d)
-        else:
-            mask = np.isfinite(d)
+            mask &= d <= (edge + 2 * off)[:, None]
         rows, cols = np.nonzero(mask)
-        order = np.lexsort((cols, d[rows, cols], rows))
-        rows, cols = rows[order], cols[order]
+        exact = squares_at(part, targets, rows, cols)
+        inside = exact <= most[rows]
+        rows, cols, exact = rows[inside], cols[inside], exact[inside]
+        order = np.lexsort((cols, exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
         first = np.searchsorted(rows, rows, side="left")
         top = np.arange(len(rows)) - first < k
-        rows, cols = rows[top], cols[top]
-        yield rows + start, cols, np.sqrt(d[rows, cols])
+        yield rows[top] + start, cols[top], np.sqrt(exact[top])
 
 
 def _found(grp: str, block: int, ids, rows, nbrs, nbr_weights, cols, dist) -> pa.RecordBatch:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values,
+    bounds_of, coords, descend, distinct_points, pack, rough_squares, squared_distances, squares_at, tree_levels, values,
 )
 from feedloom.operators.components import components
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size, with_cores
@@ -62,6 +62,31 @@ def _whole_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _least(a: np.ndarray, b: np.ndarray, ca: np.ndarray, cb: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the first nearest column that is not the `same`, and its mutual reachability distance, infinite where there is none.
+
+    Rough distances leave few columns to be measured; where they leave many, all are.
+    """
+    d, off = rough_squares(a, b)
+    if off.any():
+        np.maximum(d, np.maximum(ca[:, None] ** 2, cb[None, :] ** 2), out=d)
+        d[same] = np.inf
+        least = d.min(axis=1)
+        least[np.isinf(least)] = -np.inf
+        rows, cols = np.nonzero(d <= (least * (1 + 1e-14) + 2 * off)[:, None])  # room for the roots and squares
+        if len(rows) <= d.size // 16:
+            exact = np.maximum(np.sqrt(squares_at(a, b, rows, cols)), np.maximum(ca[rows], cb[cols]))
+            order = np.lexsort((cols, exact, rows))
+            found, first = np.unique(rows[order], return_index=True)
+            column, weight = np.zeros(len(a), dtype=int), np.full(len(a), np.inf)
+            column[found], weight[found] = cols[order][first], exact[order][first]
+            return column, weight
+        d = squared_distances(a, b)
+    d = np.maximum(np.sqrt(d), np.maximum(ca[:, None], cb[None, :]))
+    d[same] = np.inf
+    return d.argmin(axis=1), d.min(axis=1)
+
+
 def _least_edges(across: bool):
     """Per component of the left block, the least edge to another component of the right block."""
     other = "o_" if across else ""
@@ -81,10 +106,7 @@ def _least_edges(across: bool):
                 weight, column = np.full(len(xa), np.inf), np.zeros(len(xa), dtype=int)
                 for start in range(0, len(xa), STRIPE):
                     part = slice(start, start + STRIPE)
-                    d = np.maximum(np.sqrt(squared_distances(xa[part], xb)), np.maximum(ca[part, None], cb[None, :]))
-                    d[na[part, None] == nb[None, :]] = np.inf
-                    column[part] = d.argmin(axis=1)
-                    weight[part] = d.min(axis=1)
+                    column[part], weight[part] = _least(xa[part], xb, ca[part], cb, na[part, None] == nb[None, :])
                 rows = np.flatnonzero(np.isfinite(weight))
                 if len(rows) == 0:
                     continue

@@ -15,21 +15,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import block_rows, coords, values
+from feedloom.operators.blocks import block_rows, coords, rough_squares, squares_at, values
 from feedloom.operators.numbering import ranked
 from feedloom.operators.quality import centroids
 from feedloom.session import cut
 
 CENTRES = 512     # centres that a block of points meets at once
 STRIPE = 256      # rows whose distances are held at once
+SHORT = 1e8       # squares of less than so many times their rounding error are measured again
 ROUNDING = 1e-9   # bounds are taken so much wider, relative to the squared lengths
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances by coordinate, so that equal points are exactly 0 apart."""
-    out = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        out += (a[:, j, None] - b[None, :, j]) ** 2
+    """All distances; short ones are summed by coordinate, so that equal points are exactly 0 apart."""
+    out, off = rough_squares(a, b)
+    if off.any():
+        rows, cols = np.nonzero(out <= (SHORT * off)[:, None])
+        out[rows, cols] = squares_at(a, b, rows, cols)
     return np.sqrt(out)
 
 
