@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import bounds_of, coords, descend, distinct_points, pack, squared_distances, tree_levels, values
+from feedloom.functions.vectors import l2_distance
+from feedloom.operators.blocks import (
+    block_rows, bounds_of, coords, descend, distinct_points, pack, rough_squares, squared_distances, squares_at, tree_levels, values,
+)
 from feedloom.operators.components import components
 from feedloom.operators.hierarchy import merge_tree
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size
@@ -19,9 +22,18 @@ from feedloom.session import cut
 
 
 def _near(a: np.ndarray, b: np.ndarray, eps: float):
+    """Which distances are within eps, in slices of rows; where rough distances cannot tell they are measured."""
     for start in range(0, len(a), STRIPE):
-        d = np.sqrt(squared_distances(a[start:start + STRIPE], b))
-        yield start, d, d <= eps
+        part = a[start:start + STRIPE]
+        d, off = rough_squares(part, b)
+        if not off.any():
+            yield start, np.sqrt(d) <= eps
+            continue
+        slack = off + 1e-14 * eps * eps
+        close = d <= (eps * eps - slack)[:, None]
+        rows, cols = np.nonzero((d <= (eps * eps + slack)[:, None]) & ~close)
+        close[rows, cols] = np.sqrt(squares_at(part, b, rows, cols)) <= eps
+        yield start, close
 
 
 def _counts(eps: float):
@@ -33,7 +45,7 @@ def _counts(eps: float):
                 dim = batch.column("dim")[i].as_py()
                 a, b = coords(batch, i, "xs", dim), coords(batch, i, "o_xs", dim)
                 weights = values(batch, i, "o_weights")
-                n = np.concatenate([close @ weights for _, _, close in _near(a, b, eps)])
+                n = np.concatenate([close @ weights for _, close in _near(a, b, eps)])
                 m = len(a)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column("grp")[i].as_py()] * m), pa.array([batch.column("block")[i].as_py()] * m, pa.int64()),
@@ -57,14 +69,15 @@ def _links(eps: float):
                 ka, kb = values(batch, i, "core"), values(batch, i, "o_core")
                 u, v, w, kind = [], [], [], []
                 touched = np.zeros((len(a), len(b)), dtype=bool)
-                for start, d, close in _near(a, b, eps):
+                for start, close in _near(a, b, eps):
                     close = close & kb[None, :]
-                    rows = np.arange(start, start + len(d))
+                    rows = np.arange(start, start + len(close))
                     border = np.flatnonzero(~ka[rows] & close.any(axis=1))
-                    nearest = np.where(close[border], d[border], np.inf).argmin(axis=1)
+                    d = np.sqrt(squared_distances(a[rows[border]], b))
+                    nearest = np.where(close[border], d, np.inf).argmin(axis=1)
                     u.extend(ia[rows[border]])
                     v.extend(ib[nearest])
-                    w.extend(d[border, nearest])
+                    w.extend(d[np.arange(len(border)), nearest])
                     kind.extend([False] * len(border))
                     touched[rows] = close & ka[rows, None]
                 for x, y in _forest(touched):
@@ -144,9 +157,53 @@ def agglomerative(points: DataFrame, distance_threshold: float | None = None, n_
 
     The tree of merges is cut: merges above the threshold go, or the highest ones until `n_clusters` parts are left in
     each group.  For single linkage it is the Euclidean spanning tree; for ward, average and complete see `merge_tree`.
+    Under average and complete linkage a threshold splits the groups that exceed a block first, see `_near_parts`.
     """
     if (distance_threshold is None) == (n_clusters is None):
         raise ValueError("give either distance_threshold or n_clusters")
+    if method in ("average", "complete") and distance_threshold is not None and distance_threshold >= 0:
+        large = cut(_large_groups(points, block_rows(vector_size(points), rows)))
+        if large.head(1):
+            joined = points.join(large, "grp", "left_semi")
+            parts = _near_parts(joined, distance_threshold, rows)
+            one = parts.filter("one").select("grp", "pid", "part")
+            rest = cut(parts.filter("NOT one").select(F.to_json(F.struct("grp", "part")).alias("grp"), F.col("grp").alias("real"), "pid", "xs"))
+            found = one.withColumnRenamed("part", "comp")
+            if rest.head(1):
+                names = rest.select("grp", "real").distinct()
+                split = _cut_tree(rest.select("grp", "pid", "xs"), distance_threshold, None, rows, method)
+                found = found.unionByName(split.join(names, "grp").select(F.col("real").alias("grp"), "pid", "comp"))
+            return found.unionByName(_cut_tree(points.join(large, "grp", "left_anti"), distance_threshold, None, rows, method))
+    return _cut_tree(points, distance_threshold, n_clusters, rows, method)
+
+
+def _large_groups(points: DataFrame, limit: int) -> DataFrame:
+    """(grp) of the groups with more different points than a block takes."""
+    return points.groupBy("grp", "xs").agg(F.lit(1).alias("one")).groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("grp")
+
+
+def _near_parts(points: DataFrame, threshold: float, rows: int | None) -> DataFrame:
+    """(grp, pid, xs, part, one): parts of a group that average or complete linkage up to the threshold never joins.
+
+    Two clusters whose mean or greatest distance is within the threshold have a pair of points within it, so no merge
+    leaves a component of the points that are linked within the threshold.  `part` is the least id of such a component.
+    If all its points lie within half the threshold of their mean, all their distances are within the threshold and so is
+    every height: the part is `one` cluster.
+    """
+    distinct = cut(distinct_points(points))
+    near = dbscan(distinct.select("grp", F.col("rid").alias("pid"), "xs"), threshold * (1 + 1e-9), 1, rows)
+    named = cut(distinct.select("grp", "rid", "xs").join(near.select("grp", F.col("pid").alias("rid"), F.col("comp").alias("part")), ["grp", "rid"]))
+    dim = vector_size(points)
+    centre = F.array(*[F.avg(F.col("xs")[i]) for i in range(dim)]).alias("centre")
+    centres = named.groupBy("grp", "part").agg(centre)
+    reach = named.join(centres, ["grp", "part"]).groupBy("grp", "part").agg(F.max(l2_distance(F.col("xs"), F.col("centre"))).alias("reach"))
+    one = (2 * F.col("reach") <= threshold * (1 - 1e-9)).alias("one")
+    parts = named.join(reach.select("grp", "part", one), ["grp", "part"]).select("grp", "xs", "part", "one")
+    return cut(points.select("grp", "pid", "xs").join(parts, ["grp", "xs"]))
+
+
+def _cut_tree(points: DataFrame, distance_threshold: float | None, n_clusters: int | None, rows: int | None, method: str) -> DataFrame:
+    """(grp, pid, comp) from the tree of merges, cut at a height or a number of clusters."""
     if method == "single":
         edges, nodes, distinct = spanning_trees(points, 0, rows)
     else:
