@@ -32,6 +32,7 @@ FANOUT_BITS = 3        # eight children per tree node
 CURVE_DIMS, CURVE_BITS = 6, 10
 SLACK = 1 + 1e-9       # rounding must never drop a pair that lies on the bound
 BOX_DIMS = 8           # vectors with more parts are told apart by pivots
+SHORT_DIMS = 3         # so short vectors are measured by coordinate at once
 PIVOTS, PIVOT_SAMPLE = 32, 2000  # the pivots are fitted on at most so many points
 ROUNDING = 1e-12       # relative error of a distance to a pivot, with room
 
@@ -352,7 +353,7 @@ def rough_squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     with np.errstate(over="ignore", invalid="ignore"):
         la, lb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
         off = 16 * (a.shape[1] + 8) * np.finfo(float).eps * (la + lb.max(initial=0.0))
-    if a.shape[1] <= BOX_DIMS or not np.isfinite(off).all():
+    if a.shape[1] <= SHORT_DIMS or not np.isfinite(off).all():
         return squared_distances(a, b), np.zeros(len(a))
     out = a @ b.T
     out *= -2.0

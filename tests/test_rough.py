@@ -6,11 +6,13 @@ import pytest
 from feedloom.operators import blocks, counting, hierarchy, knn, linkage, mst, silhouettes
 
 
-@pytest.fixture(scope="module", params=["spread", "grid", "far"])
+@pytest.fixture(scope="module", params=["spread", "grid", "far", "short"])
 def sides(request):
     rng = np.random.default_rng(3)
     if request.param == "spread":
         a, b = rng.normal(size=(200, 20)), rng.normal(size=(300, 20))
+    elif request.param == "short":
+        a, b = rng.normal(size=(200, 5)), rng.normal(size=(300, 5))
     elif request.param == "grid":  # many equal distances
         a, b = np.round(rng.normal(size=(200, 12))), np.round(rng.normal(size=(300, 12)))
     else:  # near points far from the origin: rough distances say little
