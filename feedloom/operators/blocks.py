@@ -35,6 +35,7 @@ BOX_DIMS = 8           # vectors with more parts are told apart by pivots
 SHORT_DIMS = 3         # so short vectors are measured by coordinate at once
 PIVOTS, PIVOT_SAMPLE = 32, 2000  # the pivots are fitted on at most so many points
 ROUNDING = 1e-12       # relative error of a distance to a pivot, with room
+TASKS_PER_CORE, ROWS_PER_TASK = 4, 16  # tasks that packed rows are dealt to, and rows of a task at most
 
 PACKED = ("grp string, block long, n int, dim int, ids array<string>, weights array<long>, xs array<double>, "
           "lo array<double>, hi array<double>, whole boolean")
@@ -327,6 +328,29 @@ def descend(seekers: DataFrame, levels: list[DataFrame], low: Column, keep: Colu
     return pairs.select("grp", F.col("a_block").alias("block"), F.col("parent").alias("other"))
 
 
+# --- how blocks come to tasks ---------------------------------------------------------------
+
+def task_count(rows: DataFrame, n: int, most: int = ROWS_PER_TASK) -> int:
+    """Tasks for `n` packed rows: some for each core, more where a task would take over `most` rows, which may come to Python at once."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(n, max(TASKS_PER_CORE * cores, -(-n // most))))
+
+
+def task_number(tasks: int) -> Column:
+    """Numbers that deal the rows of a stored table evenly to `tasks`; every part of it starts at another task."""
+    i = F.monotonically_increasing_id()
+    return F.pmod(i.bitwiseAND(F.lit(2**33 - 1)) + F.shiftright(i, 33) * 7, F.lit(tasks)).cast("int")
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """The rows of a stored table of blocks, dealt evenly to tasks.
+
+    A block takes little room and much work, so tasks told by bytes, as Spark tells them, would leave most cores idle.
+    """
+    tasks = task_count(rows, rows.count())
+    return rows if tasks == 1 else rows.withColumn("task", task_number(tasks)).repartitionById(tasks, "task").drop("task")
+
+
 # --- inside a task ------------------------------------------------------------------------
 
 def coords(batch: pa.RecordBatch, i: int, name: str, dim: int) -> np.ndarray:

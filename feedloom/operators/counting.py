@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import SLACK, bounds_of, coords, descend, rough_squares, squared_distances, squares_at, tree_levels, values
+from feedloom.operators.blocks import SLACK, bounds_of, coords, dealt, descend, rough_squares, squared_distances, squares_at, task_count, tree_levels, values
 from feedloom.session import cut
 
 STRIPE = 512        # rows whose distances are held at once
 EDGES = 16          # parts that an interval is cut into per round
 LISTED = 64         # distances of a point that are listed in the end
-PAIRS_PER_TASK = 64  # block pairs of one left block that one task works on
+PAIRS_PER_TASK = 16  # block pairs of one left block that one task works on
 
 
 def block_pairs(left: DataFrame, right: DataFrame, dim: int) -> DataFrame:
@@ -53,8 +53,10 @@ def spread(pairs: DataFrame) -> DataFrame:
 def opened(pairs: DataFrame, left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str]) -> DataFrame:
     """One row per pair with both sides; rows with one left block and slice follow each other."""
     b = right.select("grp", F.col("block").alias("other"), *[F.col(c).alias(f"o_{c}") for c in right_cols])
-    return spread(pairs.select("grp", "block", "other")).join(b, ["grp", "other"]).join(left.select("grp", "block", *left_cols), ["grp", "block"]) \
-        .repartition("grp", "block", "slice").sortWithinPartitions("grp", "block", "slice")
+    pairs = cut(spread(pairs.select("grp", "block", "other")))
+    tasks = task_count(pairs, pairs.count())
+    return pairs.join(b, ["grp", "other"]).join(left.select("grp", "block", *left_cols), ["grp", "block"]) \
+        .repartition(tasks, "grp", "block", "slice").sortWithinPartitions("grp", "block", "slice")
 
 
 def _weights_within(d: np.ndarray, radii: np.ndarray, weights: np.ndarray, below: np.ndarray | None = None) -> np.ndarray:
@@ -123,7 +125,9 @@ def _counted(m: int, squared: bool, ties: bool):
                     if block == other:  # a point is not counted for itself
                         d[np.arange(len(d)), last[part]] = np.inf
                     ties_at = None if below is None else below[part]
-                    if off.any():
+                    with np.errstate(over="ignore"):
+                        told = off.any() or np.isfinite(radii[part] * radii[part]).all()
+                    if told:
                         held[part] += _weights_about(a[part], b, d, off, radii[part], weights, squared, ties_at)
                     else:
                         held[part] += _weights_within(d if squared else np.sqrt(d), radii[part], weights, ties_at)
@@ -230,7 +234,7 @@ def narrowed_cores(parts: DataFrame, dim: int) -> DataFrame:
     capped = parts.join(groups, "grp").withColumn("k", F.least(F.col("k").cast("long"), F.col("total") - 1))
     capped = capped.withColumnsRenamed({"lo": "a_lo", "hi": "a_hi"}).withColumn("most", by.span("a_", "b_"))
     capped = cut(capped.select("grp", "block", "n", "dim", "xs", "weights", "k", "most", "whole", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi")))
-    reach = capped.select("grp", "block", "dim", "xs", "weights", "k").mapInArrow(_own_reach, "grp string, block long, reach array<double>")
+    reach = dealt(capped.select("grp", "block", "dim", "xs", "weights", "k")).mapInArrow(_own_reach, "grp string, block long, reach array<double>")
     points = capped.select("grp", "block", "k", "most", F.posexplode("weights").alias("pos", "weight")).join(
         reach.select("grp", "block", F.posexplode("reach").alias("pos", "reach")), ["grp", "block", "pos"])
     spare = F.col("weight") - 1

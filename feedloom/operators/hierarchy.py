@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    block_rows, bounds_of, coords, descend, pack, pack_told, rough_squares, squared_distances, squares_at, tree_levels, values,
+    block_rows, bounds_of, coords, dealt, descend, pack, pack_told, rough_squares, squared_distances, squares_at, tree_levels, values,
 )
 from feedloom.operators.counting import STRIPE
 from feedloom.operators.knn import pair_rows
@@ -150,10 +150,10 @@ def _ward_rounds(points: DataFrame, dim: int, rows: int | None) -> DataFrame:
     while True:
         blocks, many = pack_told(state, dim, rows)
         if not many:  # what is left of every group fits a block
-            merged.append(blocks.select("grp", "dim", "ids", "weights", "xs").mapInArrow(_whole_trees("ward"), TREE))
+            merged.append(dealt(blocks.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_whole_trees("ward"), TREE))
             break
         packed = cut(blocks.withColumn("w_lo", F.array_min("weights").cast("double")))
-        found = packed.select("grp", "dim", "ids", "weights", "xs").mapInArrow(_nearest_clusters(False), CHOICE)
+        found = dealt(packed.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_nearest_clusters(False), CHOICE)
         parts = packed.filter("NOT whole")
         found = cut(found)
         places = parts.select("grp", "block", F.explode("ids").alias("rid"))
@@ -202,5 +202,5 @@ def merge_tree(distinct: DataFrame, method: str, dim: int, rows: int | None = No
         raise ValueError(f"{method} linkage takes at most {limit} different points in a group")
     fits = sizes.filter(F.col("n") <= limit).select("grp")
     small = pack(distinct.join(fits, "grp", "left_semi"), dim, rows)
-    tree = small.select("grp", "dim", "ids", "weights", "xs").mapInArrow(_whole_trees(method), TREE)
+    tree = dealt(small.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_whole_trees(method), TREE)
     return cut(tree.unionByName(_ward_rounds(distinct.join(large, "grp", "left_semi"), dim, rows)) if many else tree)

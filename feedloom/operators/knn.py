@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    bounds_of, coords, descend, distinct_points, pack, rough_squares, squares_at, tree_levels, values,
+    ROWS_PER_TASK, bounds_of, coords, dealt, descend, distinct_points, pack, rough_squares, squares_at, task_count, task_number, tree_levels, values,
 )
 from feedloom.operators.counting import STRIPE, narrowed_cores
 from feedloom.operators.quantiles import weighted_quantile
@@ -105,20 +105,24 @@ def _across(k: int):
     return run
 
 
-def pair_rows(pairs: DataFrame, left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str]) -> DataFrame:
-    """One row per block pair with both packed sides; a row has bounded size."""
+def pair_rows(pairs: DataFrame, left: DataFrame, right: DataFrame, left_cols: list[str], right_cols: list[str],
+              most: int = ROWS_PER_TASK) -> DataFrame:
+    """One row per block pair with both packed sides; a row has bounded size.  Pairs are dealt evenly to tasks of `most` rows or fewer."""
+    pairs = cut(pairs.select("grp", "block", "other"))
+    tasks = task_count(pairs, pairs.count(), most)
+    pairs = pairs.withColumn("task", task_number(tasks))
     a = left.select("grp", "block", *left_cols)
     b = right.select("grp", F.col("block").alias("other"), *[F.col(c).alias(f"o_{c}") for c in right_cols])
-    return pairs.join(a, ["grp", "block"]).join(b, ["grp", "other"])
+    return pairs.join(a, ["grp", "block"]).join(b, ["grp", "other"]).repartitionById(tasks, "task").drop("task")
 
 
 def block_neighbours(blocks: DataFrame, k: int, dim: int) -> DataFrame:
     """(grp, block, pos, rid, nbr, nbr_weight, dist, rank): the k nearest distinct other points of each point."""
     base = blocks.select("grp", "block", "dim", "ids", "weights", "xs")
-    found = base.mapInArrow(_local(k), FOUND)
+    found = dealt(base).mapInArrow(_local(k), FOUND)
     parts = blocks.filter("NOT whole")
     if parts.head(1):
-        caps = parts.select("grp", "block", "dim", "xs").mapInArrow(_caps(k), "grp string, block long, caps array<double>")
+        caps = dealt(parts.select("grp", "block", "dim", "xs")).mapInArrow(_caps(k), "grp string, block long, caps array<double>")
         capped = cut(parts.join(caps, ["grp", "block"]))
         seekers = capped.select("grp", "block", "lo", "hi", F.array_max("caps").alias("bound"))
         by = bounds_of(capped, dim)
@@ -209,7 +213,7 @@ def _whole_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_cores(blocks: DataFrame, dim: int) -> DataFrame:
     """Blocks (with `k`, the sample number of their group) plus `cores`, aligned with `ids`."""
     shape = "grp string, block long, cores array<double>"
-    cores = blocks.filter("whole").select("grp", "block", "dim", "k", "xs", "weights").mapInArrow(_whole_cores, shape)
+    cores = dealt(blocks.filter("whole").select("grp", "block", "dim", "k", "xs", "weights")).mapInArrow(_whole_cores, shape)
     parts = blocks.filter("NOT whole")
     if parts.head(1):
         cores = cores.unionByName(narrowed_cores(parts, dim))

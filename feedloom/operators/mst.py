@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    bounds_of, coords, descend, distinct_points, pack, rough_squares, squared_distances, squares_at, tree_levels, values,
+    bounds_of, coords, dealt, descend, distinct_points, pack, rough_squares, squared_distances, squares_at, tree_levels, values,
 )
 from feedloom.operators.components import components
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size, with_cores
@@ -133,7 +133,7 @@ def _part_trees(parts: DataFrame, dim: int) -> DataFrame:
     tree, by = None, bounds_of(packed, dim)
     while True:
         now = cut(packed.join(comps, ["grp", "block"]).withColumn("c_lo", F.array_min("comps")).withColumn("c_hi", F.array_max("comps")))
-        inside = cut(now.select("grp", "dim", "ids", "xs", "cores", "comps").mapInArrow(_least_edges(False), CHOICE))
+        inside = cut(dealt(now.select("grp", "dim", "ids", "xs", "cores", "comps")).mapInArrow(_least_edges(False), CHOICE))
         known = inside.groupBy("grp", "comp").agg(F.min("w").alias("known"))
         bounds = now.select("grp", "block", F.explode(F.array_distinct("comps")).alias("comp")).join(
             known, ["grp", "comp"], "left"
@@ -176,7 +176,7 @@ def spanning_trees(points: DataFrame, min_samples: Column | int, rows: int | Non
     k = min_samples if isinstance(min_samples, Column) else F.lit(min_samples)
     blocks = pack(distinct, dim, rows).join(per_group.select("grp", k.cast("int").alias("k")), "grp")
     cored = cut(with_cores(blocks, dim))
-    edges = cored.filter("whole").select("grp", "dim", "ids", "xs", "cores").mapInArrow(_whole_trees, TREE)
+    edges = dealt(cored.filter("whole").select("grp", "dim", "ids", "xs", "cores")).mapInArrow(_whole_trees, TREE)
     parts = cored.filter("NOT whole")
     if parts.head(1):
         edges = edges.unionByName(_part_trees(parts, dim))
