@@ -24,12 +24,15 @@ from pyspark.sql import types as T
 from feedloom.functions.vectors import has_direction, unit
 from feedloom.operators.blocks import BOX_DIMS, SLACK, bounds_of, choose_pivots, coords, descend, pack, pack_told, tree_levels, values, with_extent
 from feedloom.operators.joined import enrich
+from feedloom.operators.knn import pair_rows
 from feedloom.operators.reports import first_per_group
 from feedloom.session import cut
 
 STRIPE = 64    # queries whose distances are held at once
 QUERIES_PER_SCAN = 1000  # queries of a block at most
 SCAN_ROWS, SCAN_VALUES = 32_768, 2_097_152  # vectors and numbers of a stored block at most: 16 MB
+PAIRS_PER_TASK = 4  # rows of two blocks that a task takes, so at most so many lie in its memory
+LISTED_ROWS = 16_384  # queries by lists that are handed on at once
 DIGITS = 12    # distances are told apart up to here, so that copies of a vector tie
 HITS = "query_id string, feedback_id string, distance double"
 
@@ -108,17 +111,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold:
     limit = rows or max(64, min(SCAN_ROWS, SCAN_VALUES // max(dim, 1)))
     stored, many = pack_told(vectors, dim, limit)
     asked = pack(queries, dim, min(limit, QUERIES_PER_SCAN))
-    left, right = asked.select("grp", "block", "dim", "ids", "xs"), stored.select(
-        "grp", F.col("block").alias("other"), F.col("ids").alias("o_ids"), F.col("xs").alias("o_xs"))
     compared = partial(_compared, k=k, threshold=threshold)
-    whole = left.join(right.join(stored.filter("whole").select("grp"), "grp", "left_semi"), "grp").mapInArrow(compared, HITS)
+
+    def met(pairs: DataFrame, left: DataFrame, *more: str) -> DataFrame:
+        return pair_rows(pairs, left, stored, ["dim", "ids", "xs", *more], ["ids", "xs"], PAIRS_PER_TASK).mapInArrow(compared, HITS)
+
+    alone = stored.filter("whole").select("grp", F.col("block").alias("other"))
+    whole = met(asked.select("grp", "block").join(alone, "grp"), asked)
     if not many:
         return whole
     parts = stored.filter("NOT whole")
     pivots = choose_pivots(vectors) if dim > BOX_DIMS else None  # those that `parts` were told apart by
     groups = parts.select("grp").distinct()
     asked = with_extent(asked.join(groups, "grp", "left_semi"), dim, pivots)
-    left = asked.select("grp", "block", "dim", "ids", "xs")
     by = bounds_of(parts, dim)
     far = F.lit(float("inf")) if threshold is None else _reach(F.lit(float(threshold)))
     seekers = asked.select("grp", "block", "lo", "hi", far.alias("bound"))
@@ -129,7 +134,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold:
     told = pairs.join(a, ["grp", "block"]).join(b, ["grp", "other"]).select("grp", "block", "other", by.gap("a_", "b_").alias("low"), by.span("a_", "b_").alias("span"))
     told = cut(told)
     first = told.groupBy("grp", "block").agg(F.min(F.struct("low", "span", "other")).alias("f")).select("grp", "block", F.col("f.other").alias("other"))
-    found = cut(first.join(left, ["grp", "block"]).join(right, ["grp", "other"]).mapInArrow(compared, HITS))
+    found = cut(met(first, asked))
     # k rows per group that holds the query
     last = found.groupBy(F.col("query_id").alias("rid")).agg(F.get(F.sort_array(F.collect_list("distance")), F.lit(k - 1)).alias("limit"))
     if threshold is not None:
@@ -139,8 +144,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, k: int, threshold:
     limits = cut(limits)
     bound = limits.select("grp", "block", _reach(F.array_max("limits")).alias("bound"))
     rest = told.join(first, ["grp", "block", "other"], "left_anti").join(bound, ["grp", "block"]).filter(F.col("low") <= F.col("bound"))
-    more = rest.select("grp", "block", "other").join(left.join(limits, ["grp", "block"]), ["grp", "block"]).join(right, ["grp", "other"])
-    return whole.unionByName(found).unionByName(more.mapInArrow(compared, HITS))
+    return whole.unionByName(found).unionByName(met(rest, asked.join(limits, ["grp", "block"]), "limits"))
 
 
 def vector_length(queries: DataFrame) -> int | None:
@@ -261,8 +265,10 @@ def _probed(centres: np.ndarray, probes: int | None, radii: np.ndarray | None =
             else:
                 lists = nearest_[:, :probes].ravel()
                 rows = np.repeat(np.arange(len(x)), min(probes, len(centres)))
-            taken = batch.select(["rid", "xs"]).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), taken.column("rid"), taken.column("xs")], ["list_id", "rid", "xs"])
+            for start in range(0, len(rows), LISTED_ROWS):
+                some = slice(start, start + LISTED_ROWS)
+                taken = batch.select(["rid", "xs"]).take(pa.array(rows[some]))
+                yield pa.RecordBatch.from_arrays([pa.array(lists[some].astype(np.int32)), taken.column("rid"), taken.column("xs")], ["list_id", "rid", "xs"])
 
     return run
 
