@@ -34,6 +34,7 @@ SLACK = 1 + 1e-9       # rounding must never drop a pair that lies on the bound
 BOX_DIMS = 8           # vectors with more parts are told apart by pivots
 SHORT_DIMS = 3         # so short vectors are measured by coordinate at once
 PIVOTS, PIVOT_SAMPLE = 32, 2000  # the pivots are fitted on at most so many points
+STRIPE_VALUES = 2_097_152  # distances that a task holds at once
 ROUNDING = 1e-12       # relative error of a distance to a pivot, with room
 TASKS_PER_CORE, ROWS_PER_TASK = 4, 16  # tasks that packed rows are dealt to, and rows of a task at most
 
@@ -78,8 +79,14 @@ def _curve_key(dim: int) -> Column:
 
 def choose_pivots(points: DataFrame, pivots: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> np.ndarray:
     """Centres of a bounded sample of (rid, xs), the points with the least hashes.  Any choice gives right results."""
-    rows = points.orderBy(F.xxhash64("rid"), "rid").limit(sample).select("xs").collect()
-    x = np.array([r.xs for r in rows], float)
+    def least(rows: DataFrame) -> list:
+        return rows.orderBy(F.xxhash64("rid"), "rid").limit(sample).select("xs").collect()
+
+    n = points.count()
+    rows = []
+    if n > 4 * sample:  # every task sends its least rows, so they are thinned by the hash to about twice the sample first
+        rows = least(points.filter(F.xxhash64("rid") < int(2**64 * (2 * sample + 200) / n) - 2**63))
+    x = np.array([r.xs for r in rows or least(points)], float)
     if not len(x):
         return np.zeros((1, 1))
     centres = [x[0]]
@@ -353,6 +360,12 @@ def dealt(rows: DataFrame) -> DataFrame:
 
 # --- inside a task ------------------------------------------------------------------------
 
+def stripes(n: int, columns: int) -> Iterator[slice]:
+    """Slices of `n` rows whose distances to `columns` points are held at once, as many as a stripe of a block has."""
+    step = max(1, STRIPE_VALUES // max(columns, BLOCK_ROWS))
+    return (slice(start, min(start + step, n)) for start in range(0, n, step))
+
+
 def coords(batch: pa.RecordBatch, i: int, name: str, dim: int) -> np.ndarray:
     return np.asarray(batch.column(name)[i].values.to_numpy(zero_copy_only=False)).reshape(-1, dim)
 
@@ -388,6 +401,9 @@ def rough_squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def squares_at(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """`squared_distances` of some places, to the last bit."""
+    if a.shape[1] and len(rows) <= BLOCK_ROWS // 16:  # few places at once: running sums add in the same order
+        gap = a[rows] - b[cols]
+        return np.add.accumulate(gap * gap, axis=1)[:, -1]
     out = np.zeros(len(rows))
     for j in range(a.shape[1]):
         out += (a[rows, j] - b[cols, j]) ** 2

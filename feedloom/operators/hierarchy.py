@@ -3,9 +3,10 @@
 A merge tree has one edge per merge: (grp, u, v, w), u and v being the least ids of the two clusters and w the height at
 which they meet.  Cut like a spanning tree, it gives the clusters at a height or a number of clusters.
 
-Groups that fit one block take nearest-neighbour chains over their distance matrix, in one task.  Larger groups are merged by Ward's
-linkage in rounds: all pairs of clusters that are each other's nearest merge at once, which gives the same tree as
-one merge at a time.  A cluster is its centre and weight there, so a round compares blocks of centres and moves no members.
+Groups that fit one block take nearest-neighbour chains over their distance matrix, in one task.  By Ward's linkage a cluster is its
+centre and weight, so groups up to `CHAIN_ROWS` take these chains over their centres, without a matrix.  Larger groups are merged in
+rounds until they are so small: all pairs of clusters that are each other's nearest merge at once, which gives the same tree as
+one merge at a time.  A round compares blocks of centres and moves no members.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    block_rows, bounds_of, coords, dealt, descend, pack, pack_told, rough_squares, squared_distances, squares_at, tree_levels, values,
+    block_rows, bounds_of, coords, dealt, descend, pack, rough_squares, squared_distances, squares_at, stripes, tree_levels, values,
 )
 from feedloom.operators.counting import STRIPE
 from feedloom.operators.knn import pair_rows
@@ -26,6 +27,7 @@ from feedloom.session import cut
 
 TREE = "grp string, u string, v string, w double"
 METHODS = ("ward", "average", "complete")
+CHAIN_ROWS, CHAIN_VALUES = 32_768, 2_097_152  # centres, and their coordinates, that one task takes chains over
 
 
 def chain_merges(x: np.ndarray, weights: np.ndarray, method: str) -> list[tuple[int, int, float]]:
@@ -70,12 +72,80 @@ def chain_merges(x: np.ndarray, weights: np.ndarray, method: str) -> list[tuple[
     return merges
 
 
-def _whole_trees(method: str):
+def chain_rows(dim: int, limit: int | None = None) -> int:
+    return limit or max(block_rows(dim), min(CHAIN_ROWS, CHAIN_VALUES // max(dim, 1)))
+
+
+def centre_merges(x: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, float]]:
+    """`chain_merges` of Ward's linkage from centres and weights; what is held grows with the points, not with their pairs.
+
+    No merge brings clusters nearer to a third one, so the nearest cluster of a row stays known until one of the two merges.
+    """
+    x, weight = np.array(x, float), weights.astype(float)
+    n, dim = x.shape
+    square = np.einsum("ij,ij->i", x, x)
+    near, far = np.zeros(n, int), np.zeros(n)
+    for part in stripes(n, n):
+        near[part], far[part] = _least_ward(x[part], x, weight[part], weight, np.arange(n)[part])
+    place, open_ = np.arange(n), np.ones(n, bool)
+    age, seen = np.zeros(n, int), np.zeros(n, int)  # merges of a row, and those of its nearest when that was found
+    left, merges, chain = n, [], []
+
+    def look(i: int) -> None:
+        rise = 2 * weight[i] * weight / (weight[i] + weight)
+        with np.errstate(over="ignore", invalid="ignore"):
+            room = 32 * weight[i] * (dim + 8) * np.finfo(float).eps * (square[i] + square.max())
+        if np.isfinite(room):
+            d = ((x @ x[i]) * -2.0 + square + square[i]) * rise
+        else:
+            d, room = squared_distances(x[i:i + 1], x)[0] * rise, 0.0
+        d[i] = np.inf
+        d[~open_] = np.inf
+        least = d.min()
+        cols = np.flatnonzero((d <= least + 1e-14 * abs(least) + 2 * room) & open_)
+        cols = cols[cols != i]
+        exact = squares_at(x[i:i + 1], x, np.zeros(len(cols), int), cols) * rise[cols]
+        first = int(exact.argmin())
+        near[i], far[i], seen[i] = cols[first], exact[first], age[cols[first]]
+
+    while left > 1:
+        if left < 0.75 * len(x):  # rows of clusters that are gone are dropped now and then
+            new = np.where(open_, np.cumsum(open_) - 1, -1)
+            x, weight, square, place, age = x[open_], weight[open_], square[open_], place[open_], age[open_]
+            near, far, seen = np.where(near < 0, -1, new[near])[open_], far[open_], seen[open_]
+            chain, open_ = [int(new[c]) for c in chain], np.ones(left, bool)
+        if not chain:
+            chain = [int(open_.argmax())]
+        while True:
+            at = chain[-1]
+            if near[at] < 0 or not open_[near[at]] or age[near[at]] != seen[at]:
+                look(at)
+            if len(chain) > 1:
+                i, j = at, chain[-2]
+                height = float((squares_at(x, x, np.array([i]), np.array([j])) * (2 * weight[i] * weight[j] / (weight[i] + weight[j])))[0])
+                if height <= far[at]:
+                    break
+            chain.append(int(near[at]))
+        i, j = sorted((chain.pop(), chain.pop()))
+        merges.append((int(place[i]), int(place[j]), float(np.sqrt(height))))
+        total = weight[i] + weight[j]
+        x[i] = (x[i] * weight[i] + x[j] * weight[j]) / total
+        square[i], weight[i] = x[i] @ x[i], total
+        open_[j], near[i] = False, -1
+        age[i] += 1
+        left -= 1
+    return merges
+
+
+def _whole_trees(method: str, most: int):
+    """Trees of whole groups; by Ward's linkage those above `most` points take no matrix."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, weights = values(batch, i, "ids"), values(batch, i, "weights")
-                merges = chain_merges(coords(batch, i, "xs", batch.column("dim")[i].as_py()), weights, method)
+                x = coords(batch, i, "xs", batch.column("dim")[i].as_py())
+                merges = centre_merges(x, weights) if method == "ward" and len(x) > most else chain_merges(x, weights, method)
                 if merges:
                     u, v, w = zip(*merges)
                     yield pa.RecordBatch.from_arrays([pa.array([batch.column("grp")[i].as_py()] * len(w), pa.string()), pa.array(ids[list(u)], pa.string()),
@@ -146,13 +216,16 @@ def _nearest_clusters(across: bool):
 
 def _ward_rounds(points: DataFrame, dim: int, rows: int | None) -> DataFrame:
     """(grp, u, v, w) of groups of any size; `points` has (grp, rid, weight, xs)."""
-    state, merged = cut(points.select("grp", "rid", "weight", "xs")), []
+    state, merged, limit = cut(points.select("grp", "rid", "weight", "xs")), [], chain_rows(dim, rows)
     while True:
-        blocks, many = pack_told(state, dim, rows)
-        if not many:  # what is left of every group fits a block
-            merged.append(dealt(blocks.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_whole_trees("ward"), TREE))
-            break
-        packed = cut(blocks.withColumn("w_lo", F.array_min("weights").cast("double")))
+        sizes = cut(state.groupBy("grp").agg(F.count("*").alias("n")))
+        fits = sizes.filter(F.col("n") <= limit).select("grp")
+        if fits.head(1):  # what is left of these groups is finished in a task each
+            merged.append(_chained(state.join(fits, "grp", "left_semi"), "ward", dim, rows, limit))
+            state = cut(state.join(fits, "grp", "left_anti"))
+            if not state.head(1):
+                break
+        packed = cut(pack(state, dim, rows).withColumn("w_lo", F.array_min("weights").cast("double")))
         found = dealt(packed.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_nearest_clusters(False), CHOICE)
         parts = packed.filter("NOT whole")
         found = cut(found)
@@ -185,6 +258,12 @@ def _ward_rounds(points: DataFrame, dim: int, rows: int | None) -> DataFrame:
     return tree
 
 
+def _chained(points: DataFrame, method: str, dim: int, rows: int | None, limit: int) -> DataFrame:
+    """(grp, u, v, w) of groups of at most `limit` points, one task each."""
+    whole = pack(points, dim, limit)
+    return dealt(whole.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_whole_trees(method, block_rows(dim, rows)), TREE)
+
+
 def merge_tree(distinct: DataFrame, method: str, dim: int, rows: int | None = None) -> DataFrame:
     """(grp, u, v, w) over the distinct points (grp, rid, weight, xs); a copy counts by its weight.
 
@@ -194,13 +273,12 @@ def merge_tree(distinct: DataFrame, method: str, dim: int, rows: int | None = No
     """
     if method not in METHODS:
         raise ValueError(f"unknown linkage: {method}")
-    limit = block_rows(dim, rows)
+    limit = chain_rows(dim, rows) if method == "ward" else block_rows(dim, rows)
     sizes = cut(distinct.groupBy("grp").agg(F.count("*").alias("n")))
     large = sizes.filter(F.col("n") > limit).select("grp")
     many = large.head(1)
     if many and method != "ward":
         raise ValueError(f"{method} linkage takes at most {limit} different points in a group")
     fits = sizes.filter(F.col("n") <= limit).select("grp")
-    small = pack(distinct.join(fits, "grp", "left_semi"), dim, rows)
-    tree = dealt(small.select("grp", "dim", "ids", "weights", "xs")).mapInArrow(_whole_trees(method), TREE)
+    tree = _chained(distinct.join(fits, "grp", "left_semi"), method, dim, rows, limit)
     return cut(tree.unionByName(_ward_rounds(distinct.join(large, "grp", "left_semi"), dim, rows)) if many else tree)

@@ -83,3 +83,31 @@ def test_chain_heights():
     for method in hierarchy.METHODS:
         got = sorted(w for _, _, w in hierarchy.chain_merges(x, np.ones(60, int), method))
         assert np.allclose(got, np.sort(brute(x, method)[1]))
+
+
+@pytest.mark.parametrize("n, dim", [(300, 3), (260, 20)])
+def test_chains_over_centres_give_the_tree_of_the_matrix(n, dim):
+    rng = np.random.default_rng(n)
+    x, weights = rng.normal(size=(n, dim)), rng.integers(1, 4, n)
+    want, got = hierarchy.chain_merges(x, weights, "ward"), hierarchy.centre_merges(x, weights)
+    assert sorted(m[:2] for m in got) == sorted(m[:2] for m in want)
+    assert np.allclose(sorted(m[2] for m in got), sorted(m[2] for m in want))
+
+
+def test_chains_over_centres_of_a_grid():
+    """Many equal distances: every cluster is merged once, along a tree."""
+    x = np.array([(i % 8, i // 8) for i in range(64)], float)
+    merges = hierarchy.centre_merges(x, np.ones(64, int))
+    assert len({gone for _, gone, _ in merges}) == 63 and len(hierarchy.centre_merges(x[:1], np.ones(1, int))) == 0
+    assert sum(h * h for _, _, h in merges) / 2 == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
+
+
+def test_groups_above_a_block_are_merged_in_one_task(spark, monkeypatch):
+    """Ward's linkage needs no rounds where the centres of a group fit a task."""
+    rng = np.random.default_rng(5)
+    points = make(spark, {"a": np.concatenate([c + rng.normal(size=(40, 3)) * 0.1 for c in ((0, 0, 0), (5, 0, 0), (0, 5, 0))])})
+    want = parts(linkage.agglomerative(points, n_clusters=3, method="ward"))
+    monkeypatch.setattr(hierarchy, "block_rows", lambda dim, limit=None: limit or 24)
+    monkeypatch.setattr(hierarchy, "_ward_rounds", None)
+    assert parts(linkage.agglomerative(points, n_clusters=3, method="ward")) == want
+    assert {len(c) for c in want["a"]} == {40}
