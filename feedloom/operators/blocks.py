@@ -127,18 +127,20 @@ def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.array([values], pa.list_(kind))
 
 
-def pack(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None) -> DataFrame:
+def pack(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None, most_whole: int = 0) -> DataFrame:
     """Blocks of the distinct points, written once.  `whole` marks a block that is its entire group."""
-    return pack_told(distinct, dim, rows, pivots)[0]
+    return pack_told(distinct, dim, rows, pivots, most_whole)[0]
 
 
-def pack_told(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None) -> tuple[DataFrame, bool]:
+def pack_told(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np.ndarray | None = None,
+              most_whole: int = 0) -> tuple[DataFrame, bool]:
     """`pack`, and whether there is any group of several blocks.  `pivots` may be given, so that several tables share them.
 
-    Small groups are gathered by a plain group-by of at most `rows` points.  Larger ones are
+    Small groups are gathered by a plain group-by of at most `rows` points, or `most_whole` if that is more.  Larger ones are
     sorted across the cluster by range partitioning and cut as the rows stream by.
     """
     limit = block_rows(dim, rows)
+    whole = max(limit, most_whole)
     counts = distinct.groupBy("grp").agg(F.count("*").alias("n"))
     most = counts.agg(F.max("n")).head()[0] or 0
 
@@ -148,7 +150,7 @@ def pack_told(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np
         return packed.select("grp", F.lit(0).cast("long").alias("block"), F.size("p").alias("n"), F.lit(dim).alias("dim"), F.col("p.rid").alias("ids"),
                              F.col("p.weight").alias("weights"), F.flatten("p.xs").alias("xs"), none.alias("lo"), none.alias("hi"), F.lit(True).alias("whole"))
 
-    if most <= limit:
+    if most <= whole:
         return cut(gathered(distinct)), False
     if dim > BOX_DIMS and pivots is None:
         pivots = choose_pivots(distinct)
@@ -162,8 +164,8 @@ def pack_told(distinct: DataFrame, dim: int, rows: int | None = None, pivots: np
         F.array(*[F.min(F.col("xs")[i]) for i in range(min(dim, CURVE_DIMS))]).alias("mins"),
         F.array(*[F.max(F.col("xs")[i]) for i in range(min(dim, CURVE_DIMS))]).alias("maxs"),
     ))
-    small = gathered(distinct.join(sizes.filter(F.col("n") <= limit).select("grp"), "grp", "left_semi"))
-    keyed = distinct.join(sizes.filter(F.col("n") > limit), "grp").select(
+    small = gathered(distinct.join(sizes.filter(F.col("n") <= whole).select("grp"), "grp", "left_semi"))
+    keyed = distinct.join(sizes.filter(F.col("n") > whole), "grp").select(
         "grp", "rid", "weight", "xs", *([_curve_key(dim).alias("key"), F.lit(0.0).alias("near")] if pivots is None else []))
     if pivots is not None:
         keyed = keyed.mapInArrow(_by_pivots(pivots), "grp string, rid string, weight long, xs array<double>, key long, near double")

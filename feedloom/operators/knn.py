@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    ROWS_PER_TASK, bounds_of, coords, dealt, descend, distinct_points, pack, rough_squares, squares_at, task_count, task_number, tree_levels, values,
+    ROWS_PER_TASK, bounds_of, coords, dealt, descend, distinct_points, pack, rough_squares, squares_at, stripes, task_count, task_number, tree_levels, values,
 )
 from feedloom.operators.counting import STRIPE, narrowed_cores
 from feedloom.operators.quantiles import weighted_quantile
@@ -26,12 +26,12 @@ def _nearest(queries: np.ndarray, targets: np.ndarray, k: int, own: bool, cap: n
     the diagonal.  `cap` keeps distances up to a bound per row.  Rough distances tell which
     targets may be among the k nearest; these are measured again.
     """
-    for start in range(0, len(queries), STRIPE):
-        part = queries[start:start + STRIPE]
+    for here in stripes(len(queries), len(targets)):
+        part, start = queries[here], here.start
         d, off = rough_squares(part, targets)
         if own:
             d[np.arange(len(d)), np.arange(start, start + len(d))] = np.inf
-        most = np.full(len(d), np.inf) if cap is None else (cap[start:start + STRIPE] ** 2) * (1 + 1e-9)
+        most = np.full(len(d), np.inf) if cap is None else (cap[here] ** 2) * (1 + 1e-9)
         mask = (d <= (most + off)[:, None]) & np.isfinite(d)
         if d.shape[1] > k and np.count_nonzero(mask) > 4 * k * len(d):
             edge = np.partition(d, k - 1, axis=1)[:, k - 1]

@@ -1,6 +1,6 @@
 """Minimum spanning trees under mutual reachability, one per group.
 
-A group inside one block gets its tree in one task.  Larger groups take rounds: every
+A group inside one block, or of up to `WHOLE_ROWS` short vectors, gets its tree in one task.  Larger groups take rounds: every
 component finds its least outgoing edge among the block pairs that can hold it, all chosen
 edges join the tree, and components merge.  Edges are ordered by (weight, lesser id,
 greater id), so equal weights cannot close a cycle.
@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    bounds_of, coords, dealt, descend, distinct_points, pack, rough_squares, squared_distances, squares_at, tree_levels, values,
+    BOX_DIMS, bounds_of, coords, dealt, descend, distinct_points, pack, rough_squares, squared_distances, squares_at, tree_levels, values,
 )
 from feedloom.operators.components import components
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size, with_cores
 from feedloom.session import cut
 
 TREE = "grp string, u string, v string, w double"
+WHOLE_ROWS, WHOLE_VALUES = 32_768, 98_304  # short vectors, and their coordinates, that one task makes a tree of
 CHOICE = "grp string, comp string, w double, lo string, hi string, other string"
 
 
@@ -30,22 +31,27 @@ def prim(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray,
     """Tree edges (from, to, weight) of one block, distances row by row; ties in the order of (weight, lesser id, greater id)."""
     n = len(x)
     rank = np.argsort(np.argsort(ids))
-    best, source = np.full(n, np.inf), np.zeros(n, dtype=int)
+    place, best, source = np.arange(n), np.full(n, np.inf), np.zeros(n, dtype=int)
     low, high = np.full(n, n), np.full(n, n)
     open_ = np.ones(n, dtype=bool)
     u, v, w = np.zeros(n - 1, dtype=int), np.zeros(n - 1, dtype=int), np.zeros(n - 1)
-    at = 0
+    at, left = 0, n
     for i in range(n - 1):
         open_[at] = False
-        step = np.maximum(np.sqrt(squared_distances(x[at:at + 1], x)[0]), np.maximum(core, core[at]))
-        lesser, greater = np.minimum(rank, rank[at]), np.maximum(rank, rank[at])
+        left -= 1
+        point, reach, mine, here = x[at:at + 1], core[at], rank[at], place[at]
+        if left < 0.75 * len(x):  # points that the tree has reached are dropped now and then
+            x, core, rank, place, best, source, low, high = (a[open_] for a in (x, core, rank, place, best, source, low, high))
+            open_ = np.ones(left, dtype=bool)
+        step = np.maximum(np.sqrt(squared_distances(point, x)[0]), np.maximum(core, reach))
+        lesser, greater = np.minimum(rank, mine), np.maximum(rank, mine)
         tied = (step == best) & ((lesser < low) | ((lesser == low) & (greater < high)))
         better = open_ & ((step < best) | tied)
-        best[better], source[better] = step[better], at
+        best[better], source[better] = step[better], here
         low[better], high[better] = lesser[better], greater[better]
         due = np.flatnonzero(open_ & (best == best[open_].min()))
         at = int(due[np.lexsort((high[due], low[due]))[0]])
-        u[i], v[i], w[i] = source[at], at, best[at]
+        u[i], v[i], w[i] = source[at], place[at], best[at]
     return u, v, w
 
 
@@ -174,7 +180,8 @@ def spanning_trees(points: DataFrame, min_samples: Column | int, rows: int | Non
     distinct = cut(distinct_points(points))
     per_group = distinct.groupBy("grp").agg(F.sum("weight").alias("n_points"))
     k = min_samples if isinstance(min_samples, Column) else F.lit(min_samples)
-    blocks = pack(distinct, dim, rows).join(per_group.select("grp", k.cast("int").alias("k")), "grp")
+    most_whole = min(WHOLE_ROWS, WHOLE_VALUES // max(dim, 1)) if rows is None and dim <= BOX_DIMS else 0
+    blocks = pack(distinct, dim, rows, most_whole=most_whole).join(per_group.select("grp", k.cast("int").alias("k")), "grp")
     cored = cut(with_cores(blocks, dim))
     edges = dealt(cored.filter("whole").select("grp", "dim", "ids", "xs", "cores")).mapInArrow(_whole_trees, TREE)
     parts = cored.filter("NOT whole")
