@@ -15,13 +15,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.blocks import SLACK, bounds_of, coords, dealt, descend, rough_squares, squared_distances, squares_at, task_count, tree_levels, values
+from feedloom.operators.blocks import (
+    SLACK, STRIPE_VALUES, bounds_of, coords, dealt, descend, rough_squares, squared_distances, squares_at, task_count, tree_levels, values,
+)
 from feedloom.session import cut
 
 STRIPE = 512        # rows whose distances are held at once
 EDGES = 16          # parts that an interval is cut into per round
 LISTED = 64         # distances of a point that are listed in the end
 PAIRS_PER_TASK = 16  # block pairs of one left block that one task works on
+SORTED_COLUMNS = 1024  # of so many columns those between the radii of a row are sorted
 
 
 def block_pairs(left: DataFrame, right: DataFrame, dim: int) -> DataFrame:
@@ -77,6 +80,7 @@ def _weights_about(a: np.ndarray, b: np.ndarray, d: np.ndarray, off: np.ndarray,
     """`_weights_within` from rough squares that may be `off`: what lies next to a radius is measured again.
 
     Columns nearer than all radii of a row are added up and those beyond all are left out; only those between meet each radius.
+    Where they are many, they are sorted per row instead, so that their number does not count per radius.
     """
     ends = radii if squared else np.where(radii < 0, -1.0, radii * radii)
     low, high = ends.min(axis=1), ends.max(axis=1)
@@ -84,22 +88,60 @@ def _weights_about(a: np.ndarray, b: np.ndarray, d: np.ndarray, off: np.ndarray,
     sure = d <= (low - 2 * slack)[:, None]
     base = np.count_nonzero(sure, axis=1) if bool((weights == 1).all()) else sure @ weights
     out = np.repeat(base.astype(np.int64)[:, None], radii.shape[1], axis=1)
-    rows, cols = np.nonzero((d <= (high + 2 * slack)[:, None]) & ~sure)
+    open_ = (d <= (high + 2 * slack)[:, None]) & ~sure
+    if d.shape[1] >= SORTED_COLUMNS and np.count_nonzero(open_) * radii.shape[1] > d.size and np.isfinite(high).all():
+        for rows, cols, near_to in _add_sorted(out, open_, d, ends, slack, weights):
+            _add_measured(out, a, b, rows, cols, near_to, radii, weights, squared, below)
+        return out
+    rows, cols = np.nonzero(open_)
     near, room, weight = d[rows, cols], slack[rows], weights[cols]
     for j in range(radii.shape[1]):
         gap = near - ends[rows, j]
         inside = gap < -room
         close = np.flatnonzero(np.abs(gap) <= room)
-        if len(close):
-            at, to = rows[close], cols[close]
-            exact = squares_at(a, b, at, to)
-            exact = exact if squared else np.sqrt(exact)
-            r = radii[at, j]
-            inside[close] = exact <= r if below is None else (exact < r) | ((exact == r) & (to < below[at, j]))
         out[:, j] += np.bincount(rows[inside], weights=weight[inside], minlength=len(d)).astype(np.int64)
+        _add_measured(out, a, b, rows[close], cols[close], np.full(len(close), j), radii, weights, squared, below)
     return out
 
 
+def _add_sorted(out: np.ndarray, open_: np.ndarray, d: np.ndarray, ends: np.ndarray, slack: np.ndarray,
+                weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Add the weight of the open columns that surely lie within each radius; yields (row, column, radius) of those next to one."""
+    m = ends.shape[1]
+    # a radius less its room, and just above a radius with its room: what is sorted in between is next to it
+    keys = np.concatenate([ends - slack[:, None], np.nextafter(ends + slack[:, None], np.inf)], axis=1)
+    plain, places_of = bool((weights == 1).all()), np.arange(m)
+    held, n_held = [], 0
+    for i in np.flatnonzero(open_.any(axis=1)):
+        at = np.flatnonzero(open_[i])
+        near = d[i, at]
+        order = near.argsort()
+        places = near[order].searchsorted(keys[i])
+        first, more = places[:m], places[m:] - places[:m]
+        out[i] += first if plain else np.append(0, np.cumsum(weights[at[order]]))[first]
+        n = int(more.sum())
+        if n:
+            found = order[np.arange(n) + np.repeat(first - np.cumsum(more) + more, more)]
+            held.append((np.full(n, i), at[found], np.repeat(places_of, more)))
+            n_held += n
+            if n_held >= STRIPE_VALUES // 2:
+                yield tuple(np.concatenate(part) for part in zip(*held))
+                held, n_held = [], 0
+    if held:
+        yield tuple(np.concatenate(part) for part in zip(*held))
+
+
+def _add_measured(out: np.ndarray, a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray, near_to: np.ndarray,
+                  radii: np.ndarray, weights: np.ndarray, squared: bool, below: np.ndarray | None) -> None:
+    """Add the weight of the columns that, measured, lie within the radius each is next to."""
+    if len(rows):
+        exact = squares_at(a, b, rows, cols)
+        exact = exact if squared else np.sqrt(exact)
+        r = radii[rows, near_to]
+        inside = exact <= r if below is None else (exact < r) | ((exact == r) & (cols < below[rows, near_to]))
+        np.add.at(out, (rows[inside], near_to[inside]), weights[cols[inside]])
+
+
 def _counted(m: int, squared: bool, ties: bool):
     """Counts of the rows of one left block, added over the pairs that follow each other."""
 
