@@ -401,6 +401,16 @@ def rough_squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, off
 
 
+def box_squares(points: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Per point its squared distance to the box around the others, summed like `squared_distances`, so never more than one of those."""
+    out = np.zeros(len(points))
+    if len(others):
+        with np.errstate(over="ignore", invalid="ignore"):
+            for x, low, high in zip(points.T, others.min(axis=0), others.max(axis=0)):
+                out += np.maximum(np.maximum(low - x, x - high), 0.0) ** 2
+    return out
+
+
 def squares_at(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """`squared_distances` of some places, to the last bit."""
     if a.shape[1] and len(rows) <= BLOCK_ROWS // 16:  # few places at once: running sums add in the same order

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.blocks import (
-    SLACK, STRIPE_VALUES, bounds_of, coords, dealt, descend, rough_squares, squared_distances, squares_at, task_count, tree_levels, values,
+    SLACK, STRIPE_VALUES, bounds_of, box_squares, coords, dealt, descend, rough_squares, squared_distances, squares_at, task_count, tree_levels, values,
 )
 from feedloom.session import cut
 
@@ -161,8 +161,13 @@ def _counted(m: int, squared: bool, ties: bool):
                 below = None
                 if ties:  # of the right block's sorted ids, how many are less than the tied one
                     below = np.searchsorted(values(batch, i, "o_ids").astype(str), values(batch, i, "tied").astype(str)).reshape(-1, m)
-                for start in range(0, len(a), STRIPE):
-                    part = slice(start, start + STRIPE)
+                rows = np.arange(len(a))
+                if block != other:  # points that are farther from the other block's box than all their radii count nothing there
+                    with np.errstate(over="ignore"):
+                        most = radii.max(axis=1) if squared else radii.max(axis=1) * np.abs(radii.max(axis=1)) * SLACK
+                    rows = np.flatnonzero(~(box_squares(a, b) > most))
+                for start in range(0, len(rows), STRIPE):
+                    part = rows[start:start + STRIPE]
                     d, off = rough_squares(a[part], b)
                     if block == other:  # a point is not counted for itself
                         d[np.arange(len(d)), last[part]] = np.inf
@@ -234,8 +239,9 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block, other = batch.column("block")[i].as_py(), batch.column("other")[i].as_py()
             a, b = coords(batch, i, "xs", dim), coords(batch, i, "o_xs", dim)
             lo, hi, pos, weights = (values(batch, i, c) for c in ("lo", "hi", "pos", "o_weights"))
-            for start in range(0, len(a), STRIPE):
-                part = slice(start, start + STRIPE)
+            near = np.arange(len(a)) if block == other else np.flatnonzero(~(box_squares(a, b) > hi * np.abs(hi) * SLACK))
+            for start in range(0, len(near), STRIPE):
+                part = near[start:start + STRIPE]
                 d, off = rough_squares(a[part], b)
                 if block == other:
                     d[np.arange(len(d)), pos[part]] = np.inf

@@ -20,7 +20,7 @@ from feedloom.operators.components import components
 from feedloom.operators.leaftree import LOCAL_MERGES, leaf_clusters
 from feedloom.session import cut
 
-LOCAL_EDGES = 100_000   # a tree with fewer edges is condensed inside one task
+LOCAL_EDGES = 1_048_576  # a tree with fewer edges is condensed inside one task
 LOCAL_LEAVES = 1_000    # a tree over fewer leaf clusters is worked off inside one task
 LEAST_WEIGHT = 1e-12    # a zero distance counts as this, so that densities stay finite
 

@@ -20,6 +20,7 @@ from feedloom.operators.blocks import (
 )
 from feedloom.operators.components import components
 from feedloom.operators.knn import STRIPE, pair_rows, vector_size, with_cores
+from feedloom.operators.seeded import SEEDED_ROWS, SEEDED_VALUES, seeded_trees
 from feedloom.session import cut
 
 TREE = "grp string, u string, v string, w double"
@@ -168,6 +169,10 @@ def _part_trees(parts: DataFrame, dim: int) -> DataFrame:
     return tree
 
 
+def _seeded(parts: DataFrame, dim: int) -> DataFrame:
+    return seeded_trees(parts, dim, TREE)
+
+
 def spanning_trees(points: DataFrame, min_samples: Column | int, rows: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(edges, nodes, distinct): the tree over distinct points of each group.
 
@@ -185,8 +190,11 @@ def spanning_trees(points: DataFrame, min_samples: Column | int, rows: int | Non
     cored = cut(with_cores(blocks, dim))
     edges = dealt(cored.filter("whole").select("grp", "dim", "ids", "xs", "cores")).mapInArrow(_whole_trees, TREE)
     parts = cored.filter("NOT whole")
-    if parts.head(1):
-        edges = edges.unionByName(_part_trees(parts, dim))
+    sizes = parts.groupBy("grp").agg(F.sum("n").alias("points"))
+    held = F.col("points") <= min(SEEDED_ROWS, SEEDED_VALUES // max(dim, 1))
+    for trees, groups in ((_seeded, sizes.filter(held)), (_part_trees, sizes.filter(~held))):
+        if groups.head(1):
+            edges = edges.unionByName(trees(parts.join(groups.select("grp"), "grp", "left_semi"), dim))
     nodes = cored.select("grp", F.explode(F.arrays_zip("ids", "weights", "cores")).alias("p")).select(
         "grp", F.col("p.ids").alias("rid"), F.col("p.weights").alias("weight"), F.col("p.cores").alias("core")
     )
